@@ -1,0 +1,72 @@
+"""Run options: where the reference's versions disagree, one frozen dataclass decides.
+
+Three presets:
+
+* ``RECORD`` - the SAS program's behaviour (the default).
+* ``PORT``   - what the Python ports agree on.
+* ``STRICT`` - ``RECORD`` plus three corrections that change results (null keys never
+  match, half-open window end, preference bound before the window end).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from dataclasses import dataclass, replace
+
+from alertlens.functions import constants as C
+
+
+@dataclass(frozen=True)
+class Options:
+    # First day of the reporting week ('TUE' -> Tue..Mon weeks, snapshot Monday).
+    week_start: str = "TUE"
+    # D2: 'match' -> NULL join keys equal each other (null-safe); 'drop' -> never match.
+    null_keys: str = "match"
+    # D3: 'low' -> a missing operand sorts below every value; 'false' -> comparison is false.
+    nulls: str = "low"
+    # D5: 'sas' -> nulls first ascending / last descending; 'last' -> nulls last both ways.
+    null_order: str = "sas"
+    # True puts a latency of exactly 0 s into the negative bucket (pandas cut, right=True).
+    zero_in_negative_bucket: bool = False
+    # True -> event time BETWEEN start AND end+1 day (inclusive); False -> half-open.
+    inclusive_end: bool = True
+    # Event time used by the scan filters: 'envelope' (prunable) or 'header'.
+    time_source: str = "envelope"
+    # Incremental preferences 'after_window' (literal rule) or 'before_window_end'.
+    pref_bound: str = "after_window"
+    # Cut deliveries at the window end and require a decision id (port 3).
+    delivery_upper_bound: bool = False
+    delivery_require_id: bool = False
+    # D12: 'substr' -> characters 7-9 of the customer id; 'right' -> last three.
+    mask: str = "substr"
+    # Drop business customers whose decision came after the preference.
+    exclude_business: bool = True
+    sla_seconds: int = C.SLA_SECONDS
+    sample_size: int = 10
+    sample_seed: int = 42
+    pass_code: str = C.PASS_CODE
+    fail_code: str = C.FAIL_CODE
+    # Fixed partition of the initial preference load; None -> no partition filter.
+    initial_partition: str | None = C.INITIAL_LOAD_PARTITION
+    # First-run override of the window start.
+    first_run_start: dt.date = dt.date(2022, 6, 30)
+    first_run_week_end: dt.date = dt.date(2022, 7, 25)
+    # J3 skew handling: a (account, customer) key with more rows than this is split into
+    # time ranges of about this many rows, each handled by its own task.
+    split_rows: int = 2_000_000
+
+    def with_(self, **kw) -> "Options":
+        return replace(self, **kw)
+
+
+RECORD = Options()
+PORT = Options(
+    week_start="THU",
+    nulls="false",
+    null_order="last",
+    zero_in_negative_bucket=True,
+    mask="right",
+)
+STRICT = Options(null_keys="drop", inclusive_end=False, pref_bound="before_window_end")
+
+PRESETS = {"record": RECORD, "port": PORT, "strict": STRICT}
