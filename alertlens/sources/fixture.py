@@ -69,7 +69,8 @@ def _ymd(ts: Column) -> Column:
     return F.date_format(ts, "yyyyMMdd")
 
 
-_NULL_S = F.lit(None).cast("string")
+def _null_s() -> Column:
+    return F.lit(None).cast("string")
 
 
 # ---- flat feeds -----------------------------------------------------------------------------
@@ -91,7 +92,7 @@ def decisions(events: DataFrame) -> DataFrame:
         _customer().alias("customer_id"),
         F.lit(CURRENCY).alias("account_currency"),
         F.lit(None).cast("decimal(12,2)").alias("credit_limit"),
-        _NULL_S.alias("masked_account"),
+        _null_s().alias("masked_account"),
         _weekly_decision_id().alias("decision_id"),
         _dec12(F.col("value")).alias("alert_amount"),
     )
@@ -115,7 +116,7 @@ def _preferences(ev: DataFrame, activity: str) -> DataFrame:
         _k().alias("threshold_p"),
         _customer().alias("cust_id_p"),
         _text("user_id").alias("account_p"),
-        _NULL_S.alias("masked_account_no_p"),
+        _null_s().alias("masked_account_no_p"),
         _text("user_id").alias("external_account_p"),
         F.lit(C.PRODUCT_TYPE).alias("product_type_p"),
         _text("event_id").alias("source_event_id_p"),
@@ -153,8 +154,8 @@ def deliveries(events: DataFrame) -> DataFrame:
         _dec12(_k()).alias("threshold_amount_a"),
         F.lit("false").alias("send_sms_a"),
         F.lit("true").alias("send_push_a"),
-        _NULL_S.alias("masked_account_a"),
-        _NULL_S.alias("reason_code_a"),
+        _null_s().alias("masked_account_a"),
+        _null_s().alias("reason_code_a"),
         _weekly_decision_id().alias("decision_id_a"),
         _dec12(F.col("value")).alias("alert_amount_a"),
         _text("user_id").alias("account_id_a"),
