@@ -122,3 +122,18 @@ def freq_crosstab(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     aggregated level combinations (not over raw rows)."""
     agg = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("frequency"))
     return _with_cumulative(agg, [], [F.col(c).asc_nulls_first() for c in cols])
+
+
+def freq_oneway_separate(df: DataFrame, cols: Sequence[str], labels: dict[str, callable] | None = None) -> DataFrame:
+    """A6 as one aggregate per column, unioned (the straightforward plan; kept to measure the
+    grouping-sets pass against it).  Same output as ``freq_oneway``."""
+    labels = labels or {}
+    parts = []
+    for c in cols:
+        col = labels[c](F.col(c)) if c in labels else F.col(c)
+        parts.append(df.groupBy(col.cast("string").alias("level")).agg(F.count(F.lit(1)).alias("frequency"))
+                     .select(F.lit(c).alias("variable"), "level", "frequency"))
+    agg = parts[0]
+    for p in parts[1:]:
+        agg = agg.unionByName(p)
+    return _with_cumulative(agg, ["variable"], [F.col("level").asc_nulls_first()])

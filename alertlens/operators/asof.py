@@ -87,23 +87,41 @@ def _pref_val() -> Column:
 
 
 def effective_preference_single(dec: DataFrame, pref: DataFrame, opts: Options = RECORD) -> DataFrame:
-    """One shuffle on the key.  Fine when no key is hot; kept for comparison and tests."""
+    """One shuffle on the key, always (no statistics pass).  Fine when no key is hot."""
     u, dcols, pcols = _tagged(dec, pref, opts)
-    w = Window.partitionBy(*K).orderBy("_g", "_pos", "_tag", "_tb")
-    prior = F.min(_pref_val()).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    best = F.min(_pref_val()).over(Window.partitionBy(*K))
-    return _finish(u, prior, best, dcols, pcols, opts)
+    return _single_pass(u, dcols, pcols, opts)
 
 
 def effective_preference(dec: DataFrame, pref: DataFrame, opts: Options = RECORD,
-                         split_rows: int | None = None, max_splits: int = 1024) -> DataFrame:
-    """J3, skew-safe.  ``dec`` must hold one row per decision (see ``dedup_decisions``)."""
+                         split_rows: int | None = None, max_splits: int = 1024,
+                         materialize: bool = True) -> DataFrame:
+    """J3, skew-safe.  ``dec`` must hold one row per decision (see ``dedup_decisions``).
+
+    The tagged input is read up to three times (hot-key counts, split points, the main
+    pass).  With ``materialize`` it is first written once with a reliable ``checkpoint()``
+    to the session's ``spark.checkpoint.dir`` (so the feeds are scanned, parsed and
+    deduplicated once, and a lost executor costs a re-read, not a recomputation), and a
+    cheap pass over that copy decides the plan: no hot key -> one window pass on the key;
+    hot keys -> the range-split plan below."""
     split_rows = split_rows or opts.split_rows
     u, dcols, pcols = _tagged(dec, pref, opts)
-
-    # 1. hot keys: more than split_rows rows (partial aggregation, so skew-proof)
+    if materialize:
+        u = u.checkpoint(eager=True)
     hot = u.groupBy(*K).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows)
+    if materialize and hot.isEmpty():
+        return _single_pass(u, dcols, pcols, opts)
+    return _split_pass(u, hot, dcols, pcols, opts, split_rows, max_splits)
+
+
+def _single_pass(u: DataFrame, dcols, pcols, opts: Options) -> DataFrame:
+    w = Window.partitionBy(*K).orderBy("_g", "_pos", "_tag", "_tb")
+    prior = F.min(_pref_val()).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    best = F.min(_pref_val()).over(Window.partitionBy(*K))
+    return _finish(u, prior, best, dcols, pcols, opts)
+
 
+def _split_pass(u: DataFrame, hot: DataFrame, dcols, pcols, opts: Options, split_rows: int,
+                max_splits: int) -> DataFrame:
     # 2. split points of each hot key: approximate quantiles of its times
     pcts = [i / max_splits for i in range(1, max_splits)]
     hot_rows = u.alias("u").join(F.broadcast(hot.alias("h")), _keys_match(u.alias("u"), hot.alias("h")), "left_semi")

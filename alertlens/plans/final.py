@@ -17,15 +17,16 @@ from alertlens.options import RECORD, Options
 
 
 def decisions_with_deliveries(dec: DataFrame, pref: DataFrame, deliv: DataFrame,
-                              opts: Options = RECORD, split_rows: int | None = None) -> DataFrame:
+                              opts: Options = RECORD, split_rows: int | None = None,
+                              materialize: bool = True) -> DataFrame:
     """The table before the business exclusion (one row per decision id)."""
     d1 = dedup_decisions(dec, opts)
-    dp = effective_preference(d1, pref, opts, split_rows=split_rows)
+    dp = effective_preference(d1, pref, opts, split_rows=split_rows, materialize=materialize)
     a1 = dedup_deliveries(deliv, opts)
     return join_deliveries(dp, a1, opts)
 
 
 def build_final(dec: DataFrame, pref: DataFrame, deliv: DataFrame, opts: Options = RECORD,
-                split_rows: int | None = None) -> DataFrame:
-    j = decisions_with_deliveries(dec, pref, deliv, opts, split_rows)
+                split_rows: int | None = None, materialize: bool = True) -> DataFrame:
+    j = decisions_with_deliveries(dec, pref, deliv, opts, split_rows, materialize)
     return derive.with_measures(derive.with_dates(derive.exclude_business(j, opts)), opts)

@@ -47,15 +47,21 @@ def _env(spark, sf) -> EN.Sources:
     return FX.envelope_sources(_ev(spark, sf))
 
 
-def final_table(spark, sf, opts=FIX) -> DataFrame:
-    """R1 through the production path: envelope tables -> scans -> final."""
+def final_table(spark, sf, opts=FIX, materialize: bool = True) -> DataFrame:
+    """R1 through the production path: envelope tables -> scans -> final.
+
+    With ``materialize`` the final table is written once (reliable checkpoint in the
+    session's ``spark.checkpoint.dir``) so that a query with several consumers of it (the
+    three controls of the scorecard, the two scorecards of ``history_replace``) does not
+    recompute the whole plan per consumer; the weekly run does the same with its own write."""
     src = _env(spark, sf)
-    return build_final(
+    f = build_final(
         EN.scan_decisions(src.decisions, None, opts),
         EN.scan_preferences(src, None, opts, distinct=False),
         EN.scan_deliveries(src.deliveries, None, opts),
         opts,
     )
+    return f.checkpoint(eager=True) if materialize else f
 
 
 def _pre_exclusion(spark, sf):
