@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from alertlens.functions.scalars import micros
+from alertlens.session import materialize as materialize_table
 from alertlens.options import RECORD, Options
 
 FLAG = "dec_tm_ge_pref_tm"
@@ -98,15 +99,16 @@ def effective_preference(dec: DataFrame, pref: DataFrame, opts: Options = RECORD
     """J3, skew-safe.  ``dec`` must hold one row per decision (see ``dedup_decisions``).
 
     The tagged input is read up to three times (hot-key counts, split points, the main
-    pass).  With ``materialize`` it is first written once with a reliable ``checkpoint()``
-    to the session's ``spark.checkpoint.dir`` (so the feeds are scanned, parsed and
-    deduplicated once, and a lost executor costs a re-read, not a recomputation), and a
-    cheap pass over that copy decides the plan: no hot key -> one window pass on the key;
-    hot keys -> the range-split plan below."""
+    pass).  With ``materialize`` it is first written once as a Parquet table under the
+    session's ``spark.checkpoint.dir`` (so the feeds are scanned, parsed and deduplicated
+    once, and a lost executor costs a re-read, not a recomputation), and a cheap pass over
+    that copy (two key columns) decides the plan: no hot key -> one window pass on the key;
+    hot keys -> the range-split plan below.  Without ``materialize`` the plan stays lazy
+    and always takes the split form."""
     split_rows = split_rows or opts.split_rows
     u, dcols, pcols = _tagged(dec, pref, opts)
     if materialize:
-        u = u.checkpoint(eager=True)
+        u = materialize_table(u, "asof-input")
     hot = u.groupBy(*K).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows)
     if materialize and hot.isEmpty():
         return _single_pass(u, dcols, pcols, opts)

@@ -43,7 +43,8 @@ WEEKLY_ID = f"{USER} || '-' || strftime(date_trunc('week', ts), '%Y%m%d')"
 YMD = "strftime(ts, '%Y%m%d')"
 SPLIT = "TIMESTAMP '2024-01-08 00:00:00'"
 
-DEC = f"""dec AS (
+def dec_cte(where: str = "") -> str:
+    return f"""dec AS (
   SELECT {_s(C.ACTIVITY_DECISION)} AS event_activity_type, {EID} AS source_event_id, {YMD} AS partition_date,
          ts AS ess_process_ts, ts AS ess_src_event_ts, {EID} AS event_id, ts AS event_ts,
          {USER} AS account_id, {_s(C.ALERT_TYPE)} AS alert_type,
@@ -51,7 +52,10 @@ DEC = f"""dec AS (
          'CAD' AS account_currency, CAST(NULL AS DECIMAL(12,2)) AS credit_limit,
          CAST(NULL AS VARCHAR) AS masked_account, {WEEKLY_ID} AS decision_id,
          TRY_CAST(value AS DECIMAL(12,2)) AS alert_amount
-  FROM events WHERE event_type = 'purchase')"""
+  FROM events WHERE event_type = 'purchase' {where})"""
+
+
+DEC = dec_cte()
 
 
 def _pref_select(activity: str) -> str:
@@ -65,13 +69,18 @@ def _pref_select(activity: str) -> str:
   FROM events"""
 
 
-PREF = f"""pref_ini AS (
+def pref_cte(inc_where: str = "") -> str:
+    return f"""pref_ini AS (
   {_pref_select(C.ACTIVITY_PREF_CREATE)} WHERE event_type = 'signup' AND ts < {SPLIT}),
 pref_inc AS (
-  {_pref_select(C.ACTIVITY_PREF_UPDATE)} WHERE event_type = 'click' AND ts >= {SPLIT}),
+  {_pref_select(C.ACTIVITY_PREF_UPDATE)} WHERE event_type = 'click' AND ts >= {SPLIT} {inc_where}),
 pref AS (SELECT * FROM pref_ini UNION ALL SELECT * FROM pref_inc)"""
 
-DELIV = f"""deliv AS (
+
+PREF = pref_cte()
+
+def deliv_cte(where: str = "") -> str:
+    return f"""deliv AS (
   SELECT ts AS ess_process_ts_a, {_s(C.ACTIVITY_DELIVERY)} AS event_activity_type_a, {EID} AS source_event_id_a,
          {YMD} AS partition_date_a, ts AS envelope_ts_a, {EID} AS event_id_a, ts AS event_ts_a,
          {_s(C.ACTIVITY_DELIVERY)} AS event_activity_name_a, 'true' AS alert_sent_a, 'true' AS send_inbox_a,
@@ -80,7 +89,10 @@ DELIV = f"""deliv AS (
          CAST(NULL AS VARCHAR) AS reason_code_a, {WEEKLY_ID} AS decision_id_a,
          TRY_CAST(value AS DECIMAL(12,2)) AS alert_amount_a, {USER} AS account_id_a, {USER} AS account_a,
          {_s(C.PRODUCT_TYPE)} AS account_product_a, 'false' AS send_email_a
-  FROM events WHERE event_type = 'view')"""
+  FROM events WHERE event_type = 'view' {where})"""
+
+
+DELIV = deliv_cte()
 
 D1 = """d1 AS (
   SELECT * EXCLUDE (rn) FROM (
@@ -135,6 +147,19 @@ fin AS (
 PIPE = ",\n".join([DEC, PREF, DELIV, D1, DP, A1, J, FIN])
 
 
+def windowed_pipe(w) -> str:
+    """The weekly run's feeds (record preset): decisions in [start, end + 1 day] with the
+    partition cutoff, incremental preferences after the window end, deliveries after the
+    window start (envelope time = ts in the fixture)."""
+    start = f"TIMESTAMP '{w.start_ts.isoformat(sep=' ')}'"
+    end = f"TIMESTAMP '{w.end_bound.isoformat(sep=' ')}'"
+    return ",\n".join([
+        dec_cte(f"AND strftime(ts, '%Y%m%d') > '{w.partition_cutoff}' AND ts BETWEEN {start} AND {end}"),
+        pref_cte(f"AND ts > {end}"),
+        deliv_cte(f"AND ts > {start}"),
+        D1, DP, A1, J, FIN])
+
+
 def sample_cte(name: str, src: str, n: int = 10, seed: int = 42) -> str:
     return f"""{name} AS (
   SELECT * EXCLUDE (rn) FROM (
@@ -333,4 +358,5 @@ ORACLE = {
             f"new_week AS ({scorecard_sql('wk', 'samp_wk', RD)})",
         ])),
     "final": with_pipe(f"SELECT {FINAL_SEL} FROM fin"),
+    "final_week": f"WITH {windowed_pipe(W)}\nSELECT {FINAL_SEL} FROM fin",
 }

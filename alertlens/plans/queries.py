@@ -25,6 +25,7 @@ from alertlens.options import PORT, RECORD
 from alertlens.plans.details import fail_accuracy, fail_completeness, fail_timeliness
 from alertlens.plans.final import build_final, decisions_with_deliveries
 from alertlens.plans.scorecard import attach_comment, build_scorecard, union_controls
+from alertlens.session import materialize as materialize_table
 from alertlens.sources import envelope as EN
 from alertlens.sources import fixture as FX
 
@@ -47,13 +48,13 @@ def _env(spark, sf) -> EN.Sources:
     return FX.envelope_sources(_ev(spark, sf))
 
 
-def final_table(spark, sf, opts=FIX, materialize: bool = True) -> DataFrame:
+def final_table(spark, sf, opts=FIX, materialize: bool = False) -> DataFrame:
     """R1 through the production path: envelope tables -> scans -> final.
 
-    With ``materialize`` the final table is written once (reliable checkpoint in the
-    session's ``spark.checkpoint.dir``) so that a query with several consumers of it (the
-    three controls of the scorecard, the two scorecards of ``history_replace``) does not
-    recompute the whole plan per consumer; the weekly run does the same with its own write."""
+    With ``materialize`` the final table is written once (a Parquet table under the session's
+    ``spark.checkpoint.dir``) so that a query with several consumers of it (the three controls
+    of the scorecard, the two scorecards of ``history_replace``) does not recompute the whole
+    plan per consumer; the weekly run does the same with its own write."""
     src = _env(spark, sf)
     f = build_final(
         EN.scan_decisions(src.decisions, None, opts),
@@ -61,7 +62,7 @@ def final_table(spark, sf, opts=FIX, materialize: bool = True) -> DataFrame:
         EN.scan_deliveries(src.deliveries, None, opts),
         opts,
     )
-    return f.checkpoint(eager=True) if materialize else f
+    return materialize_table(f, "final") if materialize else f
 
 
 def _pre_exclusion(spark, sf):
@@ -288,14 +289,14 @@ def q_control_completeness(spark, sf):
 
 
 def q_code_comment(spark, sf):
-    f = final_table(spark, sf)
+    f = final_table(spark, sf, materialize=True)
     u = union_controls(A.control_summary(f, "timeliness", REPORT_DT, FIX),
                        A.control_summary(f, "completeness", REPORT_DT, FIX))
     return attach_comment(u).select("ControlRisk", "Segment10", "SnapDate", "CommentCode", "Comments", "Volume")
 
 
 def q_scorecard(spark, sf):
-    f = final_table(spark, sf)
+    f = final_table(spark, sf, materialize=True)
     return build_scorecard(f, _sample(f), REPORT_DT, FIX)
 
 
@@ -335,7 +336,7 @@ def q_fail_accuracy(spark, sf):
 
 
 def q_history_replace(spark, sf):
-    f = final_table(spark, sf)
+    f = final_table(spark, sf, materialize=True)
     hist = build_scorecard(f, _sample(f), HISTORY_DT, FIX)
     week = f.where(F.col("decision_date").between(F.lit(WINDOW.start), F.lit(WINDOW.end)))
     new = build_scorecard(week, _sample(week), REPORT_DT, FIX)
@@ -352,6 +353,19 @@ def q_final(spark, sf):
     return final_table(spark, sf).select(*FINAL_COLUMNS)
 
 
+def q_final_week(spark, sf):
+    """The weekly run as scheduled: report date 2024-01-31, record window Tue 2024-01-23 ..
+    Mon 2024-01-29, partition cutoff, incremental preferences after the window (D13)."""
+    src = _env(spark, sf)
+    f = build_final(
+        EN.scan_decisions(src.decisions, WINDOW, FIX),
+        EN.scan_preferences(src, WINDOW, FIX, distinct=False),
+        EN.scan_deliveries(src.deliveries, WINDOW, FIX),
+        FIX,
+    )
+    return f.select(*FINAL_COLUMNS)
+
+
 QUERIES = {
     "extract_envelope": q_extract_envelope,
     "json_scalars": q_json_scalars,
@@ -397,4 +411,5 @@ QUERIES = {
     "fail_accuracy": q_fail_accuracy,
     "history_replace": q_history_replace,
     "final": q_final,
+    "final_week": q_final_week,
 }

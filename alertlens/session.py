@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -44,3 +45,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` once as a Parquet table under the session's checkpoint
+    folder (the shared folder the cluster names in ``spark.checkpoint.dir``) and reading it
+    back.  One job (a reliable ``checkpoint()`` computes its input twice), columnar and
+    prunable for every later reader, and it survives the loss of any executor."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/alertlens-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
