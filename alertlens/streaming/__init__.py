@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The job this library rebuilds is a weekly batch run: it has no stream source, watermark,
+event-time window, state store or late-data rule, so there is no streaming operator to
+provide.  The weekly reporting window (``functions.calendar``) and the open-ended delivery
+scan are the nearest notions, and both are batch filters.
+"""
