@@ -118,10 +118,31 @@ def freq_oneway(df: DataFrame, cols: Sequence[str], labels: dict[str, callable]
 def freq_crosstab(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """N-way crosstab in list form, missing levels kept, cumulative over sorted levels.
 
-    The cumulative window has no partition key, so it runs in one task over the
-    aggregated level combinations (not over raw rows)."""
+    The cumulative frequency needs one global order of the level combinations.  It is
+    computed in two levels so that no task holds all combinations: a running sum inside each
+    value of the first level column (one window partition per value), plus an offset = the
+    total of all earlier first-level values, from a window over the distinct first-level
+    values only (the one small global step)."""
     agg = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("frequency"))
-    return _with_cumulative(agg, [], [F.col(c).asc_nulls_first() for c in cols])
+    first, rest = cols[0], list(cols[1:])
+    per_first = agg.groupBy(F.col(first).alias("__f")).agg(F.sum("frequency").alias("__n"))
+    before = Window.orderBy(F.col("__f").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_first.select(
+        "__f",
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"),
+        F.sum("__n").over(Window.partitionBy()).alias("__total"),
+    )
+    j = agg.join(offsets, agg[first].eqNullSafe(offsets["__f"]), "left")
+    order = [F.col(c).asc_nulls_first() for c in rest] or [F.lit(0)]
+    running = Window.partitionBy(first).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = F.col("__offset") + F.sum("frequency").over(running)
+    total = F.col("__total").cast("double")
+    return j.select(
+        *cols, "frequency",
+        (F.col("frequency").cast("double") * F.lit(100.0) / total).alias("percent"),
+        cum.alias("cum_frequency"),
+        (cum.cast("double") * F.lit(100.0) / total).alias("cum_percent"),
+    )
 
 
 def freq_oneway_separate(df: DataFrame, cols: Sequence[str], labels: dict[str, callable] | None = None) -> DataFrame:

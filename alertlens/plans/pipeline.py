@@ -1,8 +1,8 @@
 """The weekly run: one call, one write of the final table, then its consumers.
 
 1. scan the four envelope inputs for the reporting window (filters reach the Parquet scan);
-2. stage the extracted, typed feeds as Parquet (K5) - the JSON documents are parsed once,
-   and every later reader gets column pruning;
+2. stage the week-sized extracted feeds (decisions, deliveries) as Parquet (K5), for audit and
+   re-runs; the preference history is not copied - the as-of step writes its own input once;
 3. build the final table from the staged feeds and write it once (K1);
 4. read it back for the consumers: bucket counts, totals, sample, scorecard, failure lists,
    frequency tables (each reads only its columns);
@@ -39,14 +39,15 @@ CROSSTAB_COLUMNS = ("partition_date", "src_event_date", "process_date", "event_d
 
 
 def stage_feeds(spark: SparkSession, sources: EN.Sources, window, opts: Options, out: str, label: str):
-    """K5: parse each feed once and keep it as Parquet."""
+    """K5: parse the week's decisions and deliveries once and keep them as Parquet."""
     feeds = {
         "stage_decisions": EN.scan_decisions(sources.decisions, window, opts),
-        "stage_preferences": EN.scan_preferences(sources, window, opts, distinct=False),
         "stage_deliveries": EN.scan_deliveries(sources.deliveries, window, opts),
     }
-    return {name: spark.read.parquet(K.write_parquet(df, K.dated_path(out, label, name)))
-            for name, df in feeds.items()}
+    staged = {name: spark.read.parquet(K.write_parquet(df, K.dated_path(out, label, name)))
+              for name, df in feeds.items()}
+    staged["stage_preferences"] = EN.scan_preferences(sources, window, opts, distinct=False)
+    return staged
 
 
 def run_weekly(spark: SparkSession, sources: EN.Sources, report_dt: dt.date, out: str, history_path: str,

@@ -200,10 +200,6 @@ def _envelope(ev: DataFrame, activity: str, payload: Column) -> DataFrame:
     )
 
 
-def _noise(events: DataFrame) -> DataFrame:
-    return events.where(F.col("event_type") == "error")
-
-
 def _kv() -> Column:
     return _k().cast("int")
 
@@ -254,19 +250,16 @@ def _delivery_payload(alert_type: Column) -> Column:
 
 def envelope_sources(events: DataFrame) -> Sources:
     """The four envelope inputs, each with the 'error' events mixed in as noise that only
-    the payload predicates (alert type / product type) remove."""
+    the payload predicates (alert type / product type) remove.  One scan per table."""
     split = F.lit(SPLIT_TS).cast("timestamp_ntz")
-    noise = _noise(events)
-    dec = _envelope(events.where(F.col("event_type") == "purchase"), C.ACTIVITY_DECISION,
-                    _decision_payload(F.lit(C.ALERT_TYPE)))
-    dec = dec.unionByName(_envelope(noise, C.ACTIVITY_DECISION, _decision_payload(F.lit(NOISE_ALERT_TYPE))))
-    ini = _envelope(events.where((F.col("event_type") == "signup") & (F.col("ts") < split)),
-                    C.ACTIVITY_PREF_CREATE, _preference_payload(F.lit(C.PRODUCT_TYPE)))
-    ini = ini.unionByName(_envelope(noise, C.ACTIVITY_PREF_CREATE, _preference_payload(F.lit(NOISE_PRODUCT_TYPE))))
-    inc = _envelope(events.where((F.col("event_type") == "click") & (F.col("ts") >= split)),
-                    C.ACTIVITY_PREF_UPDATE, _preference_payload(F.lit(C.PRODUCT_TYPE)))
-    inc = inc.unionByName(_envelope(noise, C.ACTIVITY_PREF_UPDATE, _preference_payload(F.lit(NOISE_PRODUCT_TYPE))))
-    dlv = _envelope(events.where(F.col("event_type") == "view"), C.ACTIVITY_DELIVERY,
-                    _delivery_payload(F.lit(C.ALERT_TYPE)))
-    dlv = dlv.unionByName(_envelope(noise, C.ACTIVITY_DELIVERY, _delivery_payload(F.lit(NOISE_ALERT_TYPE))))
+    et = F.col("event_type")
+    noise = et == "error"
+    alert = F.when(noise, F.lit(NOISE_ALERT_TYPE)).otherwise(F.lit(C.ALERT_TYPE))
+    product = F.when(noise, F.lit(NOISE_PRODUCT_TYPE)).otherwise(F.lit(C.PRODUCT_TYPE))
+    dec = _envelope(events.where(et.isin("purchase", "error")), C.ACTIVITY_DECISION, _decision_payload(alert))
+    ini = _envelope(events.where(((et == "signup") & (F.col("ts") < split)) | noise),
+                    C.ACTIVITY_PREF_CREATE, _preference_payload(product))
+    inc = _envelope(events.where(((et == "click") & (F.col("ts") >= split)) | noise),
+                    C.ACTIVITY_PREF_UPDATE, _preference_payload(product))
+    dlv = _envelope(events.where(et.isin("view", "error")), C.ACTIVITY_DELIVERY, _delivery_payload(alert))
     return Sources(decisions=dec, preferences_initial=ini, preferences_incremental=inc, deliveries=dlv)
