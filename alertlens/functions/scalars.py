@@ -64,6 +64,13 @@ def found_missing(sent: Column, decided: Column) -> Column:
     return yn(sent.isNull() | decided.isNull())
 
 
+def ntz(value) -> Column:
+    """A timestamp_ntz literal built from text, so it never passes through a time zone."""
+    if hasattr(value, "isoformat"):
+        value = value.isoformat(sep=" ")
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def micros(ts: Column) -> Column:
     """Microseconds since 1970-01-01 of a timestamp_ntz, independent of the session zone."""
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)

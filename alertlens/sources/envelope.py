@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from alertlens.functions import constants as C
 from alertlens.functions.calendar import ReportWindow
-from alertlens.functions.scalars import attr, safe_decimal, safe_ts
+from alertlens.functions.scalars import attr, ntz, safe_decimal, safe_ts
 from alertlens.options import RECORD, Options
 from alertlens.sources import schemas as SC
 
@@ -62,7 +62,7 @@ def partition_cutoff(df: DataFrame, after: str | None = None, equals: str | None
 
 
 def _lit_ts(d):
-    return F.lit(d).cast("timestamp_ntz")
+    return ntz(d)
 
 
 def scan_decisions(env: DataFrame, window: ReportWindow | None = None, opts: Options = RECORD) -> DataFrame:

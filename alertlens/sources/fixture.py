@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertlens.functions import constants as C
+from alertlens.functions.scalars import ntz
 from alertlens.sources.envelope import Sources
 
 # fixed values of the fixture mapping
@@ -124,12 +125,12 @@ def _preferences(ev: DataFrame, activity: str) -> DataFrame:
 
 
 def preferences_initial(events: DataFrame) -> DataFrame:
-    ev = events.where((F.col("event_type") == "signup") & (F.col("ts") < F.lit(SPLIT_TS).cast("timestamp_ntz")))
+    ev = events.where((F.col("event_type") == "signup") & (F.col("ts") < ntz(SPLIT_TS)))
     return _preferences(ev, C.ACTIVITY_PREF_CREATE)
 
 
 def preferences_incremental(events: DataFrame) -> DataFrame:
-    ev = events.where((F.col("event_type") == "click") & (F.col("ts") >= F.lit(SPLIT_TS).cast("timestamp_ntz")))
+    ev = events.where((F.col("event_type") == "click") & (F.col("ts") >= ntz(SPLIT_TS)))
     return _preferences(ev, C.ACTIVITY_PREF_UPDATE)
 
 
@@ -251,7 +252,7 @@ def _delivery_payload(alert_type: Column) -> Column:
 def envelope_sources(events: DataFrame) -> Sources:
     """The four envelope inputs, each with the 'error' events mixed in as noise that only
     the payload predicates (alert type / product type) remove.  One scan per table."""
-    split = F.lit(SPLIT_TS).cast("timestamp_ntz")
+    split = ntz(SPLIT_TS)
     et = F.col("event_type")
     noise = et == "error"
     alert = F.when(noise, F.lit(NOISE_ALERT_TYPE)).otherwise(F.lit(C.ALERT_TYPE))

@@ -3,6 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from alertlens.functions import constants as C
+from alertlens.functions.scalars import ntz
 from alertlens.functions.calendar import reporting_window
 from alertlens.options import RECORD
 from alertlens.sources import envelope as EN
@@ -83,7 +84,7 @@ def test_filters_reach_the_scan(spark, tmp_out):
     assert "GreaterThanOrEqual(event_timestamp,2024-01-23T00:00)" in pushed
     assert "LessThanOrEqual(event_timestamp,2024-01-30T00:00)" in pushed
     flat = FX.decisions(ev).where(F.col("partition_date") > "20240116").where(
-        F.col("event_ts").between(F.lit(w.start_ts).cast("timestamp_ntz"), F.lit(w.end_bound).cast("timestamp_ntz")))
+        F.col("event_ts").between(ntz(w.start_ts), ntz(w.end_bound)))
     assert df.count() == flat.count() == 31   # FIXTURES.md golden (record window, sf 0.001)
 
 
@@ -94,9 +95,9 @@ def test_preference_bound_and_initial_partition(spark):
     # the record preset keeps only the fixed initial-load partition, which the fixture does not have
     assert EN.scan_preferences_initial(src.preferences_initial, w, RECORD).count() == 0
     inc = EN.scan_preferences_incremental(src.preferences_incremental, w, RECORD)
-    assert inc.where(F.col("envelope_ts_p") <= F.lit(w.end_bound).cast("timestamp_ntz")).count() == 0
+    assert inc.where(F.col("envelope_ts_p") <= ntz(w.end_bound)).count() == 0
     strict = EN.scan_preferences_incremental(src.preferences_incremental, w, RECORD.with_(pref_bound="before_window_end"))
-    assert strict.where(F.col("envelope_ts_p") > F.lit(w.end_bound).cast("timestamp_ntz")).count() == 0
+    assert strict.where(F.col("envelope_ts_p") > ntz(w.end_bound)).count() == 0
 
 
 def test_union_distinct_and_pick_column(spark):
