@@ -122,9 +122,9 @@ def _single_pass(u: DataFrame, dcols, pcols, opts: Options) -> DataFrame:
     return _finish(u, prior, best, dcols, pcols, opts)
 
 
-def _split_pass(u: DataFrame, hot: DataFrame, dcols, pcols, opts: Options, split_rows: int,
-                max_splits: int) -> DataFrame:
-    # 2. split points of each hot key: approximate quantiles of its times
+def split_table(u: DataFrame, hot: DataFrame, split_rows: int, max_splits: int = 1024) -> DataFrame:
+    """(key, sorted split points) for the hot keys: approximate quantiles of their times,
+    thinned to about rows_of_key / split_rows points (at most ``max_splits``)."""
     pcts = [i / max_splits for i in range(1, max_splits)]
     hot_rows = u.alias("u").join(F.broadcast(hot.alias("h")), _keys_match(u.alias("u"), hot.alias("h")), "left_semi")
     q = hot_rows.where(F.col("_pos").isNotNull()).groupBy(*K).agg(
@@ -134,16 +134,24 @@ def _split_pass(u: DataFrame, hot: DataFrame, dcols, pcols, opts: Options, split
     pieces = F.least(F.ceil(F.col("_n") / F.lit(split_rows)), F.lit(max_splits)).cast("int")
     step = F.ceil(F.lit(max_splits) / pieces).cast("int")
     splits = F.array_distinct(F.filter(F.col("_q"), lambda x, i: (i + 1) % step == 0))
-    h = q.select(*K, splits.alias("_splits"))
+    return q.select(*K, splits.alias("_splits"))
+
+
+def range_id(splits: Column, pos: Column) -> Column:
+    """Index of the time range holding ``pos`` (0 when the key is not split or pos is NULL)."""
+    pm = micros(pos)
+    return F.when(splits.isNull() | pos.isNull(), F.lit(0)).otherwise(F.size(F.filter(splits, lambda s: s <= pm)))
+
+
+def _split_pass(u: DataFrame, hot: DataFrame, dcols, pcols, opts: Options, split_rows: int,
+                max_splits: int) -> DataFrame:
+    # 2. split points of each hot key
+    h = split_table(u, hot, split_rows, max_splits)
 
     # 3. range id of every row (0 for keys that are not hot and for rows without a time)
     uh = u.alias("u").join(F.broadcast(h.alias("h")), _keys_match(u.alias("u"), h.alias("h")), "left")
     uh = uh.select(*[F.col(f"u.{c}") for c in u.columns], F.col("h._splits").alias("_splits"))
-    pm = micros(F.col("_pos"))
-    sub = F.when(F.col("_splits").isNull() | F.col("_pos").isNull(), F.lit(0)).otherwise(
-        F.size(F.filter(F.col("_splits"), lambda s: s <= pm))
-    )
-    us = uh.withColumn("_sub", sub)
+    us = uh.withColumn("_sub", range_id(F.col("_splits"), F.col("_pos")))
 
     # 4. carry rows for the ranges of hot keys: best prior preference of earlier ranges, best overall
     c0 = us.where(F.col("_splits").isNotNull()).groupBy(*K, "_sub").agg(
