@@ -23,7 +23,6 @@ about 2 x rows / split_rows longs.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F

@@ -1,6 +1,5 @@
 """The driver contract, and every registered query against its DuckDB twin at sf 0.001."""
 
-import datetime as dt
 import decimal
 
 import duckdb

@@ -107,3 +107,25 @@ def test_union_distinct_and_pick_column(spark):
     assert EN.union_preferences(ini, ini, distinct=False).count() == 2 * ini.count()
     assert EN.pick_column(ini, ["nope", "CUST_ID_P", "cust_id_p"]) == "cust_id_p"
     assert EN.pick_column(ini, ["nope"]) is None
+
+
+def test_delivery_options_and_header_time(spark):
+    w = reporting_window(dt.date(2024, 1, 31), RECORD)
+    pay = '{"alertType":"AVAIL_CREDIT_REMAINING","decisionId":%s}'
+    rows = [
+        _env_row(C.ACTIVITY_DELIVERY, pay % '"a"', ts="2024-01-25 10:00:00"),
+        _env_row(C.ACTIVITY_DELIVERY, pay % '"late"', ts="2024-02-03 10:00:00"),
+        _env_row(C.ACTIVITY_DELIVERY, pay % "null", ts="2024-01-25 11:00:00"),
+        _env_row(C.ACTIVITY_DELIVERY, pay % '"early"', ts="2024-01-20 10:00:00"),
+    ]
+    env = spark.createDataFrame(rows, ENVELOPE_SCHEMA)
+    ids = lambda df: sorted(str(r.decision_id_a) for r in df.collect())
+    assert ids(EN.scan_deliveries(env, w, RECORD)) == ["None", "a", "late"]        # no upper bound (D14)
+    port3 = RECORD.with_(delivery_upper_bound=True, delivery_require_id=True)
+    assert ids(EN.scan_deliveries(env, w, port3)) == ["a"]                            # F7 + F8
+    # header time (D10): every header here says 2024-01-02, before the window start
+    assert EN.scan_deliveries(env, w, RECORD.with_(time_source="header")).count() == 0
+    dec = spark.createDataFrame([_env_row(C.ACTIVITY_DECISION, '{"alertType":"AVAIL_CREDIT_REMAINING"}',
+                                          ts="2024-01-25 10:00:00", part="20240125")], ENVELOPE_SCHEMA)
+    assert EN.scan_decisions(dec, w, RECORD).count() == 1
+    assert EN.scan_decisions(dec, w, RECORD.with_(time_source="header")).count() == 0
