@@ -209,7 +209,8 @@ def with_pipe(body: str, extra: str = "") -> str:
 def cumulative(agg: str, part: str, order: str) -> str:
     p = f"PARTITION BY {part}" if part else ""
     return f"""SELECT *, CAST(frequency AS DOUBLE) * CAST(100 AS DOUBLE) / CAST(sum(frequency) OVER ({p}) AS DOUBLE) AS percent,
-       sum(frequency) OVER ({p} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_frequency,
+       CAST(sum(frequency) OVER ({p} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
+         AS cum_frequency,
        CAST(sum(frequency) OVER ({p} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)
          * CAST(100 AS DOUBLE) / CAST(sum(frequency) OVER ({p}) AS DOUBLE) AS cum_percent
 FROM ({agg}) a"""
