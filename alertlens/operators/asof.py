@@ -18,7 +18,8 @@ preference so far and the key's overall best - is computed from per-(key, range)
 aggregates (at most one row per range) and injected as one carry row at the start of the
 range.  The split table is broadcast: it has at most ``rows / split_rows`` keys and
 ``min(rows_of_key / split_rows, max_splits)`` points per key, so it is bounded by
-about 2 x rows / split_rows longs.
+about 2 x rows / split_rows longs (defaults: 500,000 rows per range, at most 4,096 ranges
+per key).
 """
 
 from __future__ import annotations
@@ -93,7 +94,7 @@ def effective_preference_single(dec: DataFrame, pref: DataFrame, opts: Options =
 
 
 def effective_preference(dec: DataFrame, pref: DataFrame, opts: Options = RECORD,
-                         split_rows: int | None = None, max_splits: int = 1024,
+                         split_rows: int | None = None, max_splits: int | None = None,
                          materialize: bool = True) -> DataFrame:
     """J3, skew-safe.  ``dec`` must hold one row per decision (see ``dedup_decisions``).
 
@@ -105,6 +106,7 @@ def effective_preference(dec: DataFrame, pref: DataFrame, opts: Options = RECORD
     hot keys -> the range-split plan below.  Without ``materialize`` the plan stays lazy
     and always takes the split form."""
     split_rows = split_rows or opts.split_rows
+    max_splits = max_splits or opts.max_splits
     u, dcols, pcols = _tagged(dec, pref, opts)
     if materialize:
         u = materialize_table(u, "asof-input")
@@ -121,13 +123,14 @@ def _single_pass(u: DataFrame, dcols, pcols, opts: Options) -> DataFrame:
     return _finish(u, prior, best, dcols, pcols, opts)
 
 
-def split_table(u: DataFrame, hot: DataFrame, split_rows: int, max_splits: int = 1024) -> DataFrame:
-    """(key, sorted split points) for the hot keys: approximate quantiles of their times,
-    thinned to about rows_of_key / split_rows points (at most ``max_splits``)."""
+def split_table(u: DataFrame, hot: DataFrame, split_rows: int, max_splits: int = 4096) -> DataFrame:
+    """(key, sorted split points) for the hot keys: approximate quantiles of their times
+    (sketch accuracy scaled with the number of points), thinned to about
+    rows_of_key / split_rows points (at most ``max_splits``)."""
     pcts = [i / max_splits for i in range(1, max_splits)]
     hot_rows = u.alias("u").join(F.broadcast(hot.alias("h")), _keys_match(u.alias("u"), hot.alias("h")), "left_semi")
     q = hot_rows.where(F.col("_pos").isNotNull()).groupBy(*K).agg(
-        F.percentile_approx(micros(F.col("_pos")), pcts, 10000).alias("_q"),
+        F.percentile_approx(micros(F.col("_pos")), pcts, max(10000, 8 * max_splits)).alias("_q"),
         F.count(F.lit(1)).alias("_n"),
     )
     pieces = F.least(F.ceil(F.col("_n") / F.lit(split_rows)), F.lit(max_splits)).cast("int")

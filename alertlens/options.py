@@ -52,8 +52,10 @@ class Options:
     first_run_start: dt.date = dt.date(2022, 6, 30)
     first_run_week_end: dt.date = dt.date(2022, 7, 25)
     # J3 skew handling: a (account, customer) key with more rows than this is split into
-    # time ranges of about this many rows, each handled by its own task.
-    split_rows: int = 2_000_000
+    # time ranges of about this many rows (a few hundred MB of window input), each handled by
+    # its own task; a key is cut into at most ``max_splits`` ranges.
+    split_rows: int = 500_000
+    max_splits: int = 4096
 
     def with_(self, **kw) -> "Options":
         return replace(self, **kw)
