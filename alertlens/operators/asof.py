@@ -25,7 +25,7 @@ per key).
 from __future__ import annotations
 
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from alertlens.functions.scalars import micros
@@ -108,8 +108,12 @@ def effective_preference(dec: DataFrame, pref: DataFrame, opts: Options = RECORD
     split_rows = split_rows or opts.split_rows
     max_splits = max_splits or opts.max_splits
     u, dcols, pcols = _tagged(dec, pref, opts)
+    hot = None
     if materialize:
-        u = materialize_table(u, "asof-input")
+        obs = Observation("asof_input")
+        u = materialize_table(u.observe(obs, F.count(F.lit(1)).alias("rows")), "asof-input")
+        if obs.get["rows"] <= split_rows:        # no key can be hot: skip the statistics pass
+            return _single_pass(u, dcols, pcols, opts)
     hot = u.groupBy(*K).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows)
     if materialize and hot.isEmpty():
         return _single_pass(u, dcols, pcols, opts)
