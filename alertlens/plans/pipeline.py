@@ -28,6 +28,7 @@ from alertlens.options import RECORD, Options
 from alertlens.plans.details import fail_accuracy, fail_completeness, fail_timeliness
 from alertlens.plans.final import build_final
 from alertlens.plans.scorecard import build_scorecard
+from alertlens.session import drop_materialized, materialized_mark
 from alertlens.sinks import writers as K
 from alertlens.sources import envelope as EN
 
@@ -54,6 +55,14 @@ def run_weekly(spark: SparkSession, sources: EN.Sources, report_dt: dt.date, out
                opts: Options = RECORD, window: bool = True, comments=None) -> dict:
     rw = reporting_window(report_dt, opts)
     label = rw.label
+    mark = materialized_mark()
+    try:
+        return _run(spark, sources, report_dt, rw, label, out, history_path, opts, window, comments)
+    finally:
+        drop_materialized(spark, mark)      # scratch copies under spark.checkpoint.dir
+
+
+def _run(spark, sources, report_dt, rw, label, out, history_path, opts, window, comments) -> dict:
     staged = stage_feeds(spark, sources, rw if window else None, opts, out, label)
     final = build_final(staged["stage_decisions"], staged["stage_preferences"], staged["stage_deliveries"], opts)
 

@@ -47,6 +47,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_MATERIALIZED: list[str] = []
+
+
 def materialize(df, name: str = "stage"):
     """Cut lineage by writing ``df`` once as a Parquet table under the session's checkpoint
     folder (the shared folder the cluster names in ``spark.checkpoint.dir``) and reading it
@@ -56,4 +59,22 @@ def materialize(df, name: str = "stage"):
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/alertlens-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _MATERIALIZED.append(path)
     return spark.read.parquet(path)
+
+
+def drop_materialized(spark: SparkSession, since: int = 0) -> int:
+    """Delete the tables ``materialize`` wrote (from position ``since`` of this process's
+    list); call once nothing reads them any more.  Returns how many were removed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _MATERIALIZED[since:]
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+    del _MATERIALIZED[since:]
+    return len(paths)
+
+
+def materialized_mark() -> int:
+    return len(_MATERIALIZED)

@@ -67,3 +67,19 @@ def test_weekly_run_end_to_end(spark, tmp_out):
     h2 = read_history(spark, hist)
     kept = sorted(r for r in h1_rows if r.SnapDate not in snap)
     assert sorted(h2.where(~F.col("SnapDate").isin(list(snap))).collect()) == kept
+
+
+def test_weekly_run_removes_its_scratch_tables(spark, tmp_out):
+    from alertlens.session import _MATERIALIZED, ensure_checkpoint_dir
+    from alertlens.sinks.writers import path_exists
+
+    before = list(_MATERIALIZED)
+    src = FX.envelope_sources(FX.read_events(spark, SF001))
+    run_weekly(spark, src, Q.REPORT_DT, tmp_out, f"{tmp_out}/history", Q.FIX, window=False)
+    assert _MATERIALIZED == before
+    base = ensure_checkpoint_dir(spark)
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(base)
+    names = [st.getPath().getName() for st in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
+    assert not [n for n in names if n.startswith("alertlens-") and f"{base}/{n}" not in before]
+    assert path_exists(spark, f"{tmp_out}/history")
