@@ -131,22 +131,53 @@ def bucket_case(x: str, zero_negative: bool = False) -> str:
 
 LAT = "(CAST(epoch_us(event_ts_a) - epoch_us(event_ts) AS DOUBLE) / CAST(1000000 AS DOUBLE))"
 
-FIN = f"""fin0 AS (
+def fin_cte(nulls_low: bool = True, zero_negative: bool = False) -> str:
+    thr = ("alert_amount < threshold_amount OR (alert_amount IS NULL AND threshold_amount IS NOT NULL)"
+           if nulls_low else "alert_amount < threshold_amount")
+    return f"""fin0 AS (
   SELECT *, CAST(ess_src_event_ts AS DATE) AS src_event_date, CAST(ess_process_ts AS DATE) AS process_date,
          CAST(event_ts AS DATE) AS event_date, CAST(event_ts AS DATE) AS decision_date,
-         CASE WHEN alert_amount < threshold_amount OR (alert_amount IS NULL AND threshold_amount IS NOT NULL)
-              THEN 'Y' ELSE 'N' END AS threshold_limit_check,
+         CASE WHEN {thr} THEN 'Y' ELSE 'N' END AS threshold_limit_check,
          CASE WHEN event_ts_a IS NULL OR event_ts IS NULL THEN 'Y' ELSE 'N' END AS found_missing,
          {LAT} AS time_diff
   FROM j WHERE NOT (coalesce(lower(is_business_p) = 'true', false) AND coalesce(dec_tm_ge_pref_tm = 'Y', false))),
 fin AS (
   SELECT *, CASE WHEN time_diff <= {C.SLA_SECONDS} THEN 'Y' ELSE 'N' END AS sla_ind,
-         {bucket_case('time_diff')} AS alert_time
+         {bucket_case('time_diff', zero_negative)} AS alert_time
   FROM fin0)"""
 
+
+FIN = fin_cte()
+
 PIPE = ",\n".join([DEC, PREF, DELIV, D1, DP, A1, J, FIN])
 
 
+DP_STRICT = DP.replace("d.account_id IS NOT DISTINCT FROM p.external_account_p AND d.customer_id IS NOT DISTINCT FROM p.cust_id_p",
+                       "d.account_id = p.external_account_p AND d.customer_id = p.cust_id_p")
+J_STRICT = J.replace("dp.decision_id IS NOT DISTINCT FROM a1.decision_id_a", "dp.decision_id = a1.decision_id_a")
+
+
+def strict_pipe(w) -> str:
+    """Strict preset: half-open window [start, end + 1 day), incremental preferences up to the
+    window end (half-open), deliveries after the window start, NULL keys never match."""
+    start = f"TIMESTAMP '{w.start_ts.isoformat(sep=' ')}'"
+    end = f"TIMESTAMP '{w.end_bound.isoformat(sep=' ')}'"
+    return ",\n".join([
+        dec_cte(f"AND strftime(ts, '%Y%m%d') > '{w.partition_cutoff}' AND ts >= {start} AND ts < {end}"),
+        pref_cte(f"AND ts < {end}"),
+        deliv_cte(f"AND ts > {start}"),
+        D1, DP_STRICT, A1, J_STRICT, FIN])
+
+
+# the ports' preset: comparisons with a missing operand are false, nulls last in every sort,
+# a latency of exactly 0 s in the negative bucket
+D1_PORT = D1.replace("ASC NULLS FIRST", "ASC NULLS LAST")
+DP_PORT = DP.replace("CASE WHEN d.event_ts > p.event_ts_p OR (p.event_ts_p IS NULL AND d.event_ts IS NOT NULL)",
+                     "CASE WHEN d.event_ts > p.event_ts_p").replace("ASC NULLS FIRST", "ASC NULLS LAST")
+A1_PORT = A1.replace("ASC NULLS FIRST", "ASC NULLS LAST")
+PIPE_PORT = ",\n".join([DEC, PREF, DELIV, D1_PORT, DP_PORT, A1_PORT, J, fin_cte(False, True)])
+
+
 def windowed_pipe(w) -> str:
     """The weekly run's feeds (record preset): decisions in [start, end + 1 day] with the
     partition cutoff, incremental preferences after the window end, deliveries after the
@@ -168,7 +199,7 @@ def sample_cte(name: str, src: str, n: int = 10, seed: int = 42) -> str:
     FROM {src}) WHERE rn <= {n})"""
 
 
-def control_sql(control: str, src: str, report_dt: dt.date) -> str:
+def control_sql(control: str, src: str, report_dt: dt.date, week_start: str = "TUE") -> str:
     risk, test, rde = {"accuracy": C.CONTROL_ACCURACY, "timeliness": C.CONTROL_TIMELINESS,
                        "completeness": C.CONTROL_COMPLETENESS}[control]
     passed = {"accuracy": "threshold_limit_check = 'Y'", "timeliness": "sla_ind = 'Y'",
@@ -176,7 +207,7 @@ def control_sql(control: str, src: str, report_dt: dt.date) -> str:
     seg = "strftime(decision_date, '%Y%m')" if control == "completeness" else "strftime(decision_date, '%Y%m%d')"
     return f"""SELECT {_s(risk)} AS ControlRisk, {_s(test)} AS TestType, {_s(rde)} AS RDE,
          CASE WHEN coalesce({passed}, false) THEN {_s(C.PASS_CODE)} ELSE {_s(C.FAIL_CODE)} END AS CommentCode,
-         {seg} AS Segment10, {_d(report_dt)} AS DateCompleted, {snap('decision_date')} AS SnapDate,
+         {seg} AS Segment10, {_d(report_dt)} AS DateCompleted, {snap('decision_date', week_start)} AS SnapDate,
          count(*) AS Volume, CAST(sum(alert_amount) AS DECIMAL(22,2)) AS Bal,
          CAST(sum(threshold_amount) AS DECIMAL(22,2)) AS Amount
   FROM {src} GROUP BY ALL"""
@@ -187,11 +218,11 @@ def comments_case(col: str = "CommentCode") -> str:
     return f"CASE {col} {whens} END"
 
 
-def scorecard_sql(final_src: str, sample_src: str, report_dt: dt.date) -> str:
+def scorecard_sql(final_src: str, sample_src: str, report_dt: dt.date, week_start: str = "TUE") -> str:
     u = " UNION ALL ".join([
-        "(" + control_sql("accuracy", sample_src, report_dt) + ")",
-        "(" + control_sql("timeliness", final_src, report_dt) + ")",
-        "(" + control_sql("completeness", final_src, report_dt) + ")",
+        "(" + control_sql("accuracy", sample_src, report_dt, week_start) + ")",
+        "(" + control_sql("timeliness", final_src, report_dt, week_start) + ")",
+        "(" + control_sql("completeness", final_src, report_dt, week_start) + ")",
     ])
     pad = ", ".join(f"'.' AS Segment{i}" for i in range(2, 10))
     return f"""SELECT {_s(C.REGULATORY_NAME)} AS RegulatoryName, {_s(C.LOB)} AS LOB, {_s(C.REPORT_NAME)} AS ReportName,
@@ -360,4 +391,6 @@ ORACLE = {
         ])),
     "final": with_pipe(f"SELECT {FINAL_SEL} FROM fin"),
     "final_week": f"WITH {windowed_pipe(W)}\nSELECT {FINAL_SEL} FROM fin",
+    "final_week_strict": f"WITH {strict_pipe(W)}\nSELECT {FINAL_SEL} FROM fin",
+    "scorecard_port": f"WITH {PIPE_PORT},\n{sample_cte('samp', 'fin')}\n{scorecard_sql('fin', 'samp', RD, 'THU')}",
 }

@@ -21,7 +21,7 @@ from alertlens.operators import dedup as W
 from alertlens.operators.asof import effective_preference, fanout_size
 from alertlens.operators.derive import exclude_business
 from alertlens.operators.joins import join_deliveries, replace_history
-from alertlens.options import PORT, RECORD
+from alertlens.options import PORT, RECORD, STRICT
 from alertlens.plans.details import fail_accuracy, fail_completeness, fail_timeliness
 from alertlens.plans.final import build_final, decisions_with_deliveries
 from alertlens.plans.scorecard import attach_comment, build_scorecard, union_controls
@@ -30,6 +30,8 @@ from alertlens.sources import envelope as EN
 from alertlens.sources import fixture as FX
 
 FIX = RECORD.with_(initial_partition=None)
+FIX_PORT = PORT.with_(initial_partition=None)
+FIX_STRICT = STRICT.with_(initial_partition=None)
 REPORT_DT = FX.FIXTURE_REPORT_DATE
 HISTORY_DT = dt.date(2024, 1, 24)
 WINDOW = CAL.reporting_window(REPORT_DT, FIX)
@@ -366,6 +368,27 @@ def q_final_week(spark, sf):
     return f.select(*FINAL_COLUMNS)
 
 
+def q_scorecard_port(spark, sf):
+    """The scorecard under the ports' preset: Thu-Wed weeks, snapshot on Wednesday, comparisons
+    with a missing operand false, nulls last."""
+    f = final_table(spark, sf, FIX_PORT, materialize=True)
+    return build_scorecard(f, W.stratified_sample(f, opts=FIX_PORT), REPORT_DT, FIX_PORT)
+
+
+def q_final_week_strict(spark, sf):
+    """The weekly run under the strict preset: half-open window end, incremental preferences
+    up to the window end (so they can be in force), NULL keys never match."""
+    src = _env(spark, sf)
+    w = CAL.reporting_window(REPORT_DT, FIX_STRICT)
+    f = build_final(
+        EN.scan_decisions(src.decisions, w, FIX_STRICT),
+        EN.scan_preferences(src, w, FIX_STRICT, distinct=False),
+        EN.scan_deliveries(src.deliveries, w, FIX_STRICT),
+        FIX_STRICT,
+    )
+    return f.select(*FINAL_COLUMNS)
+
+
 QUERIES = {
     "extract_envelope": q_extract_envelope,
     "json_scalars": q_json_scalars,
@@ -412,4 +435,6 @@ QUERIES = {
     "history_replace": q_history_replace,
     "final": q_final,
     "final_week": q_final_week,
+    "final_week_strict": q_final_week_strict,
+    "scorecard_port": q_scorecard_port,
 }
