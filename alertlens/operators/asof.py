@@ -40,6 +40,15 @@ def _keys_match(left: DataFrame, right: DataFrame) -> Column:
     return left["_k1"].eqNullSafe(right["_k1"]) & left["_k2"].eqNullSafe(right["_k2"])
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _struct_of(cols) -> Column:
+    """struct(c1, c2, ...) as one SQL expression (one call to the JVM, not one per column)."""
+    return F.expr("struct(" + ", ".join(_q(c) for c in cols) + ")")
+
+
 def _tagged(dec: DataFrame, pref: DataFrame, opts: Options) -> tuple[DataFrame, list[str], list[str]]:
     dcols, pcols = dec.columns, pref.columns
     if opts.null_keys == "drop":
@@ -51,14 +60,14 @@ def _tagged(dec: DataFrame, pref: DataFrame, opts: Options) -> tuple[DataFrame,
         F.col("external_account_p").alias("_k1"), F.col("cust_id_p").alias("_k2"),
         F.when(tp.isNull(), F.lit(1 if opts.nulls == "low" else 3)).otherwise(F.lit(2)).alias("_g"),
         tp.alias("_pos"), F.lit(1).alias("_tag"), F.col("source_event_id_p").cast("string").alias("_tb"),
-        F.struct(rank.alias("r"), F.struct(*pcols).alias("p")).alias("_pv"),
+        F.struct(rank.alias("r"), _struct_of(pcols).alias("p")).alias("_pv"),
     )
     t = F.col("event_ts")
     d_rows = dec.select(
         F.col("account_id").alias("_k1"), F.col("customer_id").alias("_k2"),
         F.when(t.isNull(), F.lit(0)).otherwise(F.lit(2)).alias("_g"),
         t.alias("_pos"), F.lit(0).alias("_tag"), F.col("source_event_id").cast("string").alias("_tb"),
-        F.struct(*dcols).alias("_d"),
+        _struct_of(dcols).alias("_d"),
     )
     pv_type = p_rows.schema["_pv"].dataType
     d_type = d_rows.schema["_d"].dataType
@@ -70,16 +79,13 @@ def _tagged(dec: DataFrame, pref: DataFrame, opts: Options) -> tuple[DataFrame,
 
 def _finish(rows: DataFrame, prior: Column, best: Column, dcols, pcols, opts: Options) -> DataFrame:
     out = rows.select("_tag", "_d", prior.alias("_prior"), best.alias("_best")).where(F.col("_tag") == 0)
-    chosen = F.coalesce(F.col("_prior"), F.col("_best"))
-    has_time = F.col("_d.event_ts").isNotNull()
-    no_pref_flag = has_time if opts.nulls == "low" else F.lit(False)
-    flag = (F.when(F.col("_prior").isNotNull(), F.lit("Y"))
-            .when(F.col("_best").isNull() & no_pref_flag, F.lit("Y"))
-            .otherwise(F.lit("N")))
-    return out.select(
-        *[F.col(f"_d.{c}").alias(c) for c in dcols],
-        *[chosen.getField("p").getField(c).alias(c) for c in pcols],
-        flag.alias(FLAG),
+    no_pref_flag = "_d.event_ts IS NOT NULL" if opts.nulls == "low" else "false"
+    flag = (f"CASE WHEN _prior IS NOT NULL THEN 'Y' WHEN _best IS NULL AND {no_pref_flag} THEN 'Y' "
+            f"ELSE 'N' END AS {FLAG}")
+    return out.selectExpr(
+        *[f"_d.{_q(c)} AS {_q(c)}" for c in dcols],
+        *[f"coalesce(_prior, _best).p.{_q(c)} AS {_q(c)}" for c in pcols],
+        flag,
     )
 
 
