@@ -54,8 +54,11 @@ def _tagged(dec: DataFrame, pref: DataFrame, opts: Options) -> tuple[DataFrame,
     if opts.null_keys == "drop":
         pref = pref.where(F.col("external_account_p").isNotNull() & F.col("cust_id_p").isNotNull())
     tp = F.col("event_ts_p")
-    rank = F.struct(tp.isNull().alias("n"), (-micros(tp)).alias("m"),
-                    F.col("source_event_id_p").cast("string").alias("s"))
+    sid = F.col("source_event_id_p").cast("string")
+    # lower is better: a time before none, the latest time first, then the smaller id (a NULL
+    # id first under the record's null order, last under 'last')
+    sid_null = sid.isNotNull() if opts.null_order == "sas" else sid.isNull()
+    rank = F.struct(tp.isNull().alias("n"), (-micros(tp)).alias("m"), sid_null.alias("sn"), sid.alias("s"))
     p_rows = pref.select(
         F.col("external_account_p").alias("_k1"), F.col("cust_id_p").alias("_k2"),
         F.when(tp.isNull(), F.lit(1 if opts.nulls == "low" else 3)).otherwise(F.lit(2)).alias("_g"),

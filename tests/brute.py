@@ -16,7 +16,8 @@ def brute_effective_preference(d1, pref, opts):
     j = d1.join(pref, cond, "left")
     flag = S.yn(S.gt(F.col("event_ts"), F.col("event_ts_p"), opts.nulls)).alias("dec_tm_ge_pref_tm")
     j = j.select("*", flag)
+    sid = F.col("source_event_id_p")
     w = Window.partitionBy("source_event_id").orderBy(
         F.col("dec_tm_ge_pref_tm").desc(), F.col("event_ts_p").desc_nulls_last(),
-        F.col("source_event_id_p").asc_nulls_first())
+        sid.asc_nulls_first() if opts.null_order == "sas" else sid.asc_nulls_last())
     return j.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")

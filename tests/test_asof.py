@@ -75,6 +75,16 @@ def test_edge_semantics_record(spark):
     assert got["e7"] == ("p8", "Y")      # only the NULL-time preference is "before"
 
 
+def test_null_preference_ids_follow_the_null_order(spark):
+    dec = spark.createDataFrame([("d1", "e1", "A", "C", _t(10))], DEC_SCHEMA)
+    pref = spark.createDataFrame([(None, "A", "C", _t(5), "true"), ("p2", "A", "C", _t(5), "false")], PREF_SCHEMA)
+    for opts in (RECORD, PORT):
+        _check(spark, dec, pref, opts, split_rows_list=(1000,))
+    rec = effective_preference(dec, pref, RECORD).first()
+    port = effective_preference(dec, pref, PORT).first()
+    assert (rec.source_event_id_p, port.source_event_id_p) == (None, "p2")
+
+
 def test_null_key_drop(spark):
     dec = spark.createDataFrame(EDGE_DEC, DEC_SCHEMA)
     pref = spark.createDataFrame(EDGE_PREF, PREF_SCHEMA)

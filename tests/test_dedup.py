@@ -54,6 +54,8 @@ def test_stratified_sample_sizes(spark):
 
 def test_group_limit_is_planned_before_the_shuffle(spark):
     dec = FX.decisions(FX.read_events(spark, SF01))
-    for df in (W.dedup_decisions(dec), W.stratified_sample(dec.withColumn("decision_date", F.to_date("event_ts")))):
+    dl = FX.deliveries(FX.read_events(spark, SF01))
+    for df in (W.dedup_decisions(dec), W.dedup_deliveries(dl),
+               W.stratified_sample(dec.withColumn("decision_date", F.to_date("event_ts")))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "WindowGroupLimit" in plan and "Partial" in plan
