@@ -33,18 +33,28 @@ def sort_keys(order: Order, opts: Options = RECORD) -> list[Column]:
     return out
 
 
-def _ranked(df: DataFrame, keys: Sequence[str], order: Order, tiebreak: str | None, opts: Options) -> Column:
+JK, JN = "_jk", "_jn"
+
+
+def with_null_safe_key(df: DataFrame, name: str) -> DataFrame:
+    """Add (coalesce(c, ''), isnull(c)) as columns: equality on both is null-safe equality on c,
+    and a frame partitioned by them can meet another one in an equi-join without a re-shuffle."""
+    c = F.col(name)
+    return df.withColumns({JK: F.coalesce(c, F.lit("")), JN: c.isNull()})
+
+
+def _ranked(df: DataFrame, keys, order: Order, tiebreak: str | None, opts: Options) -> Column:
     full = list(order) + ([(tiebreak, "asc")] if tiebreak else [])
     return F.row_number().over(Window.partitionBy(*keys).orderBy(*sort_keys(full, opts)))
 
 
-def top_n(df: DataFrame, keys: Sequence[str], order: Order, n: int, tiebreak: str | None = None,
+def top_n(df: DataFrame, keys, order: Order, n: int, tiebreak: str | None = None,
           opts: Options = RECORD) -> DataFrame:
     rn = "__rn"
     return df.withColumn(rn, _ranked(df, keys, order, tiebreak, opts)).where(F.col(rn) <= n).drop(rn)
 
 
-def dedup_first(df: DataFrame, keys: Sequence[str], order: Order, tiebreak: str | None = None,
+def dedup_first(df: DataFrame, keys, order: Order, tiebreak: str | None = None,
                 opts: Options = RECORD) -> DataFrame:
     """First row per key under a mixed-direction order, with a unique final tie-break."""
     return top_n(df, keys, order, 1, tiebreak, opts)
@@ -58,7 +68,13 @@ def dedup_rejects(df: DataFrame, keys: Sequence[str], order: Order, row_id: str,
 
 
 def dedup_latest(df: DataFrame, key: str, ts: str, tiebreak: str, opts: Options = RECORD) -> DataFrame:
-    """One row per key, the latest by ``ts`` (NULL times last), ties by ``tiebreak``."""
+    """One row per key, the latest by ``ts`` (NULL times last), ties by ``tiebreak``.
+
+    With ``null_keys='match'`` the window is partitioned by the null-safe key columns of
+    ``key`` (the same groups; see ``with_null_safe_key``), which stay in the output so that
+    the decision-delivery join that follows needs no second shuffle of this side."""
+    if opts.null_keys == "match":
+        return dedup_first(with_null_safe_key(df, key), [JK, JN], [(ts, "desc")], tiebreak, opts)
     return dedup_first(df, [key], [(ts, "desc")], tiebreak, opts)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from alertlens.operators.dedup import JK, JN, with_null_safe_key
 from alertlens.options import RECORD, Options
 
 
@@ -16,8 +17,16 @@ def key_equal(left, right, opts: Options = RECORD):
 def join_deliveries(dec: DataFrame, deliv: DataFrame, opts: Options = RECORD) -> DataFrame:
     """One row per decision LEFT JOIN one row per decision id of the deliveries.
 
-    Both sides are unique on the key, so the sort-merge join has no hot key."""
-    return dec.join(deliv, key_equal(dec["decision_id"], deliv["decision_id_a"], opts), "left")
+    Both sides are unique on the key, so the sort-merge join has no hot key.  Null-safe
+    matching joins on the key columns of ``with_null_safe_key``; deliveries that come from
+    ``dedup_deliveries`` already carry them and are already partitioned by them."""
+    if opts.null_keys != "match":
+        return dec.join(deliv, dec["decision_id"] == deliv["decision_id_a"], "left")
+    if JK not in deliv.columns:
+        deliv = with_null_safe_key(deliv, "decision_id_a")
+    d = with_null_safe_key(dec, "decision_id")
+    j = d.join(deliv, (d[JK] == deliv[JK]) & (d[JN] == deliv[JN]), "left")
+    return j.drop(d[JK]).drop(d[JN]).drop(deliv[JK]).drop(deliv[JN])
 
 
 def surviving_history(hist: DataFrame, new: DataFrame, col: str = "SnapDate") -> DataFrame:

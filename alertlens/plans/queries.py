@@ -261,7 +261,7 @@ def q_dedup_rejects(spark, sf):
 
 def q_dedup_latest(spark, sf):
     return W.dedup_deliveries(FX.deliveries(_ev(spark, sf)), FIX).select(
-        "decision_id_a", "source_event_id_a", "event_ts_a")
+        "decision_id_a", "source_event_id_a", "event_ts_a")  # (drops the null-safe key columns)
 
 
 def q_stratified_sample(spark, sf):

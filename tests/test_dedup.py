@@ -59,3 +59,22 @@ def test_group_limit_is_planned_before_the_shuffle(spark):
                W.stratified_sample(dec.withColumn("decision_date", F.to_date("event_ts")))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_delivery_join_reuses_the_dedup_partitioning(spark):
+    """At scale (no broadcast) the deliveries are shuffled once: the keep-latest window and the
+    null-safe join share the partitioning."""
+    from alertlens.operators.joins import join_deliveries
+
+    ev = FX.read_events(spark, SF01)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = join_deliveries(W.dedup_decisions(FX.decisions(ev)), W.dedup_deliveries(FX.deliveries(ev)))
+        j.collect()
+        plan = j._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan
+    assert plan.count("Exchange hashpartitioning") == 3   # decisions by id, then by join key; deliveries once
