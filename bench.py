@@ -41,6 +41,7 @@ HEADLINE = {
     "effective_preference": Q.q_effective_preference,
     "effective_preference_single": q_effective_preference_single,
     "final": Q.q_final,
+    "final_week": Q.q_final_week,
     "scorecard": Q.q_scorecard,
     "freq_oneway": Q.q_freq_oneway,
     "freq_oneway_separate": q_freq_oneway_separate,
