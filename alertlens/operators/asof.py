@@ -124,8 +124,12 @@ def effective_preference(dec: DataFrame, pref: DataFrame, opts: Options = RECORD
         if obs.get["rows"] <= split_rows:        # no key can be hot: skip the statistics pass
             return _single_pass(u, dcols, pcols, opts)
     hot = u.groupBy(*K).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows)
-    if materialize and hot.isEmpty():
-        return _single_pass(u, dcols, pcols, opts)
+    if materialize:
+        st = hot.agg(F.count(F.lit(1)).alias("keys"), F.max("_n").alias("max_n")).first()
+        if st["keys"] == 0:
+            return _single_pass(u, dcols, pcols, opts)
+        # only as many quantiles as the hottest key needs
+        max_splits = min(max_splits, -(-st["max_n"] // split_rows))
     return _split_pass(u, hot, dcols, pcols, opts, split_rows, max_splits)
 
 
@@ -140,6 +144,7 @@ def split_table(u: DataFrame, hot: DataFrame, split_rows: int, max_splits: int =
     """(key, sorted split points) for the hot keys: approximate quantiles of their times
     (sketch accuracy scaled with the number of points), thinned to about
     rows_of_key / split_rows points (at most ``max_splits``)."""
+    max_splits = max(2, max_splits)
     pcts = [i / max_splits for i in range(1, max_splits)]
     hot_rows = u.alias("u").join(F.broadcast(hot.alias("h")), _keys_match(u.alias("u"), hot.alias("h")), "left_semi")
     q = hot_rows.where(F.col("_pos").isNotNull()).groupBy(*K).agg(
