@@ -83,3 +83,21 @@ def test_weekly_run_removes_its_scratch_tables(spark, tmp_out):
     names = [st.getPath().getName() for st in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
     assert not [n for n in names if n.startswith("alertlens-") and f"{base}/{n}" not in before]
     assert path_exists(spark, f"{tmp_out}/history")
+
+
+def test_job_entry_point(spark, tmp_out):
+    """The spark-submit entry reads envelope tables from paths and runs the weekly job."""
+    from alertlens.plans.job import main
+
+    src = FX.envelope_sources(FX.read_events(spark, SF001))
+    paths = {}
+    for name in ("decisions", "preferences_initial", "preferences_incremental", "deliveries"):
+        paths[name] = f"{tmp_out}/in/{name}"
+        getattr(src, name).write.partitionBy("partition_date").parquet(paths[name])
+    argv = ["--report-date", "2024-01-31", "--no-initial-partition", "--whole-table",
+            "--decisions", paths["decisions"], "--preferences-initial", paths["preferences_initial"],
+            "--preferences-incremental", paths["preferences_incremental"], "--deliveries", paths["deliveries"],
+            "--out", f"{tmp_out}/out", "--history", f"{tmp_out}/history"]
+    res = main(argv, spark)
+    assert res["metrics"]["final"]["rows"] == 36
+    assert spark.read.parquet(res["final"]).count() == 36
