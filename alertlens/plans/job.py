@@ -1,6 +1,6 @@
 """Command-line entry for the weekly run (``spark-submit`` / ``python -m alertlens.plans.job``).
 
-    spark-submit --py-files alertlens.zip -m alertlens.plans.job \\
+    spark-submit --py-files alertlens.zip alertlens/plans/job.py \\
         --report-date 2024-01-31 --preset record \\
         --decisions <path|table> --preferences-initial <path|table> \\
         --preferences-incremental <path|table> --deliveries <path|table> \\
