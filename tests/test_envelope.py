@@ -129,3 +129,16 @@ def test_delivery_options_and_header_time(spark):
                                           ts="2024-01-25 10:00:00", part="20240125")], ENVELOPE_SCHEMA)
     assert EN.scan_decisions(dec, w, RECORD).count() == 1
     assert EN.scan_decisions(dec, w, RECORD.with_(time_source="header")).count() == 0
+
+
+def test_sources_from_catalog_tables(spark):
+    """Schema-qualified table names (global temp views stand in for catalog tables)."""
+    ev = FX.read_events(spark, SF001)
+    src = FX.envelope_sources(ev)
+    names = {}
+    for field in ("decisions", "preferences_initial", "preferences_incremental", "deliveries"):
+        getattr(src, field).createOrReplaceGlobalTempView(f"alertlens_{field}")
+        names[field] = f"alertlens_{field}"
+    got = EN.Sources.from_tables(spark, None, "global_temp", names)
+    _same(EN.scan_decisions(got.decisions, None, FIX), FX.decisions(ev))
+    _same(EN.scan_preferences(got, None, FIX, distinct=False), FX.preferences(ev))
