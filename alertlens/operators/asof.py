@@ -19,7 +19,9 @@ aggregates (at most one row per range) and injected as one carry row at the star
 range.  The split table is broadcast: it has at most ``rows / split_rows`` keys and
 ``min(rows_of_key / split_rows, max_splits)`` points per key, so it is bounded by
 about 2 x rows / split_rows longs (defaults: 500,000 rows per range, at most 4,096 ranges
-per key).
+per key).  The split is by time only: rows of one key that share a single
+timestamp (or have none) stay in one range, because a decision must never see a
+preference of the same instant as "before" it; the result is still exact.
 """
 
 from __future__ import annotations
