@@ -41,6 +41,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                               "(a machine-local folder does not survive the loss of that machine)")
         d = tempfile.mkdtemp(prefix="alertlens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
