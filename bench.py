@@ -20,7 +20,7 @@ from alertlens.operators import dedup as W  # noqa: E402
 from alertlens.operators.asof import effective_preference_single  # noqa: E402
 from alertlens.plans import queries as Q  # noqa: E402
 from alertlens.plans.pipeline import run_weekly  # noqa: E402
-from alertlens.session import get_spark  # noqa: E402
+from alertlens.session import drop_materialized, get_spark, materialized_mark  # noqa: E402
 from alertlens.sources import fixture as FX  # noqa: E402
 
 
@@ -57,6 +57,7 @@ def main():
     times = {}
     rows = {}
     for name, fn in HEADLINE.items():
+        mark = materialized_mark()
         fn(spark, sf).collect()  # warm-up
         ts = []
         for _ in range(runs):
@@ -64,6 +65,7 @@ def main():
             rows[name] = len(fn(spark, sf).collect())
             ts.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(ts), 3)
+        drop_materialized(spark, mark)  # scratch tables of the runs above
     # the weekly run end to end (staging, final written once, consumers, history)
     ts = []
     for _ in range(runs):
