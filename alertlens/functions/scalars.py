@@ -17,8 +17,9 @@ def attr(key: str, col: str = "eventAttributes") -> Column:
 def safe_ts(c: Column) -> Column:
     """ISO-8601 text to timestamp_ntz, NULL when unparsable.
 
-    'T' parses as is; a trailing 'Z' is dropped (times are wall-clock UTC)."""
-    return F.regexp_replace(c, "Z$", "").try_cast("timestamp_ntz")
+    The cast itself takes a space or 'T' separator and ignores a trailing 'Z' or numeric
+    offset (times are wall-clock UTC), so no per-row regular expression is needed."""
+    return c.try_cast("timestamp_ntz")
 
 
 def safe_decimal(c: Column, precision: int = 12, scale: int = 2) -> Column:

@@ -2,7 +2,8 @@
 
 Plain-column predicates (activity type, partition text, envelope time) are applied first,
 so they reach the Parquet scan as pushed filters / partition filters; the map column is
-parsed once per document with ``from_json`` and projected away at once.
+parsed once per document with ``from_json`` (behind a Generate barrier, see
+``_parse_documents``) and projected away at once.
 """
 
 from __future__ import annotations
@@ -43,6 +44,24 @@ def _json(key: str, schema) -> Column:
     return F.from_json(attr(key), schema)
 
 
+def _parse_documents(df: DataFrame, keep, payload_schema) -> DataFrame:
+    """Parse the header and the payload document once per row.
+
+    The parsed values come out of a one-element ``inline`` (a Generate node).  Predicates
+    on parsed fields (alert type, product type) then stay above it: without that barrier
+    Catalyst pushes them below the projection and splits every filtered field into its own
+    ``from_json`` call, so the payload would be parsed once per filtered field plus once for
+    the projection (3 parses instead of 1 here; about 2x the scan time).  Predicates on the
+    plain envelope columns are applied before, and still reach the Parquet scan."""
+    docs = F.struct(
+        attr(C.KEY_PROCESS_TS).alias("_proc"),
+        attr(C.KEY_SRC_EVENT_TS).alias("_src"),
+        _json(C.KEY_HEADER, SC.HEADER_SCHEMA).alias("h"),
+        _json(C.KEY_PAYLOAD, payload_schema).alias("p"),
+    )
+    return df.select(*keep, F.inline(F.array(docs)))
+
+
 def event_window(df: DataFrame, col: str, start, end_bound, inclusive_end: bool) -> DataFrame:
     """BETWEEN start AND end bound (inclusive), or half-open."""
     c = F.col(col)
@@ -72,12 +91,7 @@ def scan_decisions(env: DataFrame, window: ReportWindow | None = None, opts: Opt
         df = partition_cutoff(df, after=window.partition_cutoff)
         if opts.time_source == "envelope":
             df = event_window(df, "event_timestamp", _lit_ts(window.start_ts), _lit_ts(window.end_bound), opts.inclusive_end)
-    parsed = df.select(
-        "event_activity_type", "source_event_id", "partition_date",
-        attr(C.KEY_PROCESS_TS).alias("_proc"), attr(C.KEY_SRC_EVENT_TS).alias("_src"),
-        _json(C.KEY_HEADER, SC.HEADER_SCHEMA).alias("h"),
-        _json(C.KEY_PAYLOAD, SC.DECISION_SCHEMA).alias("p"),
-    )
+    parsed = _parse_documents(df, ["event_activity_type", "source_event_id", "partition_date"], SC.DECISION_SCHEMA)
     out = parsed.select(
         "event_activity_type", "source_event_id", "partition_date",
         safe_ts(F.col("_proc")).alias("ess_process_ts"),
@@ -101,13 +115,9 @@ def scan_decisions(env: DataFrame, window: ReportWindow | None = None, opts: Opt
 
 def _scan_preferences(df: DataFrame) -> DataFrame:
     df = df.where(F.col("event_activity_type").isin(*C.PREFERENCE_ACTIVITIES))
-    parsed = df.select(
-        "event_timestamp", "event_channel_type", "event_activity_type", "partition_date",
-        "source_event_id",
-        attr(C.KEY_PROCESS_TS).alias("_proc"), attr(C.KEY_SRC_EVENT_TS).alias("_src"),
-        _json(C.KEY_HEADER, SC.HEADER_SCHEMA).alias("h"),
-        _json(C.KEY_PAYLOAD, SC.PREFERENCE_SCHEMA).alias("p"),
-    )
+    parsed = _parse_documents(
+        df, ["event_timestamp", "event_channel_type", "event_activity_type", "partition_date", "source_event_id"],
+        SC.PREFERENCE_SCHEMA)
     return parsed.select(
         F.col("event_timestamp").alias("envelope_ts_p"),
         F.col("event_channel_type").alias("event_channel_type_p"),
@@ -177,12 +187,8 @@ def scan_deliveries(env: DataFrame, window: ReportWindow | None = None, opts: Op
         df = df.where(t > _lit_ts(window.start_ts))
         if opts.delivery_upper_bound:
             df = df.where(t < _lit_ts(window.end_bound))
-    parsed = df.select(
-        "event_activity_type", "source_event_id", "partition_date", "event_timestamp",
-        attr(C.KEY_PROCESS_TS).alias("_proc"),
-        _json(C.KEY_HEADER, SC.HEADER_SCHEMA).alias("h"),
-        _json(C.KEY_PAYLOAD, SC.DELIVERY_SCHEMA).alias("p"),
-    )
+    parsed = _parse_documents(
+        df, ["event_activity_type", "source_event_id", "partition_date", "event_timestamp"], SC.DELIVERY_SCHEMA)
     out = parsed.select(
         safe_ts(F.col("_proc")).alias("ess_process_ts_a"),
         F.col("event_activity_type").alias("event_activity_type_a"),
