@@ -142,3 +142,17 @@ def test_sources_from_catalog_tables(spark):
     got = EN.Sources.from_tables(spark, None, "global_temp", names)
     _same(EN.scan_decisions(got.decisions, None, FIX), FX.decisions(ev))
     _same(EN.scan_preferences(got, None, FIX, distinct=False), FX.preferences(ev))
+
+
+def test_each_document_is_parsed_once(spark):
+    """Predicates on payload fields must not drag the parse below them (Catalyst would then
+    split it into one from_json per filtered field): header + payload = 2 per envelope table."""
+    src = FX.envelope_sources(FX.read_events(spark, SF001))
+    scans = {
+        "decisions": (EN.scan_decisions(src.decisions, None, FIX), 1),
+        "preferences": (EN.scan_preferences(src, None, FIX, distinct=False), 2),
+        "deliveries": (EN.scan_deliveries(src.deliveries, None, FIX), 1),
+    }
+    for name, (df, tables) in scans.items():
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 2 * tables, name
