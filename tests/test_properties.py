@@ -51,3 +51,41 @@ def test_threshold_check_against_python(spark, pairs):
         low = (r.a is None and r.t is not None) or (r.a is not None and r.t is not None and r.a < r.t)
         assert r.rec == ("Y" if low else "N")
         assert r.port == ("Y" if r.a is not None and r.t is not None and r.a < r.t else "N")
+
+
+# --- as-of (J3) against the plain join + sort + keep-first -----------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from alertlens.operators.asof import effective_preference  # noqa: E402
+from alertlens.options import STRICT  # noqa: E402
+from tests.brute import brute_effective_preference  # noqa: E402
+
+_KEYS = st.sampled_from([("A", "C"), ("A", "C"), ("A", "C"), ("B", "C"), (None, None), ("A", None)])
+_HOURS = st.one_of(st.none(), st.integers(min_value=0, max_value=6))
+
+
+def _ts(h):
+    return None if h is None else _dt.datetime(2024, 1, 1) + _dt.timedelta(hours=h)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(_KEYS, _HOURS), min_size=1, max_size=25),
+       st.lists(st.tuples(_KEYS, _HOURS, st.booleans()), min_size=0, max_size=25))
+def test_asof_against_brute_force(spark, decs, prefs):
+    dec = spark.createDataFrame(
+        [(f"d{i}", f"e{i:03d}", k[0], k[1], _ts(h)) for i, (k, h) in enumerate(decs)],
+        "decision_id string, source_event_id string, account_id string, customer_id string, event_ts timestamp_ntz")
+    pref = spark.createDataFrame(
+        [(None if (i % 7 == 3) else f"p{i:03d}", k[0], k[1], _ts(h), "true" if b else "false")
+         for i, (k, h, b) in enumerate(prefs)],
+        "source_event_id_p string, external_account_p string, cust_id_p string, event_ts_p timestamp_ntz, "
+        "is_business_p string")
+    keys = ["source_event_id", "source_event_id_p", "event_ts_p", "dec_tm_ge_pref_tm"]
+    for opts in (RECORD, PORT, STRICT):
+        expect = sorted(map(tuple, brute_effective_preference(dec, pref, opts).select(*keys).collect()),
+                        key=repr)
+        for split_rows in (2, 10_000):
+            got = sorted(map(tuple, effective_preference(dec, pref, opts, split_rows=split_rows, max_splits=4)
+                             .select(*keys).collect()), key=repr)
+            assert got == expect, (opts, split_rows)
