@@ -101,3 +101,20 @@ def test_job_entry_point(spark, tmp_out):
     res = main(argv, spark)
     assert res["metrics"]["final"]["rows"] == 36
     assert spark.read.parquet(res["final"]).count() == 36
+
+
+def test_job_entry_point_with_table_names(spark, tmp_out):
+    from alertlens.plans.job import main
+
+    src = FX.envelope_sources(FX.read_events(spark, SF001))
+    for name in ("decisions", "preferences_initial", "preferences_incremental", "deliveries"):
+        getattr(src, name).createOrReplaceGlobalTempView(f"job_{name}")
+    argv = ["--report-date", "2024-01-31", "--no-initial-partition",
+            "--decisions", "global_temp.job_decisions", "--preferences-initial", "global_temp.job_preferences_initial",
+            "--preferences-incremental", "global_temp.job_preferences_incremental",
+            "--deliveries", "global_temp.job_deliveries", "--out", f"{tmp_out}/out", "--history", f"{tmp_out}/history"]
+    res = main(argv, spark)                      # the scheduled window: report date 2024-01-31
+    assert res["window"] == ["2024-01-23", "2024-01-29"]
+    final = spark.read.parquet(res["final"])
+    assert final.count() == final.select("decision_id").distinct().count() > 0
+    assert final.agg(F.min("event_ts"), F.max("event_ts")).first()[0] >= dt.datetime(2024, 1, 23)
