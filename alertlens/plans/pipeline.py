@@ -3,7 +3,8 @@
 1. scan the four envelope inputs for the reporting window (filters reach the Parquet scan);
 2. stage the week-sized extracted feeds (decisions, deliveries) as Parquet (K5), for audit and
    re-runs; the preference history is not copied - the as-of step writes its own input once;
-3. build the final table from the staged feeds and write it once (K1);
+3. build the decisions with their preference and delivery (before the business exclusion) and
+   write that once (K5); derive the final table from it and write it once (K1);
 4. read it back for the consumers: bucket counts, totals, sample, scorecard, failure lists,
    frequency tables (each reads only its columns);
 5. replace this week's snapshot dates in the history (K7, dynamic partition overwrite).
@@ -26,7 +27,8 @@ from alertlens.operators import aggregates as A
 from alertlens.operators.dedup import stratified_sample
 from alertlens.options import RECORD, Options
 from alertlens.plans.details import fail_accuracy, fail_completeness, fail_timeliness
-from alertlens.plans.final import build_final
+from alertlens.operators import derive
+from alertlens.plans.final import decisions_with_deliveries
 from alertlens.plans.scorecard import build_scorecard
 from alertlens.session import drop_materialized, materialized_mark
 from alertlens.sinks import writers as K
@@ -64,7 +66,12 @@ def run_weekly(spark: SparkSession, sources: EN.Sources, report_dt: dt.date, out
 
 def _run(spark, sources, report_dt, rw, label, out, history_path, opts, window, comments) -> dict:
     staged = stage_feeds(spark, sources, rw if window else None, opts, out, label)
-    final = build_final(staged["stage_decisions"], staged["stage_preferences"], staged["stage_deliveries"], opts)
+    # one row per decision with its preference and delivery, before the business exclusion (K5);
+    # the flag listings read it, the final table is derived from it
+    joined = decisions_with_deliveries(staged["stage_decisions"], staged["stage_preferences"],
+                                       staged["stage_deliveries"], opts)
+    joined = spark.read.parquet(K.write_parquet(joined, K.dated_path(out, label, "decisions_with_deliveries")))
+    final = derive.with_measures(derive.with_dates(derive.exclude_business(joined, opts)), opts)
 
     obs_final = Observation("final")
     final = final.observe(obs_final, F.count(F.lit(1)).alias("rows"),
@@ -89,6 +96,8 @@ def _run(spark, sources, report_dt, rw, label, out, history_path, opts, window,
     list_paths = K.write_fail_lists(lists, out, label)
 
     reports = {
+        "freq_flags": A.freq_oneway(joined, ("dec_tm_ge_pref_tm", "is_business_p")),
+        "freq_flags_crosstab": A.freq_crosstab(joined, ("dec_tm_ge_pref_tm", "is_business_p")),
         "latency_counts": A.latency_counts(final),
         "totals": A.totals(final),
         "freq_oneway": A.freq_oneway(final, FREQ_COLUMNS, {"decision_id_a": S.blank_label}),

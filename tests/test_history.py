@@ -49,6 +49,9 @@ def test_weekly_run_end_to_end(spark, tmp_out):
     hist = f"{tmp_out}/history"
     res = run_weekly(spark, src, Q.REPORT_DT, tmp_out, hist, Q.FIX, window=False)
     assert res["metrics"]["final"]["rows"] == 36
+    flags = {(r.dec_tm_ge_pref_tm, r.is_business_p): r.frequency
+             for r in spark.read.parquet(res["reports"]["freq_flags_crosstab"]).collect()}
+    assert flags == {("N", "false"): 2, ("N", "true"): 3, ("Y", "false"): 31, ("Y", "true"): 32}   # FIXTURES.md
     final = spark.read.parquet(res["final"])
     assert final.count() == 36
     n_sc = spark.read.parquet(res["scorecard"]).count()
