@@ -20,7 +20,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 
 from alertlens.options import PRESETS
-from alertlens.plans.pipeline import run_weekly
+from alertlens.plans.weekly import run_weekly
 from alertlens.sources.envelope import Sources
 from alertlens.sources.schemas import ENVELOPE_SCHEMA
 

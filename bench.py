@@ -19,7 +19,7 @@ from alertlens.operators import aggregates as A  # noqa: E402
 from alertlens.operators import dedup as W  # noqa: E402
 from alertlens.operators.asof import effective_preference_single  # noqa: E402
 from alertlens.plans import queries as Q  # noqa: E402
-from alertlens.plans.pipeline import run_weekly  # noqa: E402
+from alertlens.plans.weekly import run_weekly  # noqa: E402
 from alertlens.session import drop_materialized, get_spark, materialized_mark  # noqa: E402
 from alertlens.sources import fixture as FX  # noqa: E402
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from alertlens.operators.joins import replace_history, surviving_history
 from alertlens.plans import queries as Q
-from alertlens.plans.pipeline import run_weekly
+from alertlens.plans.weekly import run_weekly
 from alertlens.sinks.writers import write_history
 from alertlens.sources import fixture as FX
 from alertlens.sources.history import read_history, scorecard_schema

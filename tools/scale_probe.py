@@ -17,7 +17,7 @@ sys.path.insert(0, ".")
 from pyspark.sql import functions as F  # noqa: E402
 
 from alertlens.plans import queries as Q  # noqa: E402
-from alertlens.plans.pipeline import run_weekly  # noqa: E402
+from alertlens.plans.weekly import run_weekly  # noqa: E402
 from alertlens.session import drop_materialized, get_spark, materialized_mark  # noqa: E402
 from alertlens.sources import fixture as FX  # noqa: E402
 
