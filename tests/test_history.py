@@ -97,7 +97,7 @@ def test_job_entry_point(spark, tmp_out):
     for name in ("decisions", "preferences_initial", "preferences_incremental", "deliveries"):
         paths[name] = f"{tmp_out}/in/{name}"
         getattr(src, name).write.partitionBy("partition_date").parquet(paths[name])
-    argv = ["--report-date", "2024-01-31", "--no-initial-partition", "--whole-table",
+    argv = ["--report-date", "2024-01-31", "--no-initial-partition", "--whole-table", "--split-rows", "3",
             "--decisions", paths["decisions"], "--preferences-initial", paths["preferences_initial"],
             "--preferences-incremental", paths["preferences_incremental"], "--deliveries", paths["deliveries"],
             "--out", f"{tmp_out}/out", "--history", f"{tmp_out}/history"]
