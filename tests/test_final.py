@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from alertlens.functions import constants as C
+from alertlens.functions.scalars import blank_label
 from alertlens.operators import aggregates as A
 from alertlens.operators.dedup import stratified_sample
 from alertlens.plans import queries as Q
@@ -74,14 +75,12 @@ def test_sample_scorecard_and_fail_lists(case):
 
 def test_frequency_tables(case):
     _, f, _ = case
-    one = A.freq_oneway(f, Q.ONEWAY_COLUMNS, {"decision_id_a": __import__("alertlens.functions.scalars",
-                                                                            fromlist=["x"]).blank_label})
+    one = A.freq_oneway(f, Q.ONEWAY_COLUMNS, {"decision_id_a": blank_label})
     per = one.groupBy("variable").agg(F.sum("frequency").alias("n"), F.max("cum_percent").alias("m")).collect()
     assert len(per) == len(Q.ONEWAY_COLUMNS)
     for r in per:
         assert r.n == f.count() and abs(r.m - 100.0) < 1e-9
-    sep = A.freq_oneway_separate(f, Q.ONEWAY_COLUMNS, {"decision_id_a": __import__(
-        "alertlens.functions.scalars", fromlist=["x"]).blank_label})
+    sep = A.freq_oneway_separate(f, Q.ONEWAY_COLUMNS, {"decision_id_a": blank_label})
     assert one.exceptAll(sep).count() == 0 and sep.exceptAll(one).count() == 0
     ct = A.freq_crosstab(f, Q.CROSSTAB7)
     assert ct.agg(F.sum("frequency")).first()[0] == f.count()
