@@ -5,15 +5,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from alertlens.llm import toxicity
+from alertlens.llm import pii, quality, toxicity
 from alertlens.llm.common import read_table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op5(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op7(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
+    "op5_quality": op5_quality,
     "op7_toxicity": op7_toxicity,
 }
 

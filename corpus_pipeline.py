@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from alertlens.llm import toxicity
+from alertlens.llm import pii, toxicity
 from alertlens.llm.common import materialize, read_table
 
 
@@ -14,8 +14,14 @@ def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.keep_clean(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+def stage_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace every span of personal data in the texts."""
+    return pii.redacted(docs)
+
+
 STAGES = [
     ("toxicity", stage_toxicity),
+    ("pii", stage_pii),
 ]
 
 #: SQL cannot express the stages (a trained classifier, tokenizers); tests use brute force.
