@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from alertlens.llm import pii, quality, toxicity
+from alertlens.llm import packing, pii, quality, sharding, simhash, toxicity
 from alertlens.llm.common import read_table
 
 
@@ -17,14 +17,36 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op5(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op7(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer's file; any other of the same library can be given to the operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op8(spark, read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(spark, read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op5_quality": op5_quality,
+    "op6_sharding": op6_sharding,
     "op7_toxicity": op7_toxicity,
+    "op8_packing": op8_packing,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE: dict[str, str] = {}
