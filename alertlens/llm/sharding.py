@@ -61,12 +61,12 @@ def prefix_sums(rows: DataFrame) -> DataFrame:
     )
 
 
-def _jump(table: DataFrame, starts: list[int], capacities: list[int], largest: int) -> list[int]:
+def _jump(table: DataFrame, starts: list[int], capacities: list[int], largest: int, total: int) -> list[int]:
     """For each start: the largest prefix sum up to start + capacity (the start, if none is).
 
     The predicate bounds keep the scan to the row groups around the targets.
     """
-    goals = [a + c for a, c in zip(starts, capacities, strict=True)]
+    goals = [min(a + c, total) for a, c in zip(starts, capacities, strict=True)]
     near = table.where((F.col("upto") > min(goals) - largest) & (F.col("upto") <= max(goals)))
     best = near.agg(*[F.max(F.when(F.col("upto") <= g, F.col("upto"))) for g in goals]).first()
     return [max(a, v or 0) for a, v in zip(starts, best, strict=True)]
@@ -76,7 +76,7 @@ def greedy(table: DataFrame, capacities: list[int], shards: int, largest: int, t
     """For each capacity: the prefix sums at which greedy filling ends each shard."""
     at = [[0] for _ in capacities]
     for _ in range(shards):
-        nxt = _jump(table, [x[-1] for x in at], capacities, largest)
+        nxt = _jump(table, [x[-1] for x in at], capacities, largest, total)
         for x, v in zip(at, nxt, strict=True):
             x.append(v)
         if min(nxt) >= total:
