@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertlens.session import materialize
 
-__all__ = ["arrow_map", "held_out", "labelled_sample", "materialize", "read_table"]
+__all__ = ["arrow_map", "group_starts", "held_out", "labelled_sample", "materialize", "read_table", "whole_groups"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,3 +65,37 @@ def _arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
     from pyspark.sql.types import StructType
 
     return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Regroup sorted batches into tables that hold only whole groups (equal values in the first
+    ``keys`` columns): the last group of a batch waits for the next batch."""
+    held: list[pa.RecordBatch] = []
+
+    def same_as_last(batch: pa.RecordBatch, last: list) -> int:
+        """Rows at the end of ``batch`` that belong to its last group."""
+        differ = np.zeros(batch.num_rows, bool)
+        for c, v in zip(batch.columns[:keys], last, strict=True):
+            differ |= c.to_numpy(zero_copy_only=False) != v
+        at = np.flatnonzero(differ)
+        return batch.num_rows - (int(at[-1]) + 1 if len(at) else 0)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = [c[batch.num_rows - 1].as_py() for c in batch.columns[:keys]]
+        tail = same_as_last(batch, last)
+        if tail < batch.num_rows or held and [c[0].as_py() for c in held[0].columns[:keys]] != last:
+            yield pa.Table.from_batches([*held, batch.slice(0, batch.num_rows - tail)])
+            held = []
+        held.append(batch.slice(batch.num_rows - tail))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def group_starts(*keys: np.ndarray) -> np.ndarray:
+    """Positions at which a run of equal keys starts."""
+    new = np.ones(len(keys[0]), bool)
+    if len(new):
+        new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return np.flatnonzero(new)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from alertlens.llm import packing, pii, quality, sharding, simhash, toxicity
+from alertlens.llm import embed_dedup, mixing, packing, pii, quality, sharding, simhash, toxicity
 from alertlens.llm.common import read_table
 
 
@@ -13,6 +13,14 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op3(spark, read_table(spark, sf_dir, "documents"))
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(spark, read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op5(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -42,6 +50,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op3_mixing": op3_mixing,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_quality": op5_quality,
     "op6_sharding": op6_sharding,
     "op7_toxicity": op7_toxicity,
@@ -49,4 +59,6 @@ QUERIES = {
     "op10_simhash": op10_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_mixing": mixing.oracle_sql(),
+}

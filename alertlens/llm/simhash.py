@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alertlens.llm.common import arrow_map, materialize
+from alertlens.llm.common import arrow_map, group_starts, materialize, whole_groups
 from alertlens.llm.components import connected
 
 SHINGLE = 3
@@ -163,25 +163,10 @@ def group_links(codes: np.ndarray, first: np.ndarray, distance: int = DISTANCE)
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (table, key, fp) sorted so that groups are together: the groups' spanning forests."""
-    held = [np.zeros(0, np.int64)] * 3
-
-    def solve(cols: list[np.ndarray]) -> pa.RecordBatch:
-        t, key, fp = cols
-        first = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (key[1:] != key[:-1])])) if len(t) else np.zeros(0, np.int64)
-        a, b = group_links(fp.view(np.uint64), first) if len(fp) else (first, first)
-        return pa.RecordBatch.from_arrays([pa.array(fp[a]), pa.array(fp[b])], names=["a", "b"])
-
-    for batch in batches:
-        cols = [np.concatenate([h, c.to_numpy(zero_copy_only=False)]) for h, c in zip(held, batch.columns, strict=True)]
-        t, key, _ = cols
-        if not len(t):
-            continue
-        same = (t == t[-1]) & (key == key[-1])
-        cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-        held = [c[cut:] for c in cols]
-        if cut:
-            yield solve([c[:cut] for c in cols])
-    yield solve(held)
+    for table in whole_groups(batches, 2):
+        t, key, fp = (c.to_numpy() for c in table.columns)
+        a, b = group_links(fp.view(np.uint64), group_starts(t, key))
+        yield pa.RecordBatch.from_arrays([pa.array(fp[a]), pa.array(fp[b])], names=["a", "b"])
 
 
 def link_edges(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
