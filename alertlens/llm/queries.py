@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from alertlens.llm import embed_dedup, mixing, packing, pii, quality, sharding, simhash, toxicity
+from alertlens.llm import ann, embed_dedup, mixing, packing, pii, quality, sharding, simhash, toxicity
 from alertlens.llm.common import read_table
 
 
@@ -44,6 +44,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op8(spark, read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(spark, read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(spark, read_table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op6_sharding": op6_sharding,
     "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
+    "op9_nearest": op9_nearest,
     "op10_simhash": op10_simhash,
 }
 
