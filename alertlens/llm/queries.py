@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from alertlens.llm import ann, embed_dedup, mixing, packing, pii, quality, sharding, simhash, toxicity
+from alertlens.llm import ann, embed_dedup, mixing, packing, pii, quality, sharding, simhash, substring, toxicity
 from alertlens.llm.common import read_table
 
 
@@ -13,6 +13,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.deduplicated(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op3(spark, read_table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_substring": op2_substring,
     "op3_mixing": op3_mixing,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_quality": op5_quality,

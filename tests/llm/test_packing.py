@@ -1,0 +1,77 @@
+"""Packing: exact round trip, tight windows, and the tokenizer's own ids."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from alertlens.llm import packing
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def check(docs, rows, window=2048):
+    """rows: pieces.  Every id of every document lies in one piece; sequences are gapless."""
+    tok = Tokenizer.from_file(PATH)
+    want = {}
+    for d, t in docs:
+        want.setdefault(d, []).append([*tok.encode(t or "", add_special_tokens=False).ids, 1])
+    got = {}
+    for r in rows:
+        got.setdefault(r.doc_id, []).append((r.start, r.length, r.ids_crc32, r.doc_tokens))
+    assert got.keys() == want.keys()
+    for d, texts in want.items():
+        if len(texts) == 1:
+            ids, at = np.array(texts[0], "<u4"), 0
+            for start, length, crc, total in sorted(got[d]):
+                assert (start, total) == (at, len(ids)) and crc == zlib.crc32(ids[at:at + length].tobytes())
+                at += length
+            assert at == len(ids)
+        else:
+            assert sum(x[1] for x in got[d]) == sum(map(len, texts))
+    fill = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == fill.get(r.sequence_id, 0) and r.length > 0
+        fill[r.sequence_id] = r.offset + r.length
+    assert all(0 < v <= window for v in fill.values())
+    return fill
+
+
+def test_table(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = packing.op8(spark, df, PATH).collect()
+    fill = check([(r.doc_id, r.text) for r in df.collect()], rows)
+    assert 1 - sum(fill.values()) / (2048 * len(fill)) < 0.03
+
+
+def test_odd_rows(spark):
+    docs = [(1, None), (2, ""), (3, "don't STOP... x's!! Émile é!! 12,000.50$  nbsp em \x1cfs"), (4, "a<|endoftext|>b <|startoftext|>"), (5, "word " * 30_000),
+            (7, "same"), (7, "same"), (None, "no id"), (8, "Σίσυφος ΟΔΟΣ İstanbul ǅ ﬁ ½ Ⅷ"), (9, "x" * 20_000)]
+    df = spark.createDataFrame([(*d, 0) for d in docs], "doc_id bigint, text string, start int")
+    check(docs, packing.op8(spark, df, PATH).collect())
+    assert packing.op8(spark, df.limit(0), PATH).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_differencing(seed):
+    rnd = random.Random(seed)
+    sizes = np.array([rnd.randint(1, 512) for _ in range(rnd.randint(1, 400))])
+    m = rnd.randint(1, 70)
+    window, sums = packing.differencing(sizes, m)
+    assert np.array_equal(np.bincount(window, sizes, m).astype(int), sums) and window.max() < m
+    if len(sizes) > 6 * m:
+        assert sums.max() - sums.min() <= 512
+    window = packing.pack_block(sizes, 2048)
+    assert np.bincount(window, sizes).max() <= 2048
+
+
+def test_cache_restart():
+    texts = [" ".join(f"tok{i}x{k}." for i in range(50)) for k in range(40)]
+    with open(PATH, encoding="utf-8") as f:
+        enc = packing.Encoder(f.read(), 100)
+    tok = Tokenizer.from_file(PATH)
+    for t in texts:
+        assert next(enc.encode([t])).tolist() == tok.encode(t, add_special_tokens=False).ids
