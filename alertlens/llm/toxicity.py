@@ -1,8 +1,9 @@
 """Toxicity by maximum-scoring segments.
 
 1. Token log-odds with an informative Dirichlet prior, from labelled documents outside the
-   held-out fold: toxic against clean counts of words and of word stems (leading letters), the
-   prior being the pooled counts.  Tokens whose z-score passes a bound form the lexicon.
+   held-out fold: the toxic against the clean documents that hold a word or a word's stem (its
+   leading letters), the prior being the pooled counts.  Tokens whose z-score passes the bound
+   for so many tests form the lexicon.
 2. A document's words become scores: a lexicon word its log-odds, any other word a small
    negative drift.  A linear-time scan (stack of disjoint segments) finds every maximal
    scoring segment: the toxic passages.
@@ -23,6 +24,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -32,17 +34,19 @@ from pyspark.sql import functions as F
 from alertlens.llm.common import arrow_map, held_out, labelled_sample
 
 WORD = re.compile(r"[^\W\d_]+")
+NONE = 0.0  # the evidence of a text without a significant segment
 
 
 @dataclass(frozen=True)
 class Params:
     fit_rows: int = 20_000  # labelled documents the fit uses at most
-    prior: float = 0.05  # the Dirichlet prior's weight, as a share of all counted tokens
-    min_z: float = 6.0  # least z-score of a lexicon token
-    min_log_odds: float = 1.5
+    prior: float = 0.2  # the Dirichlet prior's weight, as a share of all counted tokens
+    false_tokens: float = 10.0  # expected false tokens in the lexicon: sets the least z-score
+    min_log_odds: float = 1.0
+    min_documents: int = 3  # toxic documents that must hold a lexicon token
     stems: tuple[int, ...] = (4, 5, 6)  # lengths of the stems counted beside whole words
     drift: float = 0.4  # what a word outside the lexicon costs a segment
-    max_p: float = 1e-2  # a segment or set of segments above this is not evidence
+    max_p: float = 0.05  # segments, alone or together, are evidence up to this p-value
     threshold: float = 0.3
 
 
@@ -52,7 +56,7 @@ class Model:
     stems: tuple[int, ...] = ()
     drift: float = 0.4
     decay: float = 1.0  # the root L
-    max_p: float = 1e-2
+    max_p: float = 0.05
     slope: float = 0.0
     intercept: float = -math.inf
     threshold: float = 0.3
@@ -97,51 +101,45 @@ def maximal_segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[
 
 
 def evidence(text: str | None, model: Model) -> tuple[float, list[tuple[int, int, float]]]:
-    """-ln p of the most telling set of segments (0 if above ``max_p``) and the significant
-    passages as (start, end, score) in code points of the text."""
+    """-ln p of the most telling set of segments (``NONE`` if above ``max_p``) and the
+    significant passages as (start, end, score) in code points of the text."""
     if not text or not model.lexicon:
-        return 0.0, []
+        return NONE, []
     low = text.lower()
-    spans = None
     words = WORD.findall(low)
     hits = word_scores(words, model)
     if not hits:
-        return 0.0, []
+        return NONE, []
     segments = maximal_segments(hits, model.drift)
     ln_n = math.log(max(2, len(words)))
-    normal = sorted((model.decay * s - ln_n for _, _, s in segments), reverse=True)
-    best, total = 0.0, 0.0
-    for r, x in enumerate(normal, 1):
-        total += x
-        if x <= 0 and r > 1:
+    best, total = -math.inf, 0.0
+    for r, x in enumerate(sorted((model.decay * s - ln_n for _, _, s in segments), reverse=True), 1):
+        if r > 1 and x <= 0:
             break
-        # sum statistic: p ~ e^-T T^(r-1) / (r! (r-1)!)
-        ln_p = -total + ((r - 1) * math.log(total) - math.lgamma(r + 1) - math.lgamma(r) if r > 1 and total > 0 else 0.0)
-        best = max(best, -ln_p)
+        total += x
+        # sum statistic of the r best: p ~ e^-T T^(r-1) / (r! (r-1)!)
+        best = max(best, total - ((r - 1) * math.log(total) - math.lgamma(r + 1) - math.lgamma(r) if r > 1 else 0.0))
     if best < -math.log(model.max_p):
-        return 0.0, []
+        return NONE, []
+    passages = []
     if len(low) == len(text):
         spans = [m.span() for m in WORD.finditer(low)]
-    passages = [
-        (spans[a][0], spans[b][1], s) for a, b, s in segments if model.decay * s - ln_n > 0
-    ] if spans else []
+        passages = [(spans[a][0], spans[b][1], s) for a, b, s in segments if model.decay * s - ln_n >= -math.log(model.max_p)]
     return best, passages
 
 
 def _count(batches: Iterator[pa.RecordBatch], stems: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
+    """Documents that hold each form, by label: a word that one text repeats counts once."""
     for batch in batches:
-        words: tuple[Counter, Counter] = (Counter(), Counter())
+        forms: tuple[Counter, Counter] = (Counter(), Counter())
         for text, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            words[1 if y else 0].update(WORD.findall(text.lower()))
-        forms: dict[str, list[int]] = {}
-        for y in (0, 1):
-            for w, n in words[y].items():
-                for form in (w, *(w[:k] + "*" for k in stems if len(w) >= k)):
-                    forms.setdefault(form, [0, 0])[y] += n
+            words = set(WORD.findall(text.lower()))
+            forms[1 if y else 0].update(words.union(w[:k] + "*" for w in words for k in stems if len(w) >= k))
+        names = list(forms[0].keys() | forms[1].keys())
         yield pa.RecordBatch.from_pydict({
-            "form": pa.array(list(forms), pa.string()),
-            "clean": pa.array([x[0] for x in forms.values()], pa.int64()),
-            "toxic": pa.array([x[1] for x in forms.values()], pa.int64()),
+            "form": pa.array(names, pa.string()),
+            "clean": pa.array([forms[0][f] for f in names], pa.int64()),
+            "toxic": pa.array([forms[1][f] for f in names], pa.int64()),
         })
 
 
@@ -195,18 +193,20 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
         .mapInArrow(lambda it: _count(it, stems), "form string, clean bigint, toxic bigint")
         .groupBy("form").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     ).persist()
-    whole = counts.where(~F.col("form").endswith("*")).agg(F.sum("clean"), F.sum("toxic")).first()
-    n_clean, n_toxic = float(whole[0] or 0), float(whole[1] or 0)
+    word, tested = ~F.col("form").endswith("*"), F.col("toxic") >= params.min_documents
+    whole = counts.agg(*[F.sum(F.when(word, F.col(c))) for c in ("clean", "toxic")], F.sum(tested.cast("long"))).first()
+    n_clean, n_toxic, n_tested = (float(x or 0) for x in whole)
     if not n_toxic or not n_clean:
         counts.unpersist()
         return Model(threshold=params.threshold)
     # a token can pass only if its toxic count beats its share, which prunes before the driver
-    cand = counts.where(F.col("toxic") * n_clean > F.col("clean") * n_toxic * math.exp(params.min_log_odds / 2)).where(F.col("toxic") >= 3).collect()
+    cand = counts.where(F.col("toxic") * n_clean > F.col("clean") * n_toxic * math.exp(params.min_log_odds / 2)).where(tested).collect()
     counts.unpersist()
     tox = np.array([r["toxic"] for r in cand], float)
     cln = np.array([r["clean"] for r in cand], float)
     delta, z = log_odds(tox, cln, n_toxic, n_clean, params.prior)
-    keep = (z >= params.min_z) & (delta >= params.min_log_odds)
+    least_z = NormalDist().inv_cdf(1 - min(0.5, params.false_tokens / max(1.0, n_tested)))
+    keep = (z >= least_z) & (delta >= params.min_log_odds)
     lexicon = {r["form"]: float(d) for r, d, k in zip(cand, delta, keep, strict=True) if k}
     if not lexicon:
         return Model(threshold=params.threshold)
@@ -214,20 +214,25 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
     a0 = params.prior * (n_toxic + n_clean)
     p = (cln + params.prior * (tox + cln)) / (n_clean + a0)
     decay = decay_root(p[whole_words], delta[whole_words], params.drift) if whole_words.any() else 1.0
-    model = Model(lexicon, stems, params.drift, decay, params.max_p, 0.0, 0.0, params.threshold)
+    model = Model(lexicon, stems, params.drift, decay, params.max_p, threshold=params.threshold)
     pairs = arrow_map(
         sample.select("text", "y"),
         lambda c: {"x": [evidence(t, model)[0] for t in c[0]], "y": [float(y) for y in c[1]]},
         "x double, y double",
     ).collect()
-    slope, intercept = logistic_1d(np.log1p([r["x"] for r in pairs]), np.array([r["y"] for r in pairs]))
+    slope, intercept = logistic_1d(squash(np.array([r["x"] for r in pairs])), np.array([r["y"] for r in pairs]))
     return Model(lexicon, stems, params.drift, decay, params.max_p, slope, intercept, params.threshold)
 
 
+def squash(x):
+    """Evidence on a scale for the logistic map: slower than linear far out."""
+    return np.log1p(np.asarray(x, float))
+
+
 def probability(x: float, model: Model) -> float:
     if model.intercept == -math.inf:
         return 0.0
-    return 1 / (1 + math.exp(-max(-30.0, min(30.0, model.slope * math.log1p(x) + model.intercept))))
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, model.slope * float(squash(x)) + model.intercept))))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

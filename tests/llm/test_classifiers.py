@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from alertlens.llm import quality, toxicity
 
-SF01 = "/root/testdata/sf0.01"
+SF01 = "/root/testdata/sf0.1"
 
 
 def held_out_accuracy(df, label):
@@ -28,7 +28,7 @@ def test_held_out(spark, op, label):
     assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
     assert {r.doc_id for r in rows if r.held_out} == {r[0] for r in docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2).select("doc_id").collect()}
     hit, clean = held_out_accuracy(out, label)
-    assert hit >= 0.9 and clean >= 0.9
+    assert hit >= (0.8 if label == "toxic" else 0.98) and clean >= 0.95
 
 
 @pytest.mark.parametrize("op,columns", [(toxicity.op7, ["passages"]), (quality.op5, [])])
@@ -51,7 +51,7 @@ def test_toxic_passages_are_cut_out(spark):
     text = clean + "Foul! a rudeness, FOUL" + " " + clean
     x, passages = toxicity.evidence(text, model)
     assert x > 0 and [text[a:b] for a, b, _ in passages] == ["Foul! a rudeness, FOUL"]
-    assert toxicity.evidence(clean, model) == (0.0, [])
+    assert toxicity.evidence(clean, model) == (toxicity.NONE, [])
     docs = spark.createDataFrame([(1, text, 5), (2, clean, 6)], "doc_id bigint, text string, predicted int")
     kept = toxicity.keep_clean(docs, model)
     assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [2]
