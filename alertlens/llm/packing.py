@@ -19,13 +19,16 @@ document of its own, also if rows or ids repeat; doc_id may be null; other colum
 from __future__ import annotations
 
 import heapq
+import json
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,78 +43,150 @@ class Params:
     piece: int = 512
     block: int = 64  # windows a block is meant to fill
     end_id: int = 1
-    cache: int = 400_000  # distinct words a task remembers at most; beyond, it starts anew
+    cache: int = 600_000  # distinct words a task remembers; beyond, it starts anew
 
 
-class Encoder:
-    """The tokenizer's ids, by words.
+#: A pre-token of an ASCII-lowered word: what the tokenizer's own split pattern gives when every
+#: character beyond ASCII is a letter.
+PIECE = r"('(?:s|t|re|ve|m|ll|d)|[a-z\x{80}-\x{10ffff}]+|[0-9]|[^\sa-z0-9\x{80}-\x{10ffff}]+)"
 
-    The tokenizer's pre-tokens never hold white space, its normalizer works on characters, and
-    words are separated by white space: the ids of a text are those of its words in turn.  So
-    each distinct word is encoded once, in lower case (the normalizer lower-cases), and its
-    trailing punctuation apart where a pre-token must end there.  Texts that may hold a special
-    token are encoded whole.
-    """
 
-    TAIL = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+def _plain_letters() -> str:
+    """Letters beyond ASCII (Latin, Greek, Cyrillic) that stay one letter each when normalized
+    and lowered."""
+    def plain(ch: str) -> bool:
+        low = unicodedata.normalize("NFC", ch).lower()
+        return ch.isalpha() and low.isalpha() and len(low) == 1 and low != "\u03c3"  # sigma lowers by its place
+
+    return "".join(filter(plain, map(chr, range(0x80, 0x530))))
+
+
+def _known(spec: str) -> bool:
+    """Whether the tokenizer is of the kind that ``Encoder`` takes apart."""
+    t = json.loads(spec)
+    kinds = [n.get("type") for n in (t.get("normalizer") or {}).get("normalizers", [])]
+    steps = (t.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    pattern = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+    return (
+        t["model"].get("type") == "BPE" and t["model"].get("end_of_word_suffix") == "</w>" and kinds == ["NFC", "Replace", "Lowercase"]
+        and [s.get("type") for s in steps] == ["Split", "ByteLevel"] and steps[0].get("pattern") == {"Regex": pattern}
+        and steps[0].get("behavior") == "Removed" and steps[0].get("invert") is True and not steps[1].get("use_regex")
+    )
+
+
+class _Numbers(dict):
+    """Numbers keys in the order in which they are met."""
+
+    def __init__(self):
+        super().__init__()
+        self.order: list = []
+
+    def __missing__(self, key) -> int:
+        n = self[key] = len(self.order)
+        self.order.append(key)
+        return n
+
+
+class _Pool:
+    """Id sequences by number."""
+
+    def __init__(self):
+        self.flat, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, ids: np.ndarray, size: np.ndarray) -> None:
+        self.start = np.concatenate([self.start, size.cumsum() - size + len(self.flat)])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, ids])
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sequences at these numbers, end to end, and their sizes."""
+        n = self.size[at]
+        ends = n.cumsum()
+        return self.flat[np.repeat(self.start[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)], n
+
+
+class Encoder:
+    """The tokenizer's ids, by words and pieces.
+
+    Its pre-tokens hold no white space; inside a word its split pattern cuts runs of letters,
+    single digits, runs of other marks and a few contractions, and byte-pair merges never cross a
+    cut.  So each distinct piece is encoded once (many at a time, joined by spaces; the last id
+    of a piece is one that ends a word), each distinct word is put together from its pieces, and
+    a text from its words.  Pieces are normalized here and given to a copy of the tokenizer that
+    only splits at spaces.  A text that holds anything but ASCII and plain letters, or what may be
+    a special token, is encoded whole, and so is every text if the tokenizer's file does not name
+    the split pattern and normalizers this rests on.
+    """
 
     def __init__(self, spec: str, cache: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer, self.cache = Tokenizer.from_str(spec), cache
+        self.odd = f"<\\||[^\\x00-\\x7f{_plain_letters()}]" if _known(spec) else "(?s)."
+        self.light = Tokenizer.from_str(spec)
+        self.light.normalizer = normalizers.Sequence([])
+        self.light.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.used = 0
-        self.start = np.zeros(1 << 14, np.int64)
-        self.size = np.zeros(1 << 14, np.int64)
+        self.words, self.pieces = _Numbers(), _Numbers()
+        self.of_word, self.of_piece = _Pool(), _Pool()
+        self.pieces[""]  # an empty word has one piece, which has no id
+        self.of_piece.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _split(self, w: bytes) -> tuple[bytes, bytes]:
-        base = w.rstrip(self.TAIL)
-        if base and len(base) < len(w) and (base[-1:].isalnum() or base[-8:].decode("utf-8", "ignore")[-1:].isalpha()):
-            return base, w[len(base):]
-        return w, b""
-
-    def _learn(self, new: list[bytes]) -> None:
-        parts = [self._split(w) for w in new]
-        distinct = list({p for pair in parts for p in pair if p})
-        ids = dict(zip(distinct, self._whole([p.decode() for p in distinct]), strict=True))
-        ids[b""] = []
-        for w, (base, tail) in zip(new, parts, strict=True):
-            got = ids[base] + ids[tail]
-            n, k = len(got), len(self.index)
-            while self.used + n > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            if k == len(self.start):
-                self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-                self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-            self.flat[self.used:self.used + n] = got
-            self.start[k], self.size[k] = self.used, n
-            self.index[w] = k
-            self.used += n
-
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        if len(self.index) > self.cache:
+    def _learn(self) -> None:
+        """Encode the words met since the last call."""
+        new = self.words.order[len(self.of_word.size):]
+        if not new:
+            return
+        cut = pc.ascii_rtrim_whitespace(pc.replace_substring_regex(pa.array(new), PIECE, r"\1 "))
+        cut = pc.ascii_split_whitespace(cut)
+        coded = cut.flatten().dictionary_encode()
+        known = np.fromiter(map(self.pieces.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+        at = known[coded.indices.to_numpy()]
+        pieces = self.pieces.order[len(self.of_piece.size):]
+        flat, size = [], []
+        for lo in range(0, len(pieces), 256):
+            part = pieces[lo:lo + 256]
+            text = unicodedata.normalize("NFC", " ".join(part)).lower()
+            ids = np.array(self.light.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            end = np.flatnonzero(self.ends[ids]) + 1
+            if len(end) != len(part):
+                raise ValueError("the tokenizer does not keep to its pieces")
+            flat.append(ids)
+            size.append(np.diff(end, prepend=0))
+        if flat:
+            self.of_piece.add(np.concatenate(flat), np.concatenate(size))
+        ids, n = self.of_piece.take(at)
+        total = np.append(0, n.cumsum())
+        self.of_word.add(ids, np.diff(total[cut.offsets.to_numpy()]))
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of every text; null counts as empty."""
+        if len(self.words) > self.cache:
             self.clear()
-        words = [(t or "").encode("utf-8", "replace") for t in texts]
-        words = [None if b"<|" in b else b.lower().split() for b in words]
-        known = self.index
-        self._learn([w for w in set().union(*(x for x in words if x)) if w not in known])
-        for t, ws in zip(texts, words, strict=True):
-            if ws is None:
-                yield np.array(self._whole([t])[0], np.uint32)
-                continue
-            at = np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))
-            n = self.size[at]
-            ends = n.cumsum()
-            total = int(ends[-1]) if len(ends) else 0
-            yield self.flat[np.repeat(self.start[at] - (ends - n), n) + np.arange(total)]
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, self.odd)
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(odd, "", texts)))
+        coded = split.flatten().dictionary_encode()
+        known = np.fromiter(map(self.words.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+        self._learn()
+        at = known[coded.indices.to_numpy()]
+        end = split.offsets.to_numpy().astype(np.int64)
+        end -= end[0]
+        for k, whole in enumerate(odd.to_pylist()):
+            if whole:
+                yield np.array(self._whole([texts[k].as_py()])[0], np.uint32)
+            else:
+                yield self.of_word.take(at[end[k]:end[k + 1]])[0]
 
 
 def differencing(sizes: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
@@ -182,9 +257,9 @@ def pack(batches: Iterator[pa.RecordBatch], spec: str, p: Params, task: int, sch
         return out
 
     for batch in batches:
-        for lo in range(0, batch.num_rows, 512):
-            ids_col, text_col = (c.to_pylist() for c in batch.slice(lo, 512).columns)
-            for doc_id, ids in zip(ids_col, encoder.encode(text_col), strict=True):
+        for lo in range(0, batch.num_rows, 2500):
+            ids_col, texts = batch.slice(lo, 2500).columns
+            for doc_id, ids in zip(ids_col.to_pylist(), encoder.encode(texts), strict=True):
                 ids = np.append(ids, np.uint32(p.end_id)).astype("<u4")
                 n, at = len(ids), 0
                 while at < n:

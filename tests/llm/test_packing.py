@@ -1,10 +1,12 @@
 """Packing: exact round trip, tight windows, and the tokenizer's own ids."""
 
+import json
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -74,4 +76,13 @@ def test_cache_restart():
         enc = packing.Encoder(f.read(), 100)
     tok = Tokenizer.from_file(PATH)
     for t in texts:
-        assert next(enc.encode([t])).tolist() == tok.encode(t, add_special_tokens=False).ids
+        assert next(enc.encode(pa.array([t]))).tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
+def test_other_tokenizer_files_are_taken_whole():
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["pre_tokenizer"]["pretokenizers"][0]["pattern"] = {"Regex": "[\\p{L}]+|[^\\s\\p{L}]+"}
+    enc, tok = packing.Encoder(json.dumps(spec), 100), Tokenizer.from_str(json.dumps(spec))
+    texts = ["it's 12,000.50$ don't", "", "word word"]
+    assert [x.tolist() for x in enc.encode(pa.array(texts))] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
