@@ -123,7 +123,7 @@ def digest(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _scan(docs: DataFrame) -> DataFrame:
+def _scan(rows: DataFrame) -> DataFrame:
     """(doc_id, row, n_words, sha, anchors...) of every row; the lists are parallel."""
     state: list = []
 
@@ -141,13 +141,17 @@ def _scan(docs: DataFrame) -> DataFrame:
                 out[name].append(v)
         return out
 
-    return arrow_map(_rows(docs), run, "doc_id bigint, row bigint, n_words bigint, sha string, h array<bigint>, c array<bigint>, at array<bigint>")
+    return arrow_map(rows, run, "doc_id bigint, row bigint, n_words bigint, sha string, h array<bigint>, c array<bigint>, at array<bigint>")
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, text); doc_id and row name a row up to rows that are equal."""
-    text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
+    """(doc_id, row, text); doc_id and row name a row up to rows that are equal.  ``row`` is a
+    hash of the text for ids that repeat and 0 for all others, which costs next to nothing to
+    shuffle beside each anchor."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    again = rows.groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(True).alias("again"))
+    rows = rows.join(materialize(again, "sub-repeated"), "doc_id", "left")
+    return rows.select("doc_id", F.when(F.col("again"), F.xxhash64("text")).otherwise(F.lit(0)).cast("bigint").alias("row"), "text")
 
 
 def _contexts(candidates: DataFrame) -> DataFrame:
@@ -236,7 +240,8 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeats(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(every row's scan, candidates with their texts and whole spans, runs found in subtrees)."""
-    scan = materialize(_scan(docs), "sub-scan")
+    texts = _rows(docs)
+    scan = materialize(_scan(texts), "sub-scan")
     rows = scan.select("doc_id", "row", F.explode(F.arrays_zip("h", "c", "at")).alias("x")).select("doc_id", "row", "x.h", "x.c", "x.at")
     shared = rows.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h")
     rows = materialize(rows.join(materialize(shared, "sub-shared"), "h"), "sub-anchors")
@@ -250,7 +255,7 @@ def repeats(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame,
         "doc_id", "row", F.transform(F.filter("parts", lambda p: p.whole), lambda p: p["at"]).alias("spans"),
         F.filter("parts", lambda p: ~p.whole).alias("parts"),
     )
-    candidates = materialize(_rows(docs).join(lists, ["doc_id", "row"]), "sub-candidates")
+    candidates = materialize(texts.join(lists, ["doc_id", "row"]), "sub-candidates")
     found = materialize(_contexts(candidates.where(F.size("parts") > 0)), "sub-contexts")
     small = found.where("not big").repartition("h").sortWithinPartitions("h")
     runs = small.select("h", "doc_id", "row", "first", "count", "words").mapInArrow(_subtrees, "doc_id bigint, row bigint, first bigint, end bigint")
@@ -288,7 +293,11 @@ def deduplicated(spark: SparkSession, docs: DataFrame, texts: bool = False) -> D
         return out
 
     schema = "doc_id bigint, row bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string"
-    cut = arrow_map(candidates.select("doc_id", "row", "text", "spans").join(runs, ["doc_id", "row"], "left"), run, schema)
+    named = candidates.select("doc_id", "row", "text", "spans", "parts")
+    # only rows that sent spans to subtrees can have runs; the others need no join
+    cut = named.where(F.size("parts") > 0).drop("parts").join(runs, ["doc_id", "row"], "left")
+    cut = cut.unionByName(named.where(F.size("parts") == 0).drop("parts").withColumn("runs", F.lit(None).cast(runs.schema["runs"].dataType)))
+    cut = arrow_map(cut.select("doc_id", "row", "text", "spans", "runs"), run, schema)
     ids = candidates.select("doc_id", "row").distinct()
     whole = scan.join(ids, ["doc_id", "row"], "left_anti").select(
         "doc_id", "row", "n_words", F.lit(0).cast("bigint").alias("n_removed"), F.col("sha").alias("kept_sha256"), F.lit(None).cast("string").alias("kept"))
