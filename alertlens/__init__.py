@@ -7,9 +7,9 @@ sources/     envelope scans, the fixture adapter over ``events``, history reads
 operators/   DataFrame -> DataFrame operators (dedup, as-of preference, joins, aggregates)
 plans/       composite outputs: final table, scorecard, failure lists, weekly run
 sinks/       writers (final, scorecard, failure lists, history with dynamic overwrite)
-streaming/   intentionally empty: the reference job is batch-only
+llm/         training-data operators; nothing else imports it
 
-Every operator is lazy (no action inside) and uses built-in expressions only.
+Every operator outside llm/ is lazy (no action inside) and uses built-in expressions only.
 """
 
 from alertlens.options import PORT, RECORD, STRICT, Options

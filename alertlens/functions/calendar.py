@@ -5,7 +5,7 @@ With X = first day of the reporting week, N = the day after X and Z = the day be
 * window end   = next_day(report_dt, N) - 9   (the last Z on or before report_dt - 2)
 * window start = end - 6, or the first-run start while end < the first-run week end
 * end bound    = end + 1 day (BETWEEN start AND end bound; see Options.inclusive_end)
-* partition cutoff = start - 7, as ``yyyyMMdd`` text
+* partition cutoff = start - 7, as ``yyyyMMdd`` text, or the run's override
 * snapshot date of a date d = next_day(d - 1, Z), the last day of the week holding d
 """
 
@@ -37,6 +37,7 @@ class ReportWindow:
     report_dt: dt.date
     start: dt.date
     end: dt.date
+    cutoff: str | None = None  # run-time override of the partition cutoff
 
     @property
     def end_bound(self) -> dt.datetime:
@@ -49,7 +50,7 @@ class ReportWindow:
 
     @property
     def partition_cutoff(self) -> str:
-        return (self.start - dt.timedelta(days=7)).strftime("%Y%m%d")
+        return self.cutoff or (self.start - dt.timedelta(days=7)).strftime("%Y%m%d")
 
     @property
     def label(self) -> str:
@@ -59,13 +60,21 @@ class ReportWindow:
 def reporting_window(report_dt: dt.date, opts: Options = RECORD) -> ReportWindow:
     end = next_day(report_dt, _day(opts.week_start, 1)) - dt.timedelta(days=9)
     start = opts.first_run_start if end < opts.first_run_week_end else end - dt.timedelta(days=6)
-    return ReportWindow(report_dt, start, end)
+    return ReportWindow(report_dt, start, end, opts.partition_cutoff)
 
 
 def snap_date_py(d: dt.date, opts: Options = RECORD) -> dt.date:
     return next_day(d - dt.timedelta(days=1), _day(opts.week_start, -1))
 
 
+def own_snap_dates(w: ReportWindow, opts: Options = RECORD) -> list[dt.date]:
+    """The snapshot dates of the decisions inside a window."""
+    if opts.snap_from_report:
+        return [w.report_dt]
+    days = (w.end - w.start).days + 1
+    return sorted({snap_date_py(w.start + dt.timedelta(days=k), opts) for k in range(days)})
+
+
 # ---- Column forms -------------------------------------------------------------------------
 
 

@@ -1,4 +1,4 @@
-"""Fixed values that must equal the reference job's for right results.
+"""Fixed values that must equal the original job's for right results.
 
 Fixed values: activity types, payload type filters, control texts, scorecard
 constants and latency-bucket labels, stated as the job states them.
@@ -23,17 +23,19 @@ KEY_HEADER = "SourceEventHeader"
 KEY_PAYLOAD = "eventPayload"
 
 # --- fixed values: control rows ---------------------------------------------------------
-# (ControlRisk, TestType, RDE) per control.
-CONTROL_ACCURACY = ("Accuracy", "Sample", "Alert010_Accuracy_Available_Credit")
-CONTROL_TIMELINESS = ("Timeliness", "Anomaly", "Alert011_Timeliness_SLA")
-CONTROL_COMPLETENESS = ("Completeness", "Reconciliation", "Alert012_Completeness_All_Clients")
+# (ControlRisk, TestType) per control; the control ids are options.
+CONTROL_ACCURACY = ("Accuracy", "Sample")
+CONTROL_TIMELINESS = ("Timeliness", "Anomaly")
+CONTROL_COMPLETENESS = ("Completeness", "Reconciliation")
 PASS_CODE = "COM16"
 FAIL_CODE = "COM19"
+# the last port's codes
+THIRD_PASS_CODE = "COM6"
+THIRD_FAIL_CODE = "COM5"
+THIRD_COMPLETE_CODE = "CON9"
+THIRD_INCOMPLETE_CODE = "CON8"
 
 # --- fixed values: scorecard constant columns -------------------------------------------
-REGULATORY_NAME = "CB6"
-LOB = "Credit Cards"
-REPORT_NAME = "CB6 Alerts"
 TEST_PERIOD = "Portfolio"
 PRODUCT_TYPE_LABEL = "Credit Cards"
 SEGMENT_PAD = "."
@@ -41,7 +43,7 @@ HOLDOUT_FLAG = "N"
 ACCURACY_DECISION_LABEL = "AlertDecision"
 MASK_PREFIX = "******"
 
-# The code-to-text dimension is not part of the reference; these texts are ours.
+# The code-to-text dimension is an input of the job; these texts are ours.
 DEFAULT_COMMENTS = {
     "COM16": "Control passed",
     "COM19": "Control failed - see detail list",

@@ -14,12 +14,23 @@ def attr(key: str, col: str = "eventAttributes") -> Column:
     return F.element_at(F.col(col), F.lit(key))
 
 
-def safe_ts(c: Column) -> Column:
+OFFSET = r"[:.0-9]([+-])(\d{2}):?(\d{2})$"
+
+
+def safe_ts(c: Column, offsets: str = "drop") -> Column:
     """ISO-8601 text to timestamp_ntz, NULL when unparsable.
 
     The cast itself takes a space or 'T' separator and ignores a trailing 'Z' or numeric
-    offset (times are wall-clock UTC), so no per-row regular expression is needed."""
-    return c.try_cast("timestamp_ntz")
+    offset, so for feeds whose times are wall-clock UTC no per-row regular expression is needed
+    ('drop').  With 'utc' a numeric offset moves the time to UTC."""
+    t = c.try_cast("timestamp_ntz")
+    if offsets == "drop":
+        return t
+    sign, hours, minutes = (F.regexp_extract(c, OFFSET, k) for k in (1, 2, 3))
+    moved = t - F.make_dt_interval(F.lit(0), hours.cast("int"), minutes.cast("int"))
+    back = t + F.make_dt_interval(F.lit(0), hours.cast("int"), minutes.cast("int"))
+    has_time = F.instr(c, ":") > 0  # a bare date ends like an offset
+    return F.when(has_time & (sign == "+"), moved).when(has_time & (sign == "-"), back).otherwise(t)
 
 
 def safe_decimal(c: Column, precision: int = 12, scale: int = 2) -> Column:
@@ -107,9 +118,9 @@ def ceil_minutes(seconds: Column) -> Column:
     return F.ceil(seconds / F.lit(60.0)).cast("long")
 
 
-def control_code(passed: Column, opts: Options = RECORD) -> Column:
+def control_code(passed: Column, pass_code: str = C.PASS_CODE, fail_code: str = C.FAIL_CODE) -> Column:
     """pass/fail result code from a boolean."""
-    return F.when(passed, F.lit(opts.pass_code)).otherwise(F.lit(opts.fail_code))
+    return F.when(passed, F.lit(pass_code)).otherwise(F.lit(fail_code))
 
 
 def is_blank(c: Column) -> Column:

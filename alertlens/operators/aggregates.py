@@ -52,16 +52,22 @@ def control_passed(control: str) -> Column:
 
 def control_summary(df: DataFrame, control: str, report_dt: dt.date, opts: Options = RECORD) -> DataFrame:
     """A2-A4: one control's summary rows: 7 group keys, count, two sums."""
-    risk, test, rde = CONTROLS[control]
-    segment = yyyymm(F.col("decision_date")) if control == "completeness" else yyyymmdd(F.col("decision_date"))
+    risk, test = CONTROLS[control]
+    rde = opts.control_ids[list(CONTROLS).index(control)]
+    monthly = control == "completeness" and opts.completeness_segment == "month"
+    segment = yyyymm(F.col("decision_date")) if monthly else yyyymmdd(F.col("decision_date"))
+    codes = (opts.pass_code, opts.fail_code)
+    if control == "completeness":
+        codes = (opts.completeness_pass_code or codes[0], opts.completeness_fail_code or codes[1])
+    snapshot = F.lit(report_dt) if opts.snap_from_report else snap_date(F.col("decision_date"), opts)
     keyed = df.select(
         F.lit(risk).alias("ControlRisk"),
         F.lit(test).alias("TestType"),
         F.lit(rde).alias("RDE"),
-        S.control_code(F.coalesce(control_passed(control), F.lit(False)), opts).alias("CommentCode"),
+        S.control_code(F.coalesce(control_passed(control), F.lit(False)), *codes).alias("CommentCode"),
         segment.alias("Segment10"),
         F.lit(report_dt).alias("DateCompleted"),
-        snap_date(F.col("decision_date"), opts).alias("SnapDate"),
+        snapshot.alias("SnapDate"),
         "alert_amount", "threshold_amount",
     )
     keys = ["ControlRisk", "TestType", "RDE", "CommentCode", "Segment10", "DateCompleted", "SnapDate"]
@@ -143,18 +149,3 @@ def freq_crosstab(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         cum.alias("cum_frequency"),
         (cum.cast("double") * F.lit(100.0) / total).alias("cum_percent"),
     )
-
-
-def freq_oneway_separate(df: DataFrame, cols: Sequence[str], labels: dict[str, callable] | None = None) -> DataFrame:
-    """A6 as one aggregate per column, unioned (the straightforward plan; kept to measure the
-    grouping-sets pass against it).  Same output as ``freq_oneway``."""
-    labels = labels or {}
-    parts = []
-    for c in cols:
-        col = labels[c](F.col(c)) if c in labels else F.col(c)
-        parts.append(df.groupBy(col.cast("string").alias("level")).agg(F.count(F.lit(1)).alias("frequency"))
-                     .select(F.lit(c).alias("variable"), "level", "frequency"))
-    agg = parts[0]
-    for p in parts[1:]:
-        agg = agg.unionByName(p)
-    return _with_cumulative(agg, ["variable"], [F.col("level").asc_nulls_first()])

@@ -6,40 +6,47 @@ if there is none, the latest one overall (flag 'N'); ties by preference event id
 preference time counts as "before" under ``nulls='low'`` but ranks last.  A decision with no
 preference at all gets NULL preference columns and flag 'Y' (``nulls='low'``, time present).
 
-Plan: decisions and preferences become tagged rows of one frame, ordered inside each key by
-(group, time, tag, id) so that a preference precedes a decision exactly when it is "before"
-it.  A running ``min`` over a rank struct then gives the latest prior preference and an
-unbounded ``min`` the key's best overall: O(decisions + preferences), no pair is formed.
-
-Skew: a key may hold a large share of all rows.  Keys with more than ``split_rows`` rows are
-cut into time ranges at approximate quantiles of their times, and each (key, range) is its
-own window partition.  What a range needs from the earlier ranges of its key - the best
-preference so far and the key's overall best - is computed from per-(key, range) partial
-aggregates (at most one row per range) and injected as one carry row at the start of the
-range.  The split table is broadcast: it has at most ``rows / split_rows`` keys and
-``min(rows_of_key / split_rows, max_splits)`` points per key, so it is bounded by
-about 2 x rows / split_rows longs (defaults: 500,000 rows per range, at most 4,096 ranges
-per key).  The split is by time only: rows of one key that share a single
-timestamp (or have none) stay in one range, because a decision must never see a
-preference of the same instant as "before" it; the result is still exact.
+One plan for every input size, with no action, broadcast hint or threshold:
+
+1. Preferences are reduced to one per (key, instant), the best of that instant, and decisions
+   to their distinct (key, instant).  Both are partial aggregates, so any number of rows that
+   share an instant (or have no time) costs a row a task.  Only key, time and preference id
+   travel from here on.
+2. Time is cut into buckets of ``BUCKET`` (one hour) for every key.  The last preference of each
+   (key, bucket) runs as a carry over the buckets of its key.
+3. One window per (key, bucket) continues from its carry: a running maximum gives the last
+   preference before each decision instant.  A task sees one hour of one key, however hot.
+4. The chosen preferences' columns are joined to the decision instants, and those to the
+   decisions.  Both sides of these joins are plain exchanges, so adaptive execution may split a
+   key that many decisions share.
+
+O(decisions + preferences); no (decision, preference) pair is formed.
 """
 
 from __future__ import annotations
 
-
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from alertlens.functions.scalars import micros
-from alertlens.session import materialize as materialize_table
 from alertlens.options import RECORD, Options
 
 FLAG = "dec_tm_ge_pref_tm"
-K = ("_k1", "_k2")
+BUCKET = 3_600_000_000  # microseconds
+NO_TIME = -(2**63)  # a missing time as a join key
+KEY = ["_k1", "_k2"]
+
+
+def _text_key(c: Column) -> Column:
+    """A text as a join key: NULL becomes a value of its own, so that equality is null-safe."""
+    return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
 
 
-def _keys_match(left: DataFrame, right: DataFrame) -> Column:
-    return left["_k1"].eqNullSafe(right["_k1"]) & left["_k2"].eqNullSafe(right["_k2"])
+def _keyed(df: DataFrame, account: str, customer: str, ts: str) -> DataFrame:
+    return df.withColumns({
+        "_k1": _text_key(F.col(account)), "_k2": _text_key(F.col(customer)),
+        "_m": F.coalesce(micros(F.col(ts)), F.lit(NO_TIME)),
+    })
 
 
 def _q(name: str) -> str:
@@ -47,162 +54,72 @@ def _q(name: str) -> str:
 
 
 def _struct_of(cols) -> Column:
-    """struct(c1, c2, ...) as one SQL expression (one call to the JVM, not one per column)."""
     return F.expr("struct(" + ", ".join(_q(c) for c in cols) + ")")
 
 
-def _tagged(dec: DataFrame, pref: DataFrame, opts: Options) -> tuple[DataFrame, list[str], list[str]]:
-    dcols, pcols = dec.columns, pref.columns
+def _usable(pref: DataFrame, opts: Options) -> DataFrame:
     if opts.null_keys == "drop":
         pref = pref.where(F.col("external_account_p").isNotNull() & F.col("cust_id_p").isNotNull())
-    tp = F.col("event_ts_p")
-    sid = F.col("source_event_id_p").cast("string")
-    # lower is better: a time before none, the latest time first, then the smaller id (a NULL
-    # id first under the record's null order, last under 'last')
-    sid_null = sid.isNotNull() if opts.null_order == "sas" else sid.isNull()
-    rank = F.struct(tp.isNull().alias("n"), (-micros(tp)).alias("m"), sid_null.alias("sn"), sid.alias("s"))
-    p_rows = pref.select(
-        F.col("external_account_p").alias("_k1"), F.col("cust_id_p").alias("_k2"),
-        F.when(tp.isNull(), F.lit(1 if opts.nulls == "low" else 3)).otherwise(F.lit(2)).alias("_g"),
-        tp.alias("_pos"), F.lit(1).alias("_tag"), F.col("source_event_id_p").cast("string").alias("_tb"),
-        F.struct(rank.alias("r"), _struct_of(pcols).alias("p")).alias("_pv"),
-    )
-    t = F.col("event_ts")
-    d_rows = dec.select(
-        F.col("account_id").alias("_k1"), F.col("customer_id").alias("_k2"),
-        F.when(t.isNull(), F.lit(0)).otherwise(F.lit(2)).alias("_g"),
-        t.alias("_pos"), F.lit(0).alias("_tag"), F.col("source_event_id").cast("string").alias("_tb"),
-        _struct_of(dcols).alias("_d"),
-    )
-    pv_type = p_rows.schema["_pv"].dataType
-    d_type = d_rows.schema["_d"].dataType
-    u = d_rows.withColumn("_pv", F.lit(None).cast(pv_type)).unionByName(
-        p_rows.withColumn("_d", F.lit(None).cast(d_type))
-    )
-    return u, dcols, pcols
-
-
-def _finish(rows: DataFrame, prior: Column, best: Column, dcols, pcols, opts: Options) -> DataFrame:
-    out = rows.select("_tag", "_d", prior.alias("_prior"), best.alias("_best")).where(F.col("_tag") == 0)
-    no_pref_flag = "_d.event_ts IS NOT NULL" if opts.nulls == "low" else "false"
-    flag = (f"CASE WHEN _prior IS NOT NULL THEN 'Y' WHEN _best IS NULL AND {no_pref_flag} THEN 'Y' "
-            f"ELSE 'N' END AS {FLAG}")
-    return out.selectExpr(
-        *[f"_d.{_q(c)} AS {_q(c)}" for c in dcols],
-        *[f"coalesce(_prior, _best).p.{_q(c)} AS {_q(c)}" for c in pcols],
-        flag,
-    )
-
-
-def _pref_val() -> Column:
-    return F.when(F.col("_tag") == 1, F.col("_pv"))
-
-
-def effective_preference_single(dec: DataFrame, pref: DataFrame, opts: Options = RECORD) -> DataFrame:
-    """One shuffle on the key, always (no statistics pass).  Fine when no key is hot."""
-    u, dcols, pcols = _tagged(dec, pref, opts)
-    return _single_pass(u, dcols, pcols, opts)
-
-
-def effective_preference(dec: DataFrame, pref: DataFrame, opts: Options = RECORD,
-                         split_rows: int | None = None, max_splits: int | None = None,
-                         materialize: bool = True) -> DataFrame:
-    """J3, skew-safe.  ``dec`` must hold one row per decision (see ``dedup_decisions``).
-
-    The tagged input is read up to three times (hot-key counts, split points, the main
-    pass).  With ``materialize`` it is first written once as a Parquet table under the
-    session's ``spark.checkpoint.dir`` (so the feeds are scanned, parsed and deduplicated
-    once, and a lost executor costs a re-read, not a recomputation), and a cheap pass over
-    that copy (two key columns) decides the plan: no hot key -> one window pass on the key;
-    hot keys -> the range-split plan below.  Without ``materialize`` the plan stays lazy
-    and always takes the split form."""
-    split_rows = split_rows or opts.split_rows
-    max_splits = max_splits or opts.max_splits
-    u, dcols, pcols = _tagged(dec, pref, opts)
-    hot = None
-    if materialize:
-        obs = Observation("asof_input")
-        u = materialize_table(u.observe(obs, F.count(F.lit(1)).alias("rows")), "asof-input")
-        if obs.get["rows"] <= split_rows:        # no key can be hot: skip the statistics pass
-            return _single_pass(u, dcols, pcols, opts)
-    hot = u.groupBy(*K).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows)
-    if materialize:
-        st = hot.agg(F.count(F.lit(1)).alias("keys"), F.max("_n").alias("max_n")).first()
-        if st["keys"] == 0:
-            return _single_pass(u, dcols, pcols, opts)
-        # only as many quantiles as the hottest key needs
-        max_splits = min(max_splits, -(-st["max_n"] // split_rows))
-    return _split_pass(u, hot, dcols, pcols, opts, split_rows, max_splits)
-
-
-def _single_pass(u: DataFrame, dcols, pcols, opts: Options) -> DataFrame:
-    w = Window.partitionBy(*K).orderBy("_g", "_pos", "_tag", "_tb")
-    prior = F.min(_pref_val()).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    best = F.min(_pref_val()).over(Window.partitionBy(*K))
-    return _finish(u, prior, best, dcols, pcols, opts)
-
-
-def split_table(u: DataFrame, hot: DataFrame, split_rows: int, max_splits: int = 4096) -> DataFrame:
-    """(key, sorted split points) for the hot keys: approximate quantiles of their times
-    (sketch accuracy scaled with the number of points), thinned to about
-    rows_of_key / split_rows points (at most ``max_splits``)."""
-    max_splits = max(2, max_splits)
-    pcts = [i / max_splits for i in range(1, max_splits)]
-    hot_rows = u.alias("u").join(F.broadcast(hot.alias("h")), _keys_match(u.alias("u"), hot.alias("h")), "left_semi")
-    q = hot_rows.where(F.col("_pos").isNotNull()).groupBy(*K).agg(
-        F.percentile_approx(micros(F.col("_pos")), pcts, max(10000, 8 * max_splits)).alias("_q"),
-        F.count(F.lit(1)).alias("_n"),
-    )
-    pieces = F.least(F.ceil(F.col("_n") / F.lit(split_rows)), F.lit(max_splits)).cast("int")
-    step = F.ceil(F.lit(max_splits) / pieces).cast("int")
-    splits = F.array_distinct(F.filter(F.col("_q"), lambda x, i: (i + 1) % step == 0))
-    return q.select(*K, splits.alias("_splits"))
-
-
-def range_id(splits: Column, pos: Column) -> Column:
-    """Index of the time range holding ``pos`` (0 when the key is not split or pos is NULL)."""
-    pm = micros(pos)
-    return F.when(splits.isNull() | pos.isNull(), F.lit(0)).otherwise(F.size(F.filter(splits, lambda s: s <= pm)))
-
-
-def _split_pass(u: DataFrame, hot: DataFrame, dcols, pcols, opts: Options, split_rows: int,
-                max_splits: int) -> DataFrame:
-    # 2. split points of each hot key
-    h = split_table(u, hot, split_rows, max_splits)
-
-    # 3. range id of every row (0 for keys that are not hot and for rows without a time)
-    uh = u.alias("u").join(F.broadcast(h.alias("h")), _keys_match(u.alias("u"), h.alias("h")), "left")
-    uh = uh.select(*[F.col(f"u.{c}") for c in u.columns], F.col("h._splits").alias("_splits"))
-    us = uh.withColumn("_sub", range_id(F.col("_splits"), F.col("_pos")))
-
-    # 4. carry rows for the ranges of hot keys: best prior preference of earlier ranges, best overall
-    c0 = us.where(F.col("_splits").isNotNull()).groupBy(*K, "_sub").agg(
-        F.min(F.when((F.col("_tag") == 1) & (F.col("_g") != 3), F.col("_pv"))).alias("_bc"),
-        F.min(_pref_val()).alias("_ba"),
-    )
-    wk = Window.partitionBy(*K).orderBy("_sub")
-    carry = c0.select(
-        *K, "_sub",
-        F.min("_bc").over(wk.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
-        F.min("_ba").over(Window.partitionBy(*K)).alias("_kb"),
-    )
-    pv_type = u.schema["_pv"].dataType
-    d_type = u.schema["_d"].dataType
-    carry_rows = carry.select(
-        *K, F.lit(-1).alias("_g"), F.lit(None).cast("timestamp_ntz").alias("_pos"), F.lit(-1).alias("_tag"),
-        F.lit(None).cast("string").alias("_tb"), F.lit(None).cast(pv_type).alias("_pv"),
-        F.lit(None).cast(d_type).alias("_d"), "_sub", "_carry", "_kb",
-    )
-    rows = us.drop("_splits").withColumn("_carry", F.lit(None).cast(pv_type)).withColumn(
-        "_kb", F.lit(None).cast(pv_type)
-    ).unionByName(carry_rows)
-
-    # 5. one window pass per (key, range)
-    w = Window.partitionBy(*K, "_sub").orderBy("_g", "_pos", "_tag", "_tb")
-    prior = F.min(F.coalesce(F.col("_carry"), _pref_val())).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    best = F.min(F.coalesce(F.col("_kb"), _pref_val())).over(Window.partitionBy(*K, "_sub"))
-    return _finish(rows, prior, best, dcols, pcols, opts)
+    return pref
+
+
+def chosen_at(instants: DataFrame, pref: DataFrame, opts: Options = RECORD) -> DataFrame:
+    """(key, instant, prior, best) of the distinct decision instants; ``prior`` and ``best`` are
+    (m, id) of a preference: the last one before the instant, and the key's last one overall.
+
+    ``instants`` has the key and ``_m``; ``pref`` the key, ``_m`` and ``_id`` (text or NULL)."""
+    # among preferences of one instant the smaller id wins; a NULL id first under the record's
+    # null order, last under 'last'
+    null_rank = F.col("_id").isNotNull() if opts.null_order == "sas" else F.col("_id").isNull()
+    one = pref.groupBy(*KEY, "_m").agg(F.min(F.struct(null_rank.alias("n"), F.col("_id").alias("s"))).alias("_best"))
+    one = one.select(*KEY, "_m", F.struct(F.col("_m").alias("m"), _text_key(F.col("_best.s")).alias("id")).alias("_p"))
+    state = one.schema["_p"].dataType
+    bucket = F.when(F.col("_m") != NO_TIME, F.expr(f"_m div {BUCKET}")).alias("_b")
+    rows = one.select(*KEY, bucket, "_m", F.lit(1).alias("_tag"), "_p").unionByName(
+        instants.select(*KEY, bucket, "_m", F.lit(0).alias("_tag"), F.lit(None).cast(state).alias("_p")))
+
+    per = rows.groupBy(*KEY, "_b").agg(F.max("_p").alias("_p"))
+    # a preference without a time is before every timed decision under 'low', never under 'false'
+    before = F.col("_p") if opts.nulls == "low" else F.when(F.col("_b").isNotNull(), F.col("_p"))
+    of_key = Window.partitionBy(*KEY)
+    earlier = of_key.orderBy(F.col("_b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = per.select(*KEY, "_b", F.lit(NO_TIME).cast("bigint").alias("_m"), F.lit(-1).alias("_tag"),
+                       F.max(before).over(earlier).alias("_p"), F.max("_p").over(of_key).alias("_all"))
+
+    rows = rows.withColumn("_all", F.lit(None).cast(state)).unionByName(carry)
+    here = Window.partitionBy(*KEY, "_b")
+    # the carry first, then a decision before the preferences of its own instant
+    upto = here.orderBy(F.col("_tag") != -1, "_m", "_tag").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.select(
+        *KEY, "_m", "_tag", F.max("_p").over(upto).alias("_prior"), F.max("_all").over(here).alias("_best")
+    ).where(F.col("_tag") == 0).drop("_tag")
+
+
+def effective_preference(dec: DataFrame, pref: DataFrame, opts: Options = RECORD) -> DataFrame:
+    """J3.  ``dec`` must hold one row per decision (see ``dedup_decisions``); it is read twice
+    (its instants, and the final join), so write it first if it is costly."""
+    dcols, pcols = dec.columns, pref.columns
+    d = _keyed(dec, "account_id", "customer_id", "event_ts")
+    p = _keyed(_usable(pref, opts), "external_account_p", "cust_id_p", "event_ts_p")
+    p = p.withColumn("_id", F.col("source_event_id_p").cast("string"))
+
+    instants = d.select(*KEY, "_m").distinct()
+    # preferences of keys that no decision has never matter
+    wanted = p.select(*KEY, "_m", "_id").join(d.select(*KEY).distinct(), KEY, "left_semi")
+    at = chosen_at(instants, wanted, opts).withColumn("_c", F.coalesce("_prior", "_best"))
+    flag = F.when(F.col("_prior").isNotNull(), F.lit("Y"))
+    if opts.nulls == "low":
+        flag = flag.when(F.col("_best").isNull() & (F.col("_m") != NO_TIME), F.lit("Y"))
+    at = at.select(*KEY, "_m", F.col("_c.m").alias("_cm"), F.col("_c.id").alias("_cid"), flag.otherwise(F.lit("N")).alias(FLAG))
+
+    # columns of the chosen preferences; rows that repeat an id at one instant: the least of them
+    picked = [*KEY, "_cm", "_cid"]
+    ids = at.where("_cid is not null").select(*picked).distinct()
+    full = p.select(*KEY, F.col("_m").alias("_cm"), _text_key(F.col("_id")).alias("_cid"), _struct_of(pcols).alias("_pv"))
+    full = full.join(ids, picked, "left_semi").groupBy(*picked).agg(F.min("_pv").alias("_pv"))
+    at = at.join(full, picked, "left").select(*KEY, "_m", "_pv", FLAG)
+    out = d.join(at, [*KEY, "_m"], "left")
+    return out.selectExpr(*[_q(c) for c in dcols], *[f"_pv.{_q(c)} AS {_q(c)}" for c in pcols], FLAG)
 
 
 def fanout_size(dec: DataFrame, pref: DataFrame, opts: Options = RECORD) -> DataFrame:
@@ -218,7 +135,7 @@ def fanout_size(dec: DataFrame, pref: DataFrame, opts: Options = RECORD) -> Data
     if opts.null_keys == "drop":
         cond = (d["_k1"] == p["_k1"]) & (d["_k2"] == p["_k2"])
     else:
-        cond = _keys_match(d, p)
+        cond = d["_k1"].eqNullSafe(p["_k1"]) & d["_k2"].eqNullSafe(p["_k2"])
     j = d.join(p, cond, "left").select(
         d["_k1"].alias("account_id"), d["_k2"].alias("customer_id"), "decisions",
         F.coalesce(F.col("preferences"), F.lit(0)).cast("long").alias("preferences"),

@@ -3,8 +3,8 @@
 Keep-first / keep-latest / top-n are ``row_number() <= n`` filters: Spark plans them with a
 partial ``WindowGroupLimit`` *before* the shuffle, so a hot key (say a decision id that holds
 a third of all rows) arrives at its reducer as at most n rows per map task.  Rejected
-duplicates are found with an anti join on the unique row id, which spreads evenly whatever
-the skew of the dedup key.
+duplicates are counted per distinct row and compared with the kept row, column by column: that
+needs no unique id, and spreads evenly whatever the skew of the dedup key.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ def sort_keys(order: Order, opts: Options = RECORD) -> list[Column]:
 
 
 JK, JN = "_jk", "_jn"
+REPEAT = 10_000  # rows one array repeats at most
 
 
 def with_null_safe_key(df: DataFrame, name: str) -> DataFrame:
@@ -44,8 +45,11 @@ def with_null_safe_key(df: DataFrame, name: str) -> DataFrame:
 
 
 def _ranked(df: DataFrame, keys, order: Order, tiebreak: str | None, opts: Options) -> Column:
+    """Row number in key order; rows that tie on everything named are told apart by all their
+    columns, so which one is kept does not depend on the order of arrival."""
     full = list(order) + ([(tiebreak, "asc")] if tiebreak else [])
-    return F.row_number().over(Window.partitionBy(*keys).orderBy(*sort_keys(full, opts)))
+    rest = F.struct(*[F.col(c) for c in sorted(df.columns)])
+    return F.row_number().over(Window.partitionBy(*keys).orderBy(*sort_keys(full, opts), rest))
 
 
 def top_n(df: DataFrame, keys, order: Order, n: int, tiebreak: str | None = None,
@@ -62,9 +66,19 @@ def dedup_first(df: DataFrame, keys, order: Order, tiebreak: str | None = None,
 
 def dedup_rejects(df: DataFrame, keys: Sequence[str], order: Order, row_id: str,
                   opts: Options = RECORD) -> DataFrame:
-    """Every row that ``dedup_first`` does not keep (``row_id`` must be unique and non-null)."""
-    kept = dedup_first(df, keys, order, row_id, opts).select(row_id)
-    return df.join(kept, on=row_id, how="left_anti")
+    """Every row that ``dedup_first`` does not keep, as a multiset: of n equal rows n - 1 are
+    rejected if the row is kept, else all n.  ``row_id`` is only the order's tie-break; it may
+    repeat or be NULL."""
+    cols = df.columns
+    kept = dedup_first(df, keys, order, row_id, opts).select(*[F.col(c).alias(f"__k_{c}") for c in cols], F.lit(1).alias("__kept"))
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    same = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in cols]
+    left = counted.join(kept, same, "left").withColumn("__n", F.col("__n") - F.coalesce("__kept", F.lit(0)))
+    # repeat a row __n times, by blocks so that no array grows with the count
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(__n - 1) div {REPEAT}"))
+    left = left.where(F.col("__n") > 0).withColumn("__b", F.explode(blocks))
+    rows = F.least(F.lit(REPEAT).cast("bigint"), F.col("__n") - F.col("__b") * REPEAT)
+    return left.withColumn("__i", F.explode(F.array_repeat(F.lit(0), rows.cast("int")))).select(*cols)
 
 
 def dedup_latest(df: DataFrame, key: str, ts: str, tiebreak: str, opts: Options = RECORD) -> DataFrame:
@@ -82,7 +96,11 @@ def dedup_latest(df: DataFrame, key: str, ts: str, tiebreak: str, opts: Options
 DECISION_ORDER: Order = (("event_ts", "asc"), ("account_id", "asc"), ("customer_id", "asc"))
 
 
-def dedup_decisions(dec: DataFrame, opts: Options = RECORD) -> DataFrame:
+def dedup_decisions(dec: DataFrame, opts: Options = RECORD, keep_key: bool = False) -> DataFrame:
+    """W1.  With ``keep_key`` (and null-safe keys) the window is partitioned by the null-safe key
+    columns, which stay in the output: the join with deliveries then needs no second shuffle."""
+    if keep_key and opts.null_keys == "match":
+        return dedup_first(with_null_safe_key(dec, "decision_id"), [JK, JN], DECISION_ORDER, "source_event_id", opts)
     return dedup_first(dec, ["decision_id"], DECISION_ORDER, "source_event_id", opts)
 
 

@@ -24,8 +24,8 @@ def with_dates(df: DataFrame) -> DataFrame:
     """The four dates of the final table."""
     return df.select(
         "*",
-        F.to_date("ess_src_event_ts").alias("src_event_date"),
-        F.to_date("ess_process_ts").alias("process_date"),
+        F.to_date("source_event_ts").alias("src_event_date"),
+        F.to_date("process_ts").alias("process_date"),
         F.to_date("event_ts").alias("event_date"),
         F.to_date("event_ts").alias("decision_date"),
     )

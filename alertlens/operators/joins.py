@@ -19,12 +19,13 @@ def join_deliveries(dec: DataFrame, deliv: DataFrame, opts: Options = RECORD) ->
 
     Both sides are unique on the key, so the sort-merge join has no hot key.  Null-safe
     matching joins on the key columns of ``with_null_safe_key``; deliveries that come from
-    ``dedup_deliveries`` already carry them and are already partitioned by them."""
+    ``dedup_deliveries`` (and decisions from ``dedup_decisions`` with ``keep_key``) already carry
+    them and are already partitioned by them."""
     if opts.null_keys != "match":
         return dec.join(deliv, dec["decision_id"] == deliv["decision_id_a"], "left")
     if JK not in deliv.columns:
         deliv = with_null_safe_key(deliv, "decision_id_a")
-    d = with_null_safe_key(dec, "decision_id")
+    d = dec if JK in dec.columns else with_null_safe_key(dec, "decision_id")
     j = d.join(deliv, (d[JK] == deliv[JK]) & (d[JN] == deliv[JN]), "left")
     return j.drop(d[JK]).drop(d[JN]).drop(deliv[JK]).drop(deliv[JN])
 

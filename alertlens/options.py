@@ -1,9 +1,11 @@
-"""Run options: where the reference's versions disagree, one frozen dataclass decides.
+"""Run options: where the versions of the job disagree, one frozen dataclass decides.
 
-Three presets:
+Four presets:
 
 * ``RECORD`` - the SAS program's behaviour (the default).
 * ``PORT``   - what the Python ports agree on.
+* ``THIRD``  - the last port's own rules: header times, half-open delivery window with an id,
+  its result codes, and the report date as snapshot date.
 * ``STRICT`` - ``RECORD`` plus three corrections that change results (null keys never
   match, half-open window end, preference bound before the window end).
 """
@@ -46,16 +48,27 @@ class Options:
     sample_seed: int = 42
     pass_code: str = C.PASS_CODE
     fail_code: str = C.FAIL_CODE
+    # result codes of the completeness control; None -> those above
+    completeness_pass_code: str | None = None
+    completeness_fail_code: str | None = None
+    # segment of the completeness control: decision 'month' or 'day'
+    completeness_segment: str = "month"
+    # snapshot date of the scorecard: False -> end of the decision's week; True -> the report date
+    snap_from_report: bool = False
+    # A numeric offset in a time text is dropped ('drop') or the time is moved to UTC ('utc')
+    offsets: str = "drop"
+    # labels of the publishing organisation
+    regulatory_name: str = "Alert regulation"
+    report_name: str = "Alert controls"
+    lob: str = "Credit Cards"
+    control_ids: tuple[str, str, str] = ("ACCURACY", "TIMELINESS", "COMPLETENESS")
+    # Run-time override of the partition cutoff (``yyyyMMdd``)
+    partition_cutoff: str | None = None
     # Fixed partition of the initial preference load; None -> no partition filter.
     initial_partition: str | None = C.INITIAL_LOAD_PARTITION
     # First-run override of the window start.
     first_run_start: dt.date = dt.date(2022, 6, 30)
     first_run_week_end: dt.date = dt.date(2022, 7, 25)
-    # J3 skew handling: a (account, customer) key with more rows than this is split into
-    # time ranges of about this many rows (a few hundred MB of window input), each handled by
-    # its own task; a key is cut into at most ``max_splits`` ranges.
-    split_rows: int = 500_000
-    max_splits: int = 4096
 
     def with_(self, **kw) -> "Options":
         return replace(self, **kw)
@@ -71,4 +84,17 @@ PORT = Options(
 )
 STRICT = Options(null_keys="drop", inclusive_end=False, pref_bound="before_window_end")
 
-PRESETS = {"record": RECORD, "port": PORT, "strict": STRICT}
+THIRD = PORT.with_(
+    time_source="header",
+    inclusive_end=False,
+    delivery_upper_bound=True,
+    delivery_require_id=True,
+    pass_code=C.THIRD_PASS_CODE,
+    fail_code=C.THIRD_FAIL_CODE,
+    completeness_pass_code=C.THIRD_COMPLETE_CODE,
+    completeness_fail_code=C.THIRD_INCOMPLETE_CODE,
+    completeness_segment="day",
+    snap_from_report=True,
+)
+
+PRESETS = {"record": RECORD, "port": PORT, "third": THIRD, "strict": STRICT}

@@ -18,7 +18,7 @@ def _head(report_dt: dt.date, opts: Options) -> list[Column]:
         yyyymm(F.col("decision_date")).alias("event_month"),
         F.lit(report_dt).alias("reporting_date"),
         snap_date(F.col("decision_date"), opts).alias("event_week_ending"),
-        F.lit(C.LOB).alias("LOB"),
+        F.lit(opts.lob).alias("LOB"),
         F.lit(C.PRODUCT_TYPE_LABEL).alias("Product"),
         F.col("account_id").alias("account_number"),
     ]

@@ -42,8 +42,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--out", required=True)
     p.add_argument("--history", required=True)
     p.add_argument("--whole-table", action="store_true", help="no reporting-window filters")
-    p.add_argument("--split-rows", type=int, default=None,
-                   help="as-of skew threshold: keys with more rows are split into time ranges of about this size")
+    p.add_argument("--partition-cutoff", default=None, help="yyyyMMdd; overrides the window's own partition cutoff")
     return p.parse_args(argv)
 
 
@@ -54,8 +53,8 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     opts = PRESETS[a.preset]
     if a.no_initial_partition:
         opts = opts.with_(initial_partition=None)
-    if a.split_rows:
-        opts = opts.with_(split_rows=a.split_rows)
+    if a.partition_cutoff:
+        opts = opts.with_(partition_cutoff=a.partition_cutoff)
     src = Sources(
         decisions=_source(spark, a.decisions),
         preferences_initial=_source(spark, a.preferences_initial),

@@ -2,7 +2,7 @@
 
 Each string is self-contained SQL over the pre-registered views (``events`` here).  They
 are written independently of the Spark plans: the effective preference, for example, is the
-plain many-to-many join + sort + keep-first the reference job runs, which the Spark side
+plain many-to-many join + sort + keep-first, which the Spark side
 never forms.  Labels and constants come from ``functions.constants``, the same source the
 Spark expressions use.
 """
@@ -12,6 +12,8 @@ from __future__ import annotations
 import datetime as dt
 
 from alertlens.functions import constants as C
+from alertlens.functions.calendar import reporting_window
+from alertlens.options import RECORD, Options
 from alertlens.plans import queries as Q
 
 DAYS = ("MON", "TUE", "WED", "THU", "FRI", "SAT", "SUN")
@@ -36,17 +38,16 @@ def snap(expr: str, week_start: str = "TUE") -> str:
 
 
 K = "json_extract_string(props, '$.k')"
-USER = "CAST(user_id AS VARCHAR)"
+USER = "CASE WHEN event_id % 40 IN (7, 17, 27) THEN NULL ELSE CAST(user_id AS VARCHAR) END"
 CUST = f"lpad({USER}, 9, '0')"
 EID = "CAST(event_id AS VARCHAR)"
 WEEKLY_ID = f"{USER} || '-' || strftime(date_trunc('week', ts), '%Y%m%d')"
 YMD = "strftime(ts, '%Y%m%d')"
-SPLIT = "TIMESTAMP '2024-01-08 00:00:00'"
 
 def dec_cte(where: str = "") -> str:
     return f"""dec AS (
   SELECT {_s(C.ACTIVITY_DECISION)} AS event_activity_type, {EID} AS source_event_id, {YMD} AS partition_date,
-         ts AS ess_process_ts, ts AS ess_src_event_ts, {EID} AS event_id, ts AS event_ts,
+         ts AS process_ts, ts AS source_event_ts, {EID} AS event_id, ts AS event_ts,
          {USER} AS account_id, {_s(C.ALERT_TYPE)} AS alert_type,
          TRY_CAST({K} AS DECIMAL(12,2)) AS threshold_amount, {CUST} AS customer_id,
          'CAD' AS account_currency, CAST(NULL AS DECIMAL(12,2)) AS credit_limit,
@@ -58,9 +59,9 @@ def dec_cte(where: str = "") -> str:
 DEC = dec_cte()
 
 
-def _pref_select(activity: str) -> str:
+def _pref_select(activity: str, partition: str) -> str:
     return f"""SELECT ts AS envelope_ts_p, 'ONLINE' AS event_channel_type_p, {_s(activity)} AS event_activity_type_p,
-         {YMD} AS partition_date_p, ts AS ess_process_ts_p, ts AS ess_src_event_ts_p, ts AS event_ts_p,
+         {partition} AS partition_date_p, ts AS process_ts_p, ts AS source_event_ts_p, ts AS event_ts_p,
          {_s(activity)} AS event_activity_name_p, {_s(C.ALERT_TYPE)} AS preference_type_p, {CUST} AS client_id_p,
          CASE WHEN CAST({K} AS INTEGER) % 2 = 0 THEN 'true' ELSE 'false' END AS is_business_p,
          'true' AS send_alert_eligible_p, 'true' AS active_p, {K} AS threshold_p, {CUST} AS cust_id_p,
@@ -71,9 +72,9 @@ def _pref_select(activity: str) -> str:
 
 def pref_cte(inc_where: str = "") -> str:
     return f"""pref_ini AS (
-  {_pref_select(C.ACTIVITY_PREF_CREATE)} WHERE event_type = 'signup' AND ts < {SPLIT}),
+  {_pref_select(C.ACTIVITY_PREF_CREATE, _s(C.INITIAL_LOAD_PARTITION))} WHERE event_type = 'signup'),
 pref_inc AS (
-  {_pref_select(C.ACTIVITY_PREF_UPDATE)} WHERE event_type = 'click' AND ts >= {SPLIT} {inc_where}),
+  {_pref_select(C.ACTIVITY_PREF_UPDATE, YMD)} WHERE event_type = 'click' {inc_where}),
 pref AS (SELECT * FROM pref_ini UNION ALL SELECT * FROM pref_inc)"""
 
 
@@ -81,7 +82,7 @@ PREF = pref_cte()
 
 def deliv_cte(where: str = "") -> str:
     return f"""deliv AS (
-  SELECT ts AS ess_process_ts_a, {_s(C.ACTIVITY_DELIVERY)} AS event_activity_type_a, {EID} AS source_event_id_a,
+  SELECT ts AS process_ts_a, {_s(C.ACTIVITY_DELIVERY)} AS event_activity_type_a, {EID} AS source_event_id_a,
          {YMD} AS partition_date_a, ts AS envelope_ts_a, {EID} AS event_id_a, ts AS event_ts_a,
          {_s(C.ACTIVITY_DELIVERY)} AS event_activity_name_a, 'true' AS alert_sent_a, 'true' AS send_inbox_a,
          {_s(C.ALERT_TYPE)} AS alert_type_a, TRY_CAST({K} AS DECIMAL(12,2)) AS threshold_amount_a,
@@ -89,7 +90,8 @@ def deliv_cte(where: str = "") -> str:
          CAST(NULL AS VARCHAR) AS reason_code_a, {WEEKLY_ID} AS decision_id_a,
          TRY_CAST(value AS DECIMAL(12,2)) AS alert_amount_a, {USER} AS account_id_a, {USER} AS account_a,
          {_s(C.PRODUCT_TYPE)} AS account_product_a, 'false' AS send_email_a
-  FROM events WHERE event_type = 'view' {where})"""
+  FROM (SELECT * REPLACE (CASE WHEN event_id % 40 = 3 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) ELSE ts END AS ts)
+        FROM events WHERE event_type = 'view') v WHERE true {where})"""
 
 
 DELIV = deliv_cte()
@@ -100,7 +102,7 @@ D1 = """d1 AS (
            account_id ASC NULLS FIRST, customer_id ASC NULLS FIRST, source_event_id ASC NULLS FIRST) AS rn
     FROM dec) WHERE rn = 1)"""
 
-# the reference's plain form: fan-out join, flag, sort, keep first
+# the plain form: fan-out join, flag, sort, keep first
 DP = """dp_all AS (
   SELECT d.*, p.*,
          CASE WHEN d.event_ts > p.event_ts_p OR (p.event_ts_p IS NULL AND d.event_ts IS NOT NULL)
@@ -135,7 +137,7 @@ def fin_cte(nulls_low: bool = True, zero_negative: bool = False) -> str:
     thr = ("alert_amount < threshold_amount OR (alert_amount IS NULL AND threshold_amount IS NOT NULL)"
            if nulls_low else "alert_amount < threshold_amount")
     return f"""fin0 AS (
-  SELECT *, CAST(ess_src_event_ts AS DATE) AS src_event_date, CAST(ess_process_ts AS DATE) AS process_date,
+  SELECT *, CAST(source_event_ts AS DATE) AS src_event_date, CAST(process_ts AS DATE) AS process_date,
          CAST(event_ts AS DATE) AS event_date, CAST(event_ts AS DATE) AS decision_date,
          CASE WHEN {thr} THEN 'Y' ELSE 'N' END AS threshold_limit_check,
          CASE WHEN event_ts_a IS NULL OR event_ts IS NULL THEN 'Y' ELSE 'N' END AS found_missing,
@@ -178,6 +180,24 @@ A1_PORT = A1.replace("ASC NULLS FIRST", "ASC NULLS LAST")
 PIPE_PORT = ",\n".join([DEC, PREF, DELIV, D1_PORT, DP_PORT, A1_PORT, J, fin_cte(False, True)])
 
 
+def _t(ts: dt.datetime) -> str:
+    return f"TIMESTAMP '{ts.isoformat(sep=' ')}'"
+
+
+def third_pipe(w) -> str:
+    """The last port: header times, half-open window for decisions and deliveries, deliveries
+    with an id only; comparisons and orders as the ports'."""
+    inside = f"ts >= {_t(w.start_ts)} AND ts < {_t(w.end_bound)}"
+    return ",\n".join([
+        dec_cte(f"AND strftime(ts, '%Y%m%d') > '{w.partition_cutoff}' AND {inside}"),
+        pref_cte(f"AND ts > {_t(w.end_bound)}"),
+        deliv_cte(f"AND {inside} AND {WEEKLY_ID} IS NOT NULL"),
+        D1_PORT, DP_PORT, A1_PORT, J, fin_cte(False, True)])
+
+
+W3 = reporting_window(Q.REPORT_DT, Q.FIX_THIRD)
+
+
 def windowed_pipe(w) -> str:
     """The weekly run's feeds (record preset): decisions in [start, end + 1 day] with the
     partition cutoff, incremental preferences after the window end, deliveries after the
@@ -199,15 +219,21 @@ def sample_cte(name: str, src: str, n: int = 10, seed: int = 42) -> str:
     FROM {src}) WHERE rn <= {n})"""
 
 
-def control_sql(control: str, src: str, report_dt: dt.date, week_start: str = "TUE") -> str:
-    risk, test, rde = {"accuracy": C.CONTROL_ACCURACY, "timeliness": C.CONTROL_TIMELINESS,
-                       "completeness": C.CONTROL_COMPLETENESS}[control]
+def control_sql(control: str, src: str, report_dt: dt.date, opts: Options = RECORD) -> str:
+    names = {"accuracy": C.CONTROL_ACCURACY, "timeliness": C.CONTROL_TIMELINESS, "completeness": C.CONTROL_COMPLETENESS}
+    risk, test = names[control]
+    rde = opts.control_ids[list(names).index(control)]
+    good, bad = opts.pass_code, opts.fail_code
+    if control == "completeness":
+        good, bad = opts.completeness_pass_code or good, opts.completeness_fail_code or bad
+    snapshot = _d(report_dt) if opts.snap_from_report else snap("decision_date", opts.week_start)
     passed = {"accuracy": "threshold_limit_check = 'Y'", "timeliness": "sla_ind = 'Y'",
               "completeness": "coalesce(trim(decision_id_a), '') <> ''"}[control]
-    seg = "strftime(decision_date, '%Y%m')" if control == "completeness" else "strftime(decision_date, '%Y%m%d')"
+    monthly = control == "completeness" and opts.completeness_segment == "month"
+    seg = "strftime(decision_date, '%Y%m')" if monthly else "strftime(decision_date, '%Y%m%d')"
     return f"""SELECT {_s(risk)} AS ControlRisk, {_s(test)} AS TestType, {_s(rde)} AS RDE,
-         CASE WHEN coalesce({passed}, false) THEN {_s(C.PASS_CODE)} ELSE {_s(C.FAIL_CODE)} END AS CommentCode,
-         {seg} AS Segment10, {_d(report_dt)} AS DateCompleted, {snap('decision_date', week_start)} AS SnapDate,
+         CASE WHEN coalesce({passed}, false) THEN {_s(good)} ELSE {_s(bad)} END AS CommentCode,
+         {seg} AS Segment10, {_d(report_dt)} AS DateCompleted, {snapshot} AS SnapDate,
          count(*) AS Volume, CAST(sum(alert_amount) AS DECIMAL(22,2)) AS Bal,
          CAST(sum(threshold_amount) AS DECIMAL(22,2)) AS Amount
   FROM {src} GROUP BY ALL"""
@@ -218,14 +244,14 @@ def comments_case(col: str = "CommentCode") -> str:
     return f"CASE {col} {whens} END"
 
 
-def scorecard_sql(final_src: str, sample_src: str, report_dt: dt.date, week_start: str = "TUE") -> str:
+def scorecard_sql(final_src: str, sample_src: str, report_dt: dt.date, opts: Options = RECORD) -> str:
     u = " UNION ALL ".join([
-        "(" + control_sql("accuracy", sample_src, report_dt, week_start) + ")",
-        "(" + control_sql("timeliness", final_src, report_dt, week_start) + ")",
-        "(" + control_sql("completeness", final_src, report_dt, week_start) + ")",
+        "(" + control_sql("accuracy", sample_src, report_dt, opts) + ")",
+        "(" + control_sql("timeliness", final_src, report_dt, opts) + ")",
+        "(" + control_sql("completeness", final_src, report_dt, opts) + ")",
     ])
     pad = ", ".join(f"'.' AS Segment{i}" for i in range(2, 10))
-    return f"""SELECT {_s(C.REGULATORY_NAME)} AS RegulatoryName, {_s(C.LOB)} AS LOB, {_s(C.REPORT_NAME)} AS ReportName,
+    return f"""SELECT {_s(opts.regulatory_name)} AS RegulatoryName, {_s(opts.lob)} AS LOB, {_s(opts.report_name)} AS ReportName,
        ControlRisk, TestType, {_s(C.TEST_PERIOD)} AS TestPeriod, {_s(C.PRODUCT_TYPE_LABEL)} AS ProductType, RDE,
        '.' AS SubDE, '.' AS Segment, {pad}, Segment10, 'N' AS HoldoutFlag, CommentCode,
        {comments_case()} AS Comments, Volume, Bal, Amount, DateCompleted, SnapDate
@@ -271,7 +297,7 @@ MASK_PORT = "'******' || right(customer_id, 3)"
 
 def _head(src_date: str = "decision_date") -> str:
     return f"""strftime({src_date}, '%Y%m') AS event_month, {_d(RD)} AS reporting_date,
-       {snap(src_date)} AS event_week_ending, {_s(C.LOB)} AS LOB, {_s(C.PRODUCT_TYPE_LABEL)} AS Product,
+       {snap(src_date)} AS event_week_ending, {_s(RECORD.lob)} AS LOB, {_s(C.PRODUCT_TYPE_LABEL)} AS Product,
        account_id AS account_number"""
 
 
@@ -283,7 +309,7 @@ TS_TEXT = """CASE event_type WHEN 'purchase' THEN strftime(ts, '%Y-%m-%dT%H:%M:%
        ELSE 'ts-' || CAST(event_id AS VARCHAR) END"""
 NUM_TEXT = f"""CASE event_type WHEN 'purchase' THEN {K} WHEN 'view' THEN {K} || '.5'
        WHEN 'click' THEN '9999999999' || {K} WHEN 'signup' THEN '-' || {K} || '.25' ELSE 'n/a' END"""
-KEY_TEXT = f"CASE event_type WHEN 'error' THEN '   ' WHEN 'click' THEN '' ELSE {USER} END"
+KEY_TEXT = "CASE event_type WHEN 'error' THEN '   ' WHEN 'click' THEN '' ELSE CAST(user_id AS VARCHAR) END"
 ENV_START = f"TIMESTAMP '{W.start_ts.isoformat(sep=' ')}'"
 ENV_END = f"TIMESTAMP '{W.end_bound.isoformat(sep=' ')}'"
 
@@ -345,7 +371,7 @@ ORACLE = {
        FROM (SELECT DISTINCT CAST(ts AS DATE) AS report_dt FROM events) t""",
     "effective_preference": f"""WITH {DEC}, {PREF}, {D1}, {DP}
        SELECT decision_id, source_event_id, source_event_id_p, event_ts_p, is_business_p, dec_tm_ge_pref_tm FROM dp""",
-    "join_preferences": f"""WITH {DEC}, {PREF}
+    "preference_fanout_size": f"""WITH {DEC}, {PREF}
        SELECT d.account_id, d.customer_id, count(DISTINCT d.source_event_id) AS decisions,
               count(DISTINCT p.source_event_id_p) AS preferences, count(*) AS fanout_rows
        FROM dec d LEFT JOIN pref p ON d.account_id IS NOT DISTINCT FROM p.external_account_p
@@ -357,6 +383,8 @@ ORACLE = {
     "dedup_first": f"WITH {DEC}, {D1} SELECT decision_id, source_event_id, event_ts, alert_amount FROM d1",
     "dedup_rejects": f"""WITH {DEC}, {D1} SELECT decision_id, source_event_id, event_ts FROM dec
        WHERE source_event_id NOT IN (SELECT source_event_id FROM d1)""",
+    "delivery_rejects": f"""WITH {DELIV}, {A1} SELECT decision_id_a, source_event_id_a, event_ts_a FROM deliv
+       WHERE source_event_id_a NOT IN (SELECT source_event_id_a FROM a1)""",
     "dedup_latest": f"WITH {DELIV}, {A1} SELECT decision_id_a, source_event_id_a, event_ts_a FROM a1",
     "stratified_sample": with_pipe("SELECT decision_date, decision_id, threshold_limit_check FROM samp",
                                    sample_cte("samp", "fin")),
@@ -392,5 +420,23 @@ ORACLE = {
     "final": with_pipe(f"SELECT {FINAL_SEL} FROM fin"),
     "final_week": f"WITH {windowed_pipe(W)}\nSELECT {FINAL_SEL} FROM fin",
     "final_week_strict": f"WITH {strict_pipe(W)}\nSELECT {FINAL_SEL} FROM fin",
-    "scorecard_port": f"WITH {PIPE_PORT},\n{sample_cte('samp', 'fin')}\n{scorecard_sql('fin', 'samp', RD, 'THU')}",
+    "scorecard_port": f"WITH {PIPE_PORT},\n{sample_cte('samp', 'fin')}\n{scorecard_sql('fin', 'samp', RD, Q.FIX_PORT)}",
+    "scan_initial": f"""WITH {PREF} SELECT source_event_id_p, partition_date_p, event_ts_p, external_account_p, cust_id_p
+       FROM pref_ini""",
+    "scan_deliveries_bounded": f"""WITH {DELIV} SELECT source_event_id_a, decision_id_a, event_ts_a FROM deliv
+       WHERE event_ts_a >= {_t(W3.start_ts)} AND event_ts_a < {_t(W3.end_bound)} AND decision_id_a IS NOT NULL""",
+    "scorecard_third": f"""WITH {third_pipe(W3)},\n{sample_cte('samp', 'fin')}\n{scorecard_sql('fin', 'samp', RD, Q.FIX_THIRD)}""",
+    "partition_cutoff_override": f"""WITH {DEC} SELECT source_event_id, partition_date FROM dec
+       WHERE partition_date > '{Q.CUTOFF_OVERRIDE}' AND event_ts BETWEEN {ENV_START} AND {ENV_END}""",
+    "offset_timestamp": """SELECT event_id, ts_text, CASE event_type WHEN 'purchase' THEN ts - INTERVAL '5 hours 30 minutes'
+         WHEN 'view' THEN ts + INTERVAL '3 hours' WHEN 'signup' THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) ELSE ts END AS utc_ts,
+         CASE event_type WHEN 'signup' THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) ELSE ts END AS wall_ts
+       FROM (SELECT *, CASE event_type WHEN 'signup' THEN strftime(ts, '%Y-%m-%d')
+         ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || CASE event_type WHEN 'purchase' THEN '+05:30' WHEN 'view' THEN '-0300' ELSE 'Z' END
+         END AS ts_text FROM events) t""",
+    "final_without_preferences": f"""WITH {PIPE.replace("WHERE event_type = 'signup'", "WHERE false").replace("WHERE event_type = 'click'", "WHERE false")}
+       SELECT {FINAL_SEL} FROM fin""",
+    "final_without_deliveries": f"""WITH {PIPE.replace("WHERE true ", "WHERE false ")} SELECT {FINAL_SEL} FROM fin""",
 }
+ORACLE["comment_dimension"] = ORACLE["code_comment"]
+ORACLE["history_write"] = ORACLE["history_replace"]

@@ -2,38 +2,42 @@
 
 Every query reads the driver's ``events`` table (through the fixture adapter, and for the
 composite outputs through the envelope form and the production scans) over the whole table.
-The fixture runs use the record preset without the fixed initial-load partition (the fixture
-has no such partition) and without a reporting window, except where the window *is* the
+The fixture runs use the record preset without a reporting window, except where the window *is* the
 operator (``scan_*``, ``reporting_window``, ``history_replace``, ``final_week``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertlens.functions import calendar as CAL
+from alertlens.functions import constants as C
 from alertlens.functions import scalars as S
 from alertlens.operators import aggregates as A
 from alertlens.operators import dedup as W
 from alertlens.operators.asof import effective_preference, fanout_size
 from alertlens.operators.derive import exclude_business
 from alertlens.operators.joins import join_deliveries, replace_history
-from alertlens.options import PORT, RECORD, STRICT
+from alertlens.options import PORT, RECORD, STRICT, THIRD
 from alertlens.plans.details import fail_accuracy, fail_completeness, fail_timeliness
 from alertlens.plans.final import build_final, decisions_with_deliveries
 from alertlens.plans.scorecard import attach_comment, build_scorecard, union_controls
+from alertlens.plans.weekly import CROSSTAB7, ONEWAY_COLUMNS
+from alertlens.session import application_scratch
 from alertlens.session import materialize as materialize_table
+from alertlens.sinks.writers import write_history
 from alertlens.sources import envelope as EN
 from alertlens.sources import fixture as FX
+from alertlens.sources.history import read_history
 
-FIX = RECORD.with_(initial_partition=None)
-FIX_PORT = PORT.with_(initial_partition=None)
-FIX_STRICT = STRICT.with_(initial_partition=None)
+FIX, FIX_PORT, FIX_STRICT, FIX_THIRD = RECORD, PORT, STRICT, THIRD
 REPORT_DT = FX.FIXTURE_REPORT_DATE
 HISTORY_DT = dt.date(2024, 1, 24)
+CUTOFF_OVERRIDE = "20240126"
 WINDOW = CAL.reporting_window(REPORT_DT, FIX)
 
 
@@ -41,6 +45,11 @@ def _ev(spark: SparkSession, sf: str) -> DataFrame:
     return FX.read_events(spark, sf)
 
 
+def _write(name):
+    """Write a shared intermediate once, under the session's scratch folder."""
+    return lambda df: materialize_table(df, name)
+
+
 def _flat(spark, sf):
     ev = _ev(spark, sf)
     return FX.decisions(ev), FX.preferences(ev), FX.deliveries(ev)
@@ -63,13 +72,14 @@ def final_table(spark, sf, opts=FIX, materialize: bool = False) -> DataFrame:
         EN.scan_preferences(src, None, opts, distinct=False),
         EN.scan_deliveries(src.deliveries, None, opts),
         opts,
+        _write("joined"),
     )
     return materialize_table(f, "final") if materialize else f
 
 
 def _pre_exclusion(spark, sf):
     dec, pref, dl = _flat(spark, sf)
-    return decisions_with_deliveries(dec, pref, dl, FIX)
+    return decisions_with_deliveries(dec, pref, dl, FIX, _write("joined"))
 
 
 def _sample(final):
@@ -233,12 +243,12 @@ def q_reporting_window(spark, sf):
 
 def q_effective_preference(spark, sf):
     dec, pref, _ = _flat(spark, sf)
-    e = effective_preference(W.dedup_decisions(dec, FIX), pref, FIX)
+    e = effective_preference(materialize_table(W.dedup_decisions(dec, FIX), "decisions"), pref, FIX)
     return e.select("decision_id", "source_event_id", "source_event_id_p", "event_ts_p", "is_business_p",
                     "dec_tm_ge_pref_tm")
 
 
-def q_join_preferences(spark, sf):
+def q_preference_fanout_size(spark, sf):
     dec, pref, _ = _flat(spark, sf)
     return fanout_size(dec, pref, FIX)
 
@@ -302,13 +312,6 @@ def q_scorecard(spark, sf):
     return build_scorecard(f, _sample(f), REPORT_DT, FIX)
 
 
-# columns of the two one-way requests on the final table (duplicates requested twice are listed once)
-ONEWAY_COLUMNS = ("partition_date", "src_event_date", "process_date", "event_date", "decision_date",
-                  "threshold_limit_check", "alert_type", "decision_id_a", "found_missing",
-                  "event_activity_type", "is_business_p", "alert_time")
-CROSSTAB7 = ("partition_date", "src_event_date", "process_date", "event_date", "decision_date", "sla_ind", "alert_time")
-
-
 def q_freq_oneway(spark, sf):
     return A.freq_oneway(final_table(spark, sf), ONEWAY_COLUMNS, {"decision_id_a": S.blank_label})
 
@@ -364,6 +367,7 @@ def q_final_week(spark, sf):
         EN.scan_preferences(src, WINDOW, FIX, distinct=False),
         EN.scan_deliveries(src.deliveries, WINDOW, FIX),
         FIX,
+        _write("joined"),
     )
     return f.select(*FINAL_COLUMNS)
 
@@ -385,10 +389,92 @@ def q_final_week_strict(spark, sf):
         EN.scan_preferences(src, w, FIX_STRICT, distinct=False),
         EN.scan_deliveries(src.deliveries, w, FIX_STRICT),
         FIX_STRICT,
+        _write("joined"),
     )
     return f.select(*FINAL_COLUMNS)
 
 
+def q_delivery_rejects(spark, sf):
+    return W.delivery_rejects(FX.deliveries(_ev(spark, sf)), FIX).select(
+        "decision_id_a", "source_event_id_a", "event_ts_a")
+
+
+def q_scan_initial(spark, sf):
+    """The fixed partition of the initial load."""
+    p = EN.scan_preferences_initial(_env(spark, sf).preferences_initial, WINDOW, FIX)
+    return p.select("source_event_id_p", "partition_date_p", "event_ts_p", "external_account_p", "cust_id_p")
+
+
+def q_scan_deliveries_bounded(spark, sf):
+    """F7 / F8 of the last port: half-open window on the header time, id required."""
+    w = CAL.reporting_window(REPORT_DT, FIX_THIRD)
+    return EN.scan_deliveries(_env(spark, sf).deliveries, w, FIX_THIRD).select(
+        "source_event_id_a", "decision_id_a", "event_ts_a")
+
+
+def q_scorecard_third(spark, sf):
+    """The weekly scorecard under the last port's preset."""
+    src, w = _env(spark, sf), CAL.reporting_window(REPORT_DT, FIX_THIRD)
+    f = materialize_table(build_final(
+        EN.scan_decisions(src.decisions, w, FIX_THIRD),
+        EN.scan_preferences(src, w, FIX_THIRD, distinct=False),
+        EN.scan_deliveries(src.deliveries, w, FIX_THIRD),
+        FIX_THIRD, _write("joined")), "final")
+    return build_scorecard(f, W.stratified_sample(f, opts=FIX_THIRD), REPORT_DT, FIX_THIRD)
+
+
+def q_partition_cutoff_override(spark, sf):
+    """The run's own partition cutoff instead of window start - 7."""
+    w = CAL.reporting_window(REPORT_DT, FIX.with_(partition_cutoff=CUTOFF_OVERRIDE))
+    return EN.scan_decisions(_env(spark, sf).decisions, w, FIX).select("source_event_id", "partition_date")
+
+
+def q_offset_timestamp(spark, sf):
+    """P4 with offsets moved to UTC, beside the wall-clock reading."""
+    t, et = F.col("ts"), F.col("event_type")
+    zone = F.when(et == "purchase", F.lit("+05:30")).when(et == "view", F.lit("-0300")).otherwise(F.lit("Z"))
+    text = F.when(et == "signup", F.date_format(t, "yyyy-MM-dd")).otherwise(
+        F.concat(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), zone))
+    ev = _ev(spark, sf).select("event_id", text.alias("ts_text"))
+    return ev.select("event_id", "ts_text", S.safe_ts(F.col("ts_text"), "utc").alias("utc_ts"), S.safe_ts(F.col("ts_text")).alias("wall_ts"))
+
+
+def q_comment_dimension(spark, sf):
+    """Comment texts from a dimension table."""
+    f = final_table(spark, sf, materialize=True)
+    dim = spark.createDataFrame(sorted(C.DEFAULT_COMMENTS.items()), "CommentCode string, Comments string")
+    u = union_controls(A.control_summary(f, "timeliness", REPORT_DT, FIX),
+                       A.control_summary(f, "completeness", REPORT_DT, FIX))
+    return attach_comment(u, dim).select("ControlRisk", "Segment10", "SnapDate", "CommentCode", "Comments", "Volume")
+
+
+def _final_with(spark, sf, preferences: bool = True, deliveries: bool = True):
+    dec, pref, dl = _flat(spark, sf)
+    return build_final(dec, pref if preferences else pref.where(F.lit(False)),
+                       dl if deliveries else dl.where(F.lit(False)), FIX, _write("joined")).select(*FINAL_COLUMNS)
+
+
+def q_final_without_preferences(spark, sf):
+    """Nothing to join on the preference side."""
+    return _final_with(spark, sf, preferences=False)
+
+
+def q_final_without_deliveries(spark, sf):
+    """Nothing to join on the delivery side."""
+    return _final_with(spark, sf, deliveries=False)
+
+
+def q_history_write(spark, sf):
+    """Write an older history, replace the new week's snapshot dates in it
+    through the writer, and read it back in order."""
+    f = final_table(spark, sf, materialize=True)
+    path = f"{application_scratch(spark)}/history-{uuid.uuid4().hex}"
+    write_history(build_scorecard(f, _sample(f), HISTORY_DT, FIX), path)
+    week = f.where(F.col("decision_date").between(F.lit(WINDOW.start), F.lit(WINDOW.end)))
+    write_history(build_scorecard(week, _sample(week), REPORT_DT, FIX), path, own=CAL.own_snap_dates(WINDOW, FIX))
+    return read_history(spark, path, ordered=True)
+
+
 QUERIES = {
     "extract_envelope": q_extract_envelope,
     "json_scalars": q_json_scalars,
@@ -412,7 +498,7 @@ QUERIES = {
     "snap_date": q_snap_date,
     "reporting_window": q_reporting_window,
     "effective_preference": q_effective_preference,
-    "join_preferences": q_join_preferences,
+    "preference_fanout_size": q_preference_fanout_size,
     "join_deliveries": q_join_deliveries,
     "dedup_first": q_dedup_first,
     "dedup_rejects": q_dedup_rejects,
@@ -437,4 +523,14 @@ QUERIES = {
     "final_week": q_final_week,
     "final_week_strict": q_final_week_strict,
     "scorecard_port": q_scorecard_port,
+    "delivery_rejects": q_delivery_rejects,
+    "scan_initial": q_scan_initial,
+    "scan_deliveries_bounded": q_scan_deliveries_bounded,
+    "scorecard_third": q_scorecard_third,
+    "partition_cutoff_override": q_partition_cutoff_override,
+    "offset_timestamp": q_offset_timestamp,
+    "comment_dimension": q_comment_dimension,
+    "final_without_preferences": q_final_without_preferences,
+    "final_without_deliveries": q_final_without_deliveries,
+    "history_write": q_history_write,
 }

@@ -39,13 +39,13 @@ def attach_comment(df: DataFrame, comments: dict[str, str] | DataFrame | None =
     return df.join(dim, "CommentCode", "left")
 
 
-def scorecard_layout(df: DataFrame) -> DataFrame:
+def scorecard_layout(df: DataFrame, opts: Options = RECORD) -> DataFrame:
     """Constant and padding columns, in the published order."""
     pad = {f"Segment{i}": F.lit(C.SEGMENT_PAD) for i in range(2, 10)}
     consts = {
-        "RegulatoryName": F.lit(C.REGULATORY_NAME),
-        "LOB": F.lit(C.LOB),
-        "ReportName": F.lit(C.REPORT_NAME),
+        "RegulatoryName": F.lit(opts.regulatory_name),
+        "LOB": F.lit(opts.lob),
+        "ReportName": F.lit(opts.report_name),
         "TestPeriod": F.lit(C.TEST_PERIOD),
         "ProductType": F.lit(C.PRODUCT_TYPE_LABEL),
         "SubDE": F.lit(C.SEGMENT_PAD),
@@ -64,4 +64,9 @@ def build_scorecard(final: DataFrame, sample: DataFrame, report_dt: dt.date, opt
         control_summary(final, "timeliness", report_dt, opts),
         control_summary(final, "completeness", report_dt, opts),
     )
-    return scorecard_layout(attach_comment(u, comments))
+    return scorecard_layout(attach_comment(u, comments), opts)
+
+
+def in_order(scorecard: DataFrame) -> DataFrame:
+    """O1 / O2: the published row order, for what is written or read by people."""
+    return scorecard.orderBy("SnapDate", "ControlRisk", "Segment10", "CommentCode")

@@ -2,11 +2,12 @@
 
 1. scan the four envelope inputs for the reporting window (filters reach the Parquet scan);
 2. stage the week-sized extracted feeds (decisions, deliveries) as Parquet (K5), for audit and
-   re-runs; the preference history is not copied - the as-of step writes its own input once;
-3. build the decisions with their preference and delivery (before the business exclusion) and
-   write that once (K5); derive the final table from it and write it once (K1);
+   re-runs; the preference history is not copied;
+3. join decisions and deliveries (a scratch table, since the as-of step reads its decisions
+   twice), build the decisions with their preference and delivery (before the business
+   exclusion) and write that once (K5); derive the final table from it and write it once (K1);
 4. read it back for the consumers: bucket counts, totals, sample, scorecard, failure lists,
-   frequency tables (each reads only its columns);
+   frequency tables (each reads only its columns); the rejected duplicates of both feeds;
 5. replace this week's snapshot dates in the history (K7, dynamic partition overwrite).
 
 Everything is written under ``out/report_dt=<yyyyMMdd>/``; the history lives at one stable
@@ -22,23 +23,24 @@ from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from alertlens.functions import scalars as S
-from alertlens.functions.calendar import reporting_window
+from alertlens.functions.calendar import own_snap_dates, reporting_window
 from alertlens.operators import aggregates as A
-from alertlens.operators.dedup import stratified_sample
+from alertlens.operators.dedup import decision_rejects, delivery_rejects, stratified_sample
 from alertlens.options import RECORD, Options
 from alertlens.plans.details import fail_accuracy, fail_completeness, fail_timeliness
 from alertlens.operators import derive
 from alertlens.plans.final import decisions_with_deliveries
-from alertlens.plans.scorecard import build_scorecard
-from alertlens.session import drop_materialized, materialized_mark
+from alertlens.plans.scorecard import build_scorecard, in_order
+from alertlens.session import materialize, scratch
 from alertlens.sinks import writers as K
 from alertlens.sources import envelope as EN
 
-FREQ_COLUMNS = ("partition_date", "src_event_date", "process_date", "event_date", "decision_date",
-                "threshold_limit_check", "alert_type", "decision_id_a", "found_missing",
-                "event_activity_type", "is_business_p", "alert_time")
-CROSSTAB_COLUMNS = ("partition_date", "src_event_date", "process_date", "event_date", "decision_date",
-                    "sla_ind", "alert_time")
+# columns of the two one-way requests on the final table (duplicates requested twice are listed once)
+ONEWAY_COLUMNS = ("partition_date", "src_event_date", "process_date", "event_date", "decision_date",
+                  "threshold_limit_check", "alert_type", "decision_id_a", "found_missing",
+                  "event_activity_type", "is_business_p", "alert_time")
+CROSSTAB7 = ("partition_date", "src_event_date", "process_date", "event_date", "decision_date",
+             "sla_ind", "alert_time")
 
 
 def stage_feeds(spark: SparkSession, sources: EN.Sources, window, opts: Options, out: str, label: str):
@@ -55,13 +57,11 @@ def stage_feeds(spark: SparkSession, sources: EN.Sources, window, opts: Options,
 
 def run_weekly(spark: SparkSession, sources: EN.Sources, report_dt: dt.date, out: str, history_path: str,
                opts: Options = RECORD, window: bool = True, comments=None) -> dict:
+    """The whole run.  Its scratch tables live in a folder of its own below ``out`` (a shared
+    folder, like all outputs), which is deleted at the end."""
     rw = reporting_window(report_dt, opts)
-    label = rw.label
-    mark = materialized_mark()
-    try:
-        return _run(spark, sources, report_dt, rw, label, out, history_path, opts, window, comments)
-    finally:
-        drop_materialized(spark, mark)      # scratch copies under spark.checkpoint.dir
+    with scratch(spark, f"{out.rstrip('/')}/_scratch"):
+        return _run(spark, sources, report_dt, rw, rw.label, out, history_path, opts, window, comments)
 
 
 def _run(spark, sources, report_dt, rw, label, out, history_path, opts, window, comments) -> dict:
@@ -69,7 +69,7 @@ def _run(spark, sources, report_dt, rw, label, out, history_path, opts, window,
     # one row per decision with its preference and delivery, before the business exclusion (K5);
     # the flag listings read it, the final table is derived from it
     joined = decisions_with_deliveries(staged["stage_decisions"], staged["stage_preferences"],
-                                       staged["stage_deliveries"], opts)
+                                       staged["stage_deliveries"], opts, lambda df: materialize(df, "joined"))
     joined = spark.read.parquet(K.write_parquet(joined, K.dated_path(out, label, "decisions_with_deliveries")))
     final = derive.with_measures(derive.with_dates(derive.exclude_business(joined, opts)), opts)
 
@@ -86,7 +86,7 @@ def _run(spark, sources, report_dt, rw, label, out, history_path, opts, window,
     scorecard = build_scorecard(final, sample, report_dt, opts, comments)
     obs_sc = Observation("scorecard")
     scorecard = scorecard.observe(obs_sc, F.count(F.lit(1)).alias("rows"))
-    sc_path = K.write_scorecard(scorecard, out, label)
+    sc_path = K.write_scorecard(in_order(scorecard), out, label)
 
     lists = {
         "completeness_fail": fail_completeness(final, report_dt, opts),
@@ -100,12 +100,18 @@ def _run(spark, sources, report_dt, rw, label, out, history_path, opts, window,
         "freq_flags_crosstab": A.freq_crosstab(joined, ("dec_tm_ge_pref_tm", "is_business_p")),
         "latency_counts": A.latency_counts(final),
         "totals": A.totals(final),
-        "freq_oneway": A.freq_oneway(final, FREQ_COLUMNS, {"decision_id_a": S.blank_label}),
-        "freq_crosstab": A.freq_crosstab(final, CROSSTAB_COLUMNS),
+        "freq_oneway": A.freq_oneway(final, ONEWAY_COLUMNS, {"decision_id_a": S.blank_label}),
+        "freq_crosstab": A.freq_crosstab(final, CROSSTAB7),
     }
     report_paths = {n: K.write_parquet(df, K.dated_path(out, label, n)) for n, df in reports.items()}
 
-    K.write_history(spark.read.parquet(sc_path), history_path)
+    rejects = {
+        "decision_rejects": decision_rejects(staged["stage_decisions"], opts),
+        "delivery_rejects": delivery_rejects(staged["stage_deliveries"], opts),
+    }
+    reject_paths = {n: K.write_parquet(df, K.dated_path(out, label, n)) for n, df in rejects.items()}
+
+    K.write_history(spark.read.parquet(sc_path), history_path, own=own_snap_dates(rw, opts) if window else None)
     return {
         "label": label,
         "window": (rw.start, rw.end),
@@ -114,5 +120,6 @@ def _run(spark, sources, report_dt, rw, label, out, history_path, opts, window,
         "history": history_path,
         "fail_lists": list_paths,
         "reports": report_paths,
+        "rejects": reject_paths,
         "metrics": {"final": obs_final.get, "scorecard": obs_sc.get},
     }

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -50,34 +52,47 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-_MATERIALIZED: list[str] = []
+#: Folder of the run that is being planned; None -> one folder per application.
+_SCRATCH: ContextVar[str | None] = ContextVar("alertlens_scratch", default=None)
 
 
 def materialize(df, name: str = "stage"):
     """Cut lineage by writing ``df`` once as a Parquet table under the session's checkpoint
-    folder (the shared folder the cluster names in ``spark.checkpoint.dir``) and reading it
-    back.  One job (a reliable ``checkpoint()`` computes its input twice), columnar and
-    prunable for every later reader, and it survives the loss of any executor."""
+    folder (the shared folder the cluster names in ``spark.checkpoint.dir``), or under the
+    folder of the surrounding ``scratch`` run, and reading it back.  One job (a reliable
+    ``checkpoint()`` computes its input twice), columnar and prunable for every later reader,
+    and it survives the loss of any executor."""
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/alertlens-{name}-{uuid.uuid4().hex}"
+    base = _SCRATCH.get() or application_scratch(spark)
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _MATERIALIZED.append(path)
     return spark.read.parquet(path)
 
 
-def drop_materialized(spark: SparkSession, since: int = 0) -> int:
-    """Delete the tables ``materialize`` wrote (from position ``since`` of this process's
-    list); call once nothing reads them any more.  Returns how many were removed."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    paths = _MATERIALIZED[since:]
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(conf).delete(hp, True)
-    del _MATERIALIZED[since:]
-    return len(paths)
+def application_scratch(spark: SparkSession) -> str:
+    """The folder of this application's tables; ``drop_scratch`` deletes it."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/alertlens-{spark.sparkContext.applicationId}"
 
 
-def materialized_mark() -> int:
-    return len(_MATERIALIZED)
+def delete_folder(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the tables this application wrote outside ``scratch`` runs; call it once no
+    DataFrame that reads them is used any more."""
+    delete_folder(spark, application_scratch(spark))
+
+
+@contextmanager
+def scratch(spark: SparkSession, folder: str):
+    """A run of its own: tables written inside go to a new folder below ``folder``, which is
+    deleted at the end.  Runs in other threads have their own."""
+    path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    token = _SCRATCH.set(path)
+    try:
+        yield path
+    finally:
+        _SCRATCH.reset(token)
+        delete_folder(spark, path)

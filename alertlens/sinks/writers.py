@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def dated_path(out: str, label: str, name: str) -> str:
@@ -44,9 +45,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
-def write_history(week: DataFrame, path: str, col: str = "SnapDate") -> str:
+def write_history(week: DataFrame, path: str, col: str = "SnapDate", own: list | None = None) -> str:
     """K7: replace only the snapshot-date partitions present in ``week``; other weeks are not
-    read or rewritten (O(new week)).  Creates the table when absent (K6)."""
+    read or rewritten (O(new week)).  Creates the table when absent (K6).
+
+    ``own``: the snapshot dates of the run's own window.  Rows of other dates (an inclusive
+    window end lets midnight rows of the next week in) are then left to the run they belong to,
+    so that running an old week again does not replace a newer week by a few rows."""
+    if own is not None:
+        week = week.where(F.col(col).isin(own))
     (week.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(col).parquet(path))
     return path

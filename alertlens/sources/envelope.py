@@ -1,4 +1,7 @@
-"""Scans over event-envelope tables (S1-S4, S7) with the reference job's filters (F1-F8).
+"""Scans over event-envelope tables (S1-S4, S7) with the job's filters (F1-F8).
+
+Account, customer and decision keys are cleaned here (P10): a blank or whitespace-only key is a
+missing key, in every preset.
 
 Plain-column predicates (activity type, partition text, envelope time) are applied first,
 so they reach the Parquet scan as pushed filters / partition filters; the map column is
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 
 from alertlens.functions import constants as C
 from alertlens.functions.calendar import ReportWindow
-from alertlens.functions.scalars import attr, ntz, safe_decimal, safe_ts
+from alertlens.functions.scalars import attr, blank_to_null, ntz, safe_decimal, safe_ts
 from alertlens.options import RECORD, Options
 from alertlens.sources import schemas as SC
 
@@ -94,18 +97,18 @@ def scan_decisions(env: DataFrame, window: ReportWindow | None = None, opts: Opt
     parsed = _parse_documents(df, ["event_activity_type", "source_event_id", "partition_date"], SC.DECISION_SCHEMA)
     out = parsed.select(
         "event_activity_type", "source_event_id", "partition_date",
-        safe_ts(F.col("_proc")).alias("ess_process_ts"),
-        safe_ts(F.col("_src")).alias("ess_src_event_ts"),
+        safe_ts(F.col("_proc"), opts.offsets).alias("process_ts"),
+        safe_ts(F.col("_src"), opts.offsets).alias("source_event_ts"),
         F.col("h.eventId").alias("event_id"),
-        safe_ts(F.col("h.eventTimestamp")).alias("event_ts"),
-        F.col("p.accountId").alias("account_id"),
+        safe_ts(F.col("h.eventTimestamp"), opts.offsets).alias("event_ts"),
+        blank_to_null(F.col("p.accountId")).alias("account_id"),
         F.col("p.alertType").alias("alert_type"),
         safe_decimal(F.col("p.thresholdAmount")).alias("threshold_amount"),
-        F.col("p.customerID").alias("customer_id"),
+        blank_to_null(F.col("p.customerID")).alias("customer_id"),
         F.col("p.accountCurrency").alias("account_currency"),
         safe_decimal(F.col("p.creditLimit")).alias("credit_limit"),
         F.col("p.maskedAccount").alias("masked_account"),
-        F.col("p.decisionId").alias("decision_id"),
+        blank_to_null(F.col("p.decisionId")).alias("decision_id"),
         safe_decimal(F.col("p.alertAmount")).alias("alert_amount"),
     ).where(F.col("alert_type") == C.ALERT_TYPE)
     if window is not None and opts.time_source == "header":
@@ -113,7 +116,7 @@ def scan_decisions(env: DataFrame, window: ReportWindow | None = None, opts: Opt
     return out
 
 
-def _scan_preferences(df: DataFrame) -> DataFrame:
+def _scan_preferences(df: DataFrame, opts: Options) -> DataFrame:
     df = df.where(F.col("event_activity_type").isin(*C.PREFERENCE_ACTIVITIES))
     parsed = _parse_documents(
         df, ["event_timestamp", "event_channel_type", "event_activity_type", "partition_date", "source_event_id"],
@@ -123,20 +126,20 @@ def _scan_preferences(df: DataFrame) -> DataFrame:
         F.col("event_channel_type").alias("event_channel_type_p"),
         F.col("event_activity_type").alias("event_activity_type_p"),
         F.col("partition_date").alias("partition_date_p"),
-        safe_ts(F.col("_proc")).alias("ess_process_ts_p"),
-        safe_ts(F.col("_src")).alias("ess_src_event_ts_p"),
-        safe_ts(F.col("h.eventTimestamp")).alias("event_ts_p"),
+        safe_ts(F.col("_proc"), opts.offsets).alias("process_ts_p"),
+        safe_ts(F.col("_src"), opts.offsets).alias("source_event_ts_p"),
+        safe_ts(F.col("h.eventTimestamp"), opts.offsets).alias("event_ts_p"),
         F.col("h.eventActivityName").alias("event_activity_name_p"),
         F.col("p.preferenceType").alias("preference_type_p"),
-        F.col("p.clientID").alias("client_id_p"),
+        blank_to_null(F.col("p.clientID")).alias("client_id_p"),
         F.col("p.isBusiness").alias("is_business_p"),
         F.col("p.sendAlertEligible").alias("send_alert_eligible_p"),
         F.col("p.active").alias("active_p"),
         F.col("p.threshold").alias("threshold_p"),
-        F.col("p.custID").alias("cust_id_p"),
-        F.col("p.account").alias("account_p"),
+        blank_to_null(F.col("p.custID")).alias("cust_id_p"),
+        blank_to_null(F.col("p.account")).alias("account_p"),
         F.col("p.maskAccountNo").alias("masked_account_no_p"),
-        F.col("p.externalAccount").alias("external_account_p"),
+        blank_to_null(F.col("p.externalAccount")).alias("external_account_p"),
         F.col("p.productType").alias("product_type_p"),
         F.col("source_event_id").alias("source_event_id_p"),
     ).where((F.col("preference_type_p") == C.ALERT_TYPE) & (F.col("product_type_p") == C.PRODUCT_TYPE))
@@ -146,7 +149,7 @@ def scan_preferences_initial(env: DataFrame, window: ReportWindow | None = None,
     """The initial preference load (one fixed partition)."""
     if opts.initial_partition is not None:
         env = partition_cutoff(env, equals=opts.initial_partition)
-    return _scan_preferences(env)
+    return _scan_preferences(env, opts)
 
 
 def scan_preferences_incremental(env: DataFrame, window: ReportWindow | None = None, opts: Options = RECORD) -> DataFrame:
@@ -158,7 +161,7 @@ def scan_preferences_incremental(env: DataFrame, window: ReportWindow | None = N
             env = env.where(t > bound)
         else:
             env = env.where(t <= bound if opts.inclusive_end else t < bound)
-    return _scan_preferences(env)
+    return _scan_preferences(env, opts)
 
 
 def union_preferences(initial: DataFrame, incremental: DataFrame, distinct: bool = True) -> DataFrame:
@@ -179,24 +182,28 @@ def scan_preferences(sources: Sources, window: ReportWindow | None = None, opts:
     )
 
 
+def _delivery_window(df: DataFrame, col: str, window: ReportWindow, opts: Options) -> DataFrame:
+    """after the window start, or with the bounded option the half-open [start, end + 1 day)."""
+    if opts.delivery_upper_bound:
+        return event_window(df, col, _lit_ts(window.start_ts), _lit_ts(window.end_bound), inclusive_end=False)
+    return df.where(F.col(col) > _lit_ts(window.start_ts))
+
+
 def scan_deliveries(env: DataFrame, window: ReportWindow | None = None, opts: Options = RECORD) -> DataFrame:
     """Delivery-audit records after the window start (no upper bound in the record)."""
     df = env.where(F.col("event_activity_type") == C.ACTIVITY_DELIVERY)
     if window is not None and opts.time_source == "envelope":
-        t = F.col("event_timestamp")
-        df = df.where(t > _lit_ts(window.start_ts))
-        if opts.delivery_upper_bound:
-            df = df.where(t < _lit_ts(window.end_bound))
+        df = _delivery_window(df, "event_timestamp", window, opts)
     parsed = _parse_documents(
         df, ["event_activity_type", "source_event_id", "partition_date", "event_timestamp"], SC.DELIVERY_SCHEMA)
     out = parsed.select(
-        safe_ts(F.col("_proc")).alias("ess_process_ts_a"),
+        safe_ts(F.col("_proc"), opts.offsets).alias("process_ts_a"),
         F.col("event_activity_type").alias("event_activity_type_a"),
         F.col("source_event_id").alias("source_event_id_a"),
         F.col("partition_date").alias("partition_date_a"),
         F.col("event_timestamp").alias("envelope_ts_a"),
         F.col("h.eventId").alias("event_id_a"),
-        safe_ts(F.col("h.eventTimestamp")).alias("event_ts_a"),
+        safe_ts(F.col("h.eventTimestamp"), opts.offsets).alias("event_ts_a"),
         F.col("h.eventActivityName").alias("event_activity_name_a"),
         F.col("p.alertSent").alias("alert_sent_a"),
         F.col("p.sendInbox").alias("send_inbox_a"),
@@ -206,18 +213,15 @@ def scan_deliveries(env: DataFrame, window: ReportWindow | None = None, opts: Op
         F.col("p.sendPush").alias("send_push_a"),
         F.col("p.maskedAccount").alias("masked_account_a"),
         F.col("p.reasonCode").alias("reason_code_a"),
-        F.col("p.decisionId").alias("decision_id_a"),
+        blank_to_null(F.col("p.decisionId")).alias("decision_id_a"),
         safe_decimal(F.col("p.alertAmount")).alias("alert_amount_a"),
-        F.col("p.accountID").alias("account_id_a"),
-        F.col("p.account").alias("account_a"),
+        blank_to_null(F.col("p.accountID")).alias("account_id_a"),
+        blank_to_null(F.col("p.account")).alias("account_a"),
         F.col("p.accountProduct").alias("account_product_a"),
         F.col("p.sendEmail").alias("send_email_a"),
     ).where(F.col("alert_type_a") == C.ALERT_TYPE)
     if window is not None and opts.time_source == "header":
-        t = F.col("event_ts_a")
-        out = out.where(t > _lit_ts(window.start_ts))
-        if opts.delivery_upper_bound:
-            out = out.where(t < _lit_ts(window.end_bound))
+        out = _delivery_window(out, "event_ts_a", window, opts)
     if opts.delivery_require_id:
         out = out.where(F.col("decision_id_a").isNotNull())
     return out

@@ -9,9 +9,11 @@ Two forms of the same rows:
   scans in ``sources.envelope`` can be run on them.  Scanning the envelope tables without a
   reporting window gives back exactly the flat feeds.
 
-Mapping (fixed by the fixture): purchase -> decision; signup before 2024-01-08 -> initial
-preference; click from 2024-01-08 -> incremental preference; view -> delivery; error -> noise
-that every scan must drop.  The weekly decision id is ``user_id-<Monday yyyyMMdd>``.
+Mapping (fixed by the fixture): purchase -> decision; signup -> initial preference (all in the
+fixed initial-load partition); click -> incremental preference; view -> delivery; error -> noise
+that every scan must drop.  The weekly decision id is ``user_id-<Monday yyyyMMdd>``.  Some events
+have no usable key: by ``event_id % 40`` (7, 17, 27) the account, customer and decision id are an
+empty text, spaces or NULL, which all mean a missing key.  Some deliveries fall on midnight.
 """
 
 from __future__ import annotations
@@ -22,11 +24,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertlens.functions import constants as C
-from alertlens.functions.scalars import ntz
+from alertlens.functions.scalars import blank_to_null
 from alertlens.sources.envelope import Sources
 
 # fixed values of the fixture mapping
-SPLIT_TS = dt.datetime(2024, 1, 8)
 NOISE_ALERT_TYPE = "LOW_BALANCE"
 NOISE_PRODUCT_TYPE = "DEBIT_CARD"
 CHANNEL = "ONLINE"
@@ -50,12 +51,34 @@ def _monday(ts: Column) -> Column:
     return F.next_day(F.date_sub(F.to_date(ts), 7), "Mon")
 
 
+def _raw(c: Column) -> Column:
+    """A key as the feed has it: some are blank or missing."""
+    k = F.col("event_id") % 40
+    return F.when(k == 7, F.lit("")).when(k == 17, F.lit("   ")).when(k == 27, F.lit(None).cast("string")).otherwise(c)
+
+
+def _raw_decision_id() -> Column:
+    return _raw(F.concat(_text("user_id"), F.lit("-"), F.date_format(_monday(F.col("ts")), "yyyyMMdd")))
+
+
+def _raw_customer() -> Column:
+    return _raw(F.lpad(_text("user_id"), 9, "0"))
+
+
+def _raw_account() -> Column:
+    return _raw(_text("user_id"))
+
+
 def _weekly_decision_id() -> Column:
-    return F.concat(_text("user_id"), F.lit("-"), F.date_format(_monday(F.col("ts")), "yyyyMMdd"))
+    return blank_to_null(_raw_decision_id())
 
 
 def _customer() -> Column:
-    return F.lpad(_text("user_id"), 9, "0")
+    return blank_to_null(_raw_customer())
+
+
+def _account() -> Column:
+    return blank_to_null(_raw_account())
 
 
 def _dec12(c: Column) -> Column:
@@ -83,11 +106,11 @@ def decisions(events: DataFrame) -> DataFrame:
         F.lit(C.ACTIVITY_DECISION).alias("event_activity_type"),
         _text("event_id").alias("source_event_id"),
         _ymd(F.col("ts")).alias("partition_date"),
-        F.col("ts").alias("ess_process_ts"),
-        F.col("ts").alias("ess_src_event_ts"),
+        F.col("ts").alias("process_ts"),
+        F.col("ts").alias("source_event_ts"),
         _text("event_id").alias("event_id"),
         F.col("ts").alias("event_ts"),
-        _text("user_id").alias("account_id"),
+        _account().alias("account_id"),
         F.lit(C.ALERT_TYPE).alias("alert_type"),
         _dec12(_k()).alias("threshold_amount"),
         _customer().alias("customer_id"),
@@ -99,14 +122,14 @@ def decisions(events: DataFrame) -> DataFrame:
     )
 
 
-def _preferences(ev: DataFrame, activity: str) -> DataFrame:
+def _preferences(ev: DataFrame, activity: str, partition: Column) -> DataFrame:
     return ev.select(
         F.col("ts").alias("envelope_ts_p"),
         F.lit(CHANNEL).alias("event_channel_type_p"),
         F.lit(activity).alias("event_activity_type_p"),
-        _ymd(F.col("ts")).alias("partition_date_p"),
-        F.col("ts").alias("ess_process_ts_p"),
-        F.col("ts").alias("ess_src_event_ts_p"),
+        partition.alias("partition_date_p"),
+        F.col("ts").alias("process_ts_p"),
+        F.col("ts").alias("source_event_ts_p"),
         F.col("ts").alias("event_ts_p"),
         F.lit(activity).alias("event_activity_name_p"),
         F.lit(C.ALERT_TYPE).alias("preference_type_p"),
@@ -116,32 +139,38 @@ def _preferences(ev: DataFrame, activity: str) -> DataFrame:
         F.lit("true").alias("active_p"),
         _k().alias("threshold_p"),
         _customer().alias("cust_id_p"),
-        _text("user_id").alias("account_p"),
+        _account().alias("account_p"),
         _null_s().alias("masked_account_no_p"),
-        _text("user_id").alias("external_account_p"),
+        _account().alias("external_account_p"),
         F.lit(C.PRODUCT_TYPE).alias("product_type_p"),
         _text("event_id").alias("source_event_id_p"),
     )
 
 
 def preferences_initial(events: DataFrame) -> DataFrame:
-    ev = events.where((F.col("event_type") == "signup") & (F.col("ts") < ntz(SPLIT_TS)))
-    return _preferences(ev, C.ACTIVITY_PREF_CREATE)
+    ev = events.where(F.col("event_type") == "signup")
+    return _preferences(ev, C.ACTIVITY_PREF_CREATE, F.lit(C.INITIAL_LOAD_PARTITION))
 
 
 def preferences_incremental(events: DataFrame) -> DataFrame:
-    ev = events.where((F.col("event_type") == "click") & (F.col("ts") >= ntz(SPLIT_TS)))
-    return _preferences(ev, C.ACTIVITY_PREF_UPDATE)
+    ev = events.where(F.col("event_type") == "click")
+    return _preferences(ev, C.ACTIVITY_PREF_UPDATE, _ymd(F.col("ts")))
 
 
 def preferences(events: DataFrame) -> DataFrame:
     return preferences_initial(events).unionByName(preferences_incremental(events))
 
 
+def _on_the_hour(events: DataFrame) -> DataFrame:
+    """Some deliveries (``event_id % 40 = 3``) fall exactly on midnight, where windows start."""
+    at = F.when((F.col("event_id") % 40 == 3) & (F.col("event_type") == "view"), F.to_date("ts").cast("timestamp_ntz"))
+    return events.withColumn("ts", at.otherwise(F.col("ts")))
+
+
 def deliveries(events: DataFrame) -> DataFrame:
-    ev = events.where(F.col("event_type") == "view")
+    ev = _on_the_hour(events).where(F.col("event_type") == "view")
     return ev.select(
-        F.col("ts").alias("ess_process_ts_a"),
+        F.col("ts").alias("process_ts_a"),
         F.lit(C.ACTIVITY_DELIVERY).alias("event_activity_type_a"),
         _text("event_id").alias("source_event_id_a"),
         _ymd(F.col("ts")).alias("partition_date_a"),
@@ -159,8 +188,8 @@ def deliveries(events: DataFrame) -> DataFrame:
         _null_s().alias("reason_code_a"),
         _weekly_decision_id().alias("decision_id_a"),
         _dec12(F.col("value")).alias("alert_amount_a"),
-        _text("user_id").alias("account_id_a"),
-        _text("user_id").alias("account_a"),
+        _account().alias("account_id_a"),
+        _account().alias("account_a"),
         F.lit(C.PRODUCT_TYPE).alias("account_product_a"),
         F.lit("false").alias("send_email_a"),
     )
@@ -177,7 +206,7 @@ def _iso_space(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
-def _envelope(ev: DataFrame, activity: str, payload: Column) -> DataFrame:
+def _envelope(ev: DataFrame, activity: str, payload: Column, partition: Column | None = None) -> DataFrame:
     header = F.to_json(
         F.struct(
             _text("event_id").alias("eventId"),
@@ -196,7 +225,7 @@ def _envelope(ev: DataFrame, activity: str, payload: Column) -> DataFrame:
         F.lit(CHANNEL).alias("event_channel_type"),
         _text("event_id").alias("source_event_id"),
         F.col("ts").alias("event_timestamp"),
-        _ymd(F.col("ts")).alias("partition_date"),
+        (_ymd(F.col("ts")) if partition is None else partition).alias("partition_date"),
         attrs.alias("eventAttributes"),
     )
 
@@ -207,12 +236,12 @@ def _kv() -> Column:
 
 def _decision_payload(alert_type: Column) -> Column:
     return F.struct(
-        _text("user_id").alias("accountId"),
+        _raw_account().alias("accountId"),
         alert_type.alias("alertType"),
         _kv().alias("thresholdAmount"),
-        _customer().alias("customerID"),
+        _raw_customer().alias("customerID"),
         F.lit(CURRENCY).alias("accountCurrency"),
-        _weekly_decision_id().alias("decisionId"),
+        _raw_decision_id().alias("decisionId"),
         F.col("value").alias("alertAmount"),
     )
 
@@ -220,14 +249,14 @@ def _decision_payload(alert_type: Column) -> Column:
 def _preference_payload(product: Column) -> Column:
     return F.struct(
         F.lit(C.ALERT_TYPE).alias("preferenceType"),
-        _customer().alias("clientID"),
+        _raw_customer().alias("clientID"),
         (_kv() % 2 == 0).alias("isBusiness"),  # a JSON boolean; extracts as 'true'/'false'
         F.lit(True).alias("sendAlertEligible"),
         F.lit(True).alias("active"),
         _kv().alias("threshold"),
-        _customer().alias("custID"),
-        _text("user_id").alias("account"),
-        _text("user_id").alias("externalAccount"),
+        _raw_customer().alias("custID"),
+        _raw_account().alias("account"),
+        _raw_account().alias("externalAccount"),
         product.alias("productType"),
     )
 
@@ -240,10 +269,10 @@ def _delivery_payload(alert_type: Column) -> Column:
         _kv().alias("thresholdAmount"),
         F.lit(False).alias("sendSMS"),
         F.lit(True).alias("sendPush"),
-        _weekly_decision_id().alias("decisionId"),
+        _raw_decision_id().alias("decisionId"),
         F.col("value").alias("alertAmount"),
-        _text("user_id").alias("accountID"),
-        _text("user_id").alias("account"),
+        _raw_account().alias("accountID"),
+        _raw_account().alias("account"),
         F.lit(C.PRODUCT_TYPE).alias("accountProduct"),
         F.lit(False).alias("sendEmail"),
     )
@@ -252,15 +281,13 @@ def _delivery_payload(alert_type: Column) -> Column:
 def envelope_sources(events: DataFrame) -> Sources:
     """The four envelope inputs, each with the 'error' events mixed in as noise that only
     the payload predicates (alert type / product type) remove.  One scan per table."""
-    split = ntz(SPLIT_TS)
     et = F.col("event_type")
     noise = et == "error"
     alert = F.when(noise, F.lit(NOISE_ALERT_TYPE)).otherwise(F.lit(C.ALERT_TYPE))
     product = F.when(noise, F.lit(NOISE_PRODUCT_TYPE)).otherwise(F.lit(C.PRODUCT_TYPE))
     dec = _envelope(events.where(et.isin("purchase", "error")), C.ACTIVITY_DECISION, _decision_payload(alert))
-    ini = _envelope(events.where(((et == "signup") & (F.col("ts") < split)) | noise),
-                    C.ACTIVITY_PREF_CREATE, _preference_payload(product))
-    inc = _envelope(events.where(((et == "click") & (F.col("ts") >= split)) | noise),
-                    C.ACTIVITY_PREF_UPDATE, _preference_payload(product))
-    dlv = _envelope(events.where(et.isin("view", "error")), C.ACTIVITY_DELIVERY, _delivery_payload(alert))
+    ini = _envelope(events.where((et == "signup") | noise), C.ACTIVITY_PREF_CREATE, _preference_payload(product),
+                    F.when(noise, _ymd(F.col("ts"))).otherwise(F.lit(C.INITIAL_LOAD_PARTITION)))
+    inc = _envelope(events.where((et == "click") | noise), C.ACTIVITY_PREF_UPDATE, _preference_payload(product))
+    dlv = _envelope(_on_the_hour(events).where(et.isin("view", "error")), C.ACTIVITY_DELIVERY, _delivery_payload(alert))
     return Sources(decisions=dec, preferences_initial=ini, preferences_incremental=inc, deliveries=dlv)

@@ -16,8 +16,11 @@ def scorecard_schema() -> T.StructType:
     return T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in SCORECARD_COLUMNS])
 
 
-def read_history(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_history(spark: SparkSession, path: str, schema: T.StructType | None = None, ordered: bool = False) -> DataFrame:
+    from alertlens.plans.scorecard import in_order
+
     schema = schema or scorecard_schema()
-    if path_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    df = spark.read.schema(schema).parquet(path)
+    return in_order(df) if ordered else df

@@ -52,20 +52,20 @@ DEC12 = T.DecimalType(12, 2)
 # Canonical (extracted) feeds.  ``event_ts*`` is always the header's event time (the one
 # the job computes with); ``envelope_ts*`` is the envelope column the scans filter on.
 DECISION_COLUMNS = (
-    "event_activity_type", "source_event_id", "partition_date", "ess_process_ts",
-    "ess_src_event_ts", "event_id", "event_ts", "account_id", "alert_type", "threshold_amount",
+    "event_activity_type", "source_event_id", "partition_date", "process_ts",
+    "source_event_ts", "event_id", "event_ts", "account_id", "alert_type", "threshold_amount",
     "customer_id", "account_currency", "credit_limit", "masked_account", "decision_id",
     "alert_amount",
 )
 PREFERENCE_COLUMNS = (
     "envelope_ts_p", "event_channel_type_p", "event_activity_type_p", "partition_date_p",
-    "ess_process_ts_p", "ess_src_event_ts_p", "event_ts_p", "event_activity_name_p",
+    "process_ts_p", "source_event_ts_p", "event_ts_p", "event_activity_name_p",
     "preference_type_p", "client_id_p", "is_business_p", "send_alert_eligible_p", "active_p",
     "threshold_p", "cust_id_p", "account_p", "masked_account_no_p", "external_account_p",
     "product_type_p", "source_event_id_p",
 )
 DELIVERY_COLUMNS = (
-    "ess_process_ts_a", "event_activity_type_a", "source_event_id_a", "partition_date_a",
+    "process_ts_a", "event_activity_type_a", "source_event_id_a", "partition_date_a",
     "envelope_ts_a", "event_id_a", "event_ts_a", "event_activity_name_a", "alert_sent_a",
     "send_inbox_a", "alert_type_a", "threshold_amount_a", "send_sms_a", "send_push_a",
     "masked_account_a", "reason_code_a", "decision_id_a", "alert_amount_a", "account_id_a",

@@ -1,11 +1,14 @@
-"""Test-only brute force for J3: the reference's plain form (many-to-many join, flag, sort,
+"""Test-only brute force for J3: the plain form (many-to-many join, flag, sort,
 keep first).  It forms every (decision, preference) pair of a key, so it only ever runs on
 small fixtures."""
 
-from pyspark.sql import Window
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from alertlens.functions import scalars as S
+from alertlens.operators.aggregates import _with_cumulative
 
 
 def brute_effective_preference(d1, pref, opts):
@@ -21,3 +24,18 @@ def brute_effective_preference(d1, pref, opts):
         F.col("dec_tm_ge_pref_tm").desc(), F.col("event_ts_p").desc_nulls_last(),
         sid.asc_nulls_first() if opts.null_order == "sas" else sid.asc_nulls_last())
     return j.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+
+
+def freq_oneway_separate(df: DataFrame, cols: Sequence[str], labels: dict[str, callable] | None = None) -> DataFrame:
+    """A6 as one aggregate per column, unioned (the straightforward plan; kept to measure the
+    grouping-sets pass against it).  Same output as ``freq_oneway``."""
+    labels = labels or {}
+    parts = []
+    for c in cols:
+        col = labels[c](F.col(c)) if c in labels else F.col(c)
+        parts.append(df.groupBy(col.cast("string").alias("level")).agg(F.count(F.lit(1)).alias("frequency"))
+                     .select(F.lit(c).alias("variable"), "level", "frequency"))
+    agg = parts[0]
+    for p in parts[1:]:
+        agg = agg.unionByName(p)
+    return _with_cumulative(agg, ["variable"], [F.col("level").asc_nulls_first()])

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from alertlens.operators.asof import effective_preference, effective_preference_single, fanout_size
+from alertlens.operators.asof import effective_preference, fanout_size
 from alertlens.operators.dedup import dedup_decisions
 from alertlens.options import PORT, RECORD, STRICT
 from alertlens.sources import fixture as FX
@@ -21,15 +21,11 @@ def _t(h):
     return None if h is None else dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
 
 
-def _check(spark, dec, pref, opts, split_rows_list=(1, 2, 3, 1000)):
-    expect = sorted(tuple(r) for r in brute_effective_preference(dec, pref, opts).select(*KEY).collect())
-    got = sorted(tuple(r) for r in effective_preference_single(dec, pref, opts).select(*KEY).collect())
-    assert got == expect
-    for sr in split_rows_list:
-        for mat in (True, False):
-            got = sorted(tuple(r) for r in effective_preference(dec, pref, opts, split_rows=sr, max_splits=8,
-                                                                materialize=mat).select(*KEY).collect())
-            assert got == expect, (sr, mat)
+def _check(spark, dec, pref, opts):
+    expect = sorted((tuple(r) for r in brute_effective_preference(dec, pref, opts).select(*KEY).collect()), key=repr)
+    out = effective_preference(dec, pref, opts)
+    assert out.columns == [*dec.columns, *pref.columns, "dec_tm_ge_pref_tm"]
+    assert sorted((tuple(r) for r in out.select(*KEY).collect()), key=repr) == expect
 
 
 EDGE_DEC = [
@@ -79,7 +75,7 @@ def test_null_preference_ids_follow_the_null_order(spark):
     dec = spark.createDataFrame([("d1", "e1", "A", "C", _t(10))], DEC_SCHEMA)
     pref = spark.createDataFrame([(None, "A", "C", _t(5), "true"), ("p2", "A", "C", _t(5), "false")], PREF_SCHEMA)
     for opts in (RECORD, PORT):
-        _check(spark, dec, pref, opts, split_rows_list=(1000,))
+        _check(spark, dec, pref, opts)
     rec = effective_preference(dec, pref, RECORD).first()
     port = effective_preference(dec, pref, PORT).first()
     assert (rec.source_event_id_p, port.source_event_id_p) == (None, "p2")
@@ -109,7 +105,7 @@ def _random_case(spark, seed, n_dec=60, n_pref=60):
 def test_random_against_brute_force(spark, seed):
     dec, pref = _random_case(spark, seed)
     for opts in (RECORD, PORT):
-        _check(spark, dec, pref, opts, split_rows_list=(4, 25))
+        _check(spark, dec, pref, opts)
 
 
 def test_fixture_against_brute_force(spark):
@@ -117,22 +113,21 @@ def test_fixture_against_brute_force(spark):
     d1 = dedup_decisions(FX.decisions(ev))
     pref = FX.preferences(ev)
     expect = brute_effective_preference(d1, pref, RECORD).select(*KEY)
-    for sr in (5, 20, 10_000):
-        got = effective_preference(d1, pref, RECORD, split_rows=sr).select(*KEY)
-        assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
+    got = effective_preference(d1, pref, RECORD).select(*KEY)
+    assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
 
 
 def test_fanout_size_matches_join(spark):
     ev = FX.read_events(spark, SF01)
     dec, pref = FX.decisions(ev), FX.preferences(ev)
     total = fanout_size(dec, pref).agg(F.sum("fanout_rows")).first()[0]
-    assert total == 26115   # FIXTURES.md golden, without forming the pairs
+    assert total == 90484   # FIXTURES.md golden, without forming the pairs
 
 
 def test_no_pairwise_operators_in_plan(spark):
     ev = FX.read_events(spark, SF01)
     d1 = dedup_decisions(FX.decisions(ev))
-    df = effective_preference(d1, FX.preferences(ev), RECORD, split_rows=5)
+    df = effective_preference(d1, FX.preferences(ev), RECORD)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

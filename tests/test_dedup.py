@@ -11,11 +11,11 @@ from tests.conftest import SF01
 def test_firsts_plus_rejects_is_input(spark):
     dec = FX.decisions(FX.read_events(spark, SF01))
     kept, rej = W.dedup_decisions(dec), W.decision_rejects(dec)
-    assert (kept.count(), rej.count()) == (660, 1321)                  # FIXTURES.md golden
-    assert kept.unionByName(rej).exceptAll(dec).count() == 0
-    assert kept.select("decision_id").distinct().count() == 660
+    assert (kept.count(), rej.count()) == (648, 1333)                  # FIXTURES.md golden
+    assert kept.unionByName(rej).exceptAll(dec).count() == 0 == dec.exceptAll(kept.unionByName(rej)).count()
+    assert kept.select("decision_id").distinct().count() == 648
     dl = FX.deliveries(FX.read_events(spark, SF01))
-    assert (W.dedup_deliveries(dl).count(), W.delivery_rejects(dl).count()) == (668, 1314)
+    assert (W.dedup_deliveries(dl).count(), W.delivery_rejects(dl).count()) == (658, 1324)
 
 
 def test_order_ties_and_nulls(spark):
@@ -62,19 +62,31 @@ def test_group_limit_is_planned_before_the_shuffle(spark):
 
 
 def test_delivery_join_reuses_the_dedup_partitioning(spark):
-    """At scale (no broadcast) the deliveries are shuffled once: the keep-latest window and the
-    null-safe join share the partitioning."""
+    """At scale (no broadcast) each side is shuffled once: the windows and the null-safe join share
+    the partitioning."""
     from alertlens.operators.joins import join_deliveries
 
     ev = FX.read_events(spark, SF01)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        j = join_deliveries(W.dedup_decisions(FX.decisions(ev)), W.dedup_deliveries(FX.deliveries(ev)))
+        j = join_deliveries(W.dedup_decisions(FX.decisions(ev), keep_key=True), W.dedup_deliveries(FX.deliveries(ev)))
         j.collect()
         plan = j._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan
-    assert plan.count("Exchange hashpartitioning") == 3   # decisions by id, then by join key; deliveries once
+    assert plan.count("Exchange hashpartitioning") == 2   # each side once: both windows partition by the join key
+
+
+def test_rejects_are_a_multiset_with_repeated_and_null_ids(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [("k", "1", t, "a", "c")] * 3 + [("k", None, t, "a", "c")] * 2 + [("k", "1", None, "a", "c"), (None, None, t, "b", "c"),
+            (None, None, t, "b", "c"), ("j", None, None, None, None)]
+    df = spark.createDataFrame(rows, "decision_id string, source_event_id string, event_ts timestamp_ntz, account_id string, customer_id string")
+    for opts in (RECORD, PORT):
+        kept, rej = W.dedup_decisions(df, opts), W.decision_rejects(df, opts)
+        assert (kept.count(), rej.count()) == (3, 6)
+        both = kept.unionByName(rej)
+        assert both.exceptAll(df).count() == 0 and df.exceptAll(both).count() == 0

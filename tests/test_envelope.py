@@ -11,7 +11,7 @@ from alertlens.sources import fixture as FX
 from alertlens.sources.schemas import ENVELOPE_SCHEMA
 from tests.conftest import SF001
 
-FIX = RECORD.with_(initial_partition=None)
+FIX = RECORD
 
 
 def _same(a, b):
@@ -49,7 +49,7 @@ def test_malformed_json_and_case_sensitive_keys(spark):
     assert r.account_id is None               # accountID is not accountId
     assert r.alert_amount is None             # overflow -> NULL, no failure under ANSI
     assert str(r.threshold_amount) == "1.50"
-    assert r.ess_src_event_ts is None         # absent map key
+    assert r.source_event_ts is None         # absent map key
     assert r.event_ts == dt.datetime(2024, 1, 2, 3, 4, 5, 1)
     y = [x for x in out if x.decision_id == "y"][0]
     assert y.event_ts is None and y.event_id is None

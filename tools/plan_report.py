@@ -14,7 +14,7 @@ from alertlens.plans import queries as Q  # noqa: E402
 from alertlens.session import get_spark  # noqa: E402
 
 HEADLINE = ["scan_decisions", "dedup_first", "stratified_sample", "effective_preference", "final", "final_week",
-            "latency_counts", "scorecard", "freq_oneway", "freq_crosstab7", "history_replace", "join_preferences"]
+            "latency_counts", "scorecard", "freq_oneway", "freq_crosstab7", "history_replace", "preference_fanout_size"]
 
 
 def bracketed(plan: str, key: str) -> list[str]:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from alertlens.plans import queries as Q  # noqa: E402
 from alertlens.plans.weekly import run_weekly  # noqa: E402
-from alertlens.session import drop_materialized, get_spark, materialized_mark  # noqa: E402
+from alertlens.session import drop_scratch, get_spark  # noqa: E402
 from alertlens.sources import fixture as FX  # noqa: E402
 
 SRC = "/root/testdata/sf0.1"
@@ -47,7 +47,6 @@ def main():
     out = {}
     for k in ks:
         d = replicate(spark, k, scratch)
-        mark = materialized_mark()
         Q.q_final(spark, d).collect()  # warm
         res = {
             "events": spark.read.parquet(f"{d}/events.parquet").count(),
@@ -58,7 +57,7 @@ def main():
                                                       tempfile.mkdtemp(dir=scratch), os.path.join(scratch, f"h{k}"),
                                                       Q.FIX, window=False)),
         }
-        drop_materialized(spark, mark)
+        drop_scratch(spark)
         out[f"x{k}"] = res
         print(json.dumps({f"x{k}": res}), flush=True)
 
