@@ -103,10 +103,7 @@ def effective_preference(dec: DataFrame, pref: DataFrame, opts: Options = RECORD
     p = _keyed(_usable(pref, opts), "external_account_p", "cust_id_p", "event_ts_p")
     p = p.withColumn("_id", F.col("source_event_id_p").cast("string"))
 
-    instants = d.select(*KEY, "_m").distinct()
-    # preferences of keys that no decision has never matter
-    wanted = p.select(*KEY, "_m", "_id").join(d.select(*KEY).distinct(), KEY, "left_semi")
-    at = chosen_at(instants, wanted, opts).withColumn("_c", F.coalesce("_prior", "_best"))
+    at = chosen_at(d.select(*KEY, "_m").distinct(), p, opts).withColumn("_c", F.coalesce("_prior", "_best"))
     flag = F.when(F.col("_prior").isNotNull(), F.lit("Y"))
     if opts.nulls == "low":
         flag = flag.when(F.col("_best").isNull() & (F.col("_m") != NO_TIME), F.lit("Y"))
@@ -114,9 +111,8 @@ def effective_preference(dec: DataFrame, pref: DataFrame, opts: Options = RECORD
 
     # columns of the chosen preferences; rows that repeat an id at one instant: the least of them
     picked = [*KEY, "_cm", "_cid"]
-    ids = at.where("_cid is not null").select(*picked).distinct()
     full = p.select(*KEY, F.col("_m").alias("_cm"), _text_key(F.col("_id")).alias("_cid"), _struct_of(pcols).alias("_pv"))
-    full = full.join(ids, picked, "left_semi").groupBy(*picked).agg(F.min("_pv").alias("_pv"))
+    full = full.groupBy(*picked).agg(F.min("_pv").alias("_pv"))
     at = at.join(full, picked, "left").select(*KEY, "_m", "_pv", FLAG)
     out = d.join(at, [*KEY, "_m"], "left")
     return out.selectExpr(*[_q(c) for c in dcols], *[f"_pv.{_q(c)} AS {_q(c)}" for c in pcols], FLAG)

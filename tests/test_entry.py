@@ -3,9 +3,12 @@
 import decimal
 
 import duckdb
+import pytest
 
 import __spark_entry__ as E
+from alertlens.plans import queries as Q
 from alertlens.plans.queries import QUERIES
+from alertlens.session import materialize as write
 from tests.conftest import SF001
 
 
@@ -34,7 +37,18 @@ def test_every_query_has_an_oracle():
     assert len(QUERIES) >= 55
 
 
-def test_queries_match_oracle(spark):
+@pytest.fixture()
+def written_once(monkeypatch):
+    """Many queries start from the same two tables: compute each once (the queries ``final`` and
+    ``effective_preference`` still run their whole plan)."""
+    final, joined, cache = Q.final_table, Q._pre_exclusion, {}
+    monkeypatch.setattr(Q, "final_table", lambda spark, sf, opts=Q.FIX, materialize=False: cache.setdefault(
+        ("final", opts), None) or cache.update({("final", opts): final(spark, sf, opts, True)}) or cache["final", opts])
+    monkeypatch.setattr(Q, "_pre_exclusion", lambda spark, sf: cache.setdefault(
+        "joined", None) or cache.update({"joined": write(joined(spark, sf), "joined")}) or cache["joined"])
+
+
+def test_queries_match_oracle(spark, written_once):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF001}/events.parquet')")
     bad = []

@@ -25,7 +25,7 @@ GOLDEN = {
 
 @pytest.fixture(scope="module", params=[SF001, SF01], ids=["sf0.001", "sf0.01"])
 def case(request, spark):
-    f = Q.final_table(spark, request.param)
+    f = Q.final_table(spark, request.param, materialize=True)
     return request.param, f, GOLDEN[request.param]
 
 
