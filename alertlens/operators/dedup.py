@@ -70,15 +70,15 @@ def dedup_rejects(df: DataFrame, keys: Sequence[str], order: Order, row_id: str,
     rejected if the row is kept, else all n.  ``row_id`` is only the order's tie-break; it may
     repeat or be NULL."""
     cols = df.columns
-    kept = dedup_first(df, keys, order, row_id, opts).select(*[F.col(c).alias(f"__k_{c}") for c in cols], F.lit(1).alias("__kept"))
-    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
-    same = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in cols]
-    left = counted.join(kept, same, "left").withColumn("__n", F.col("__n") - F.coalesce("__kept", F.lit(0)))
+    row = F.struct(*[F.col(c) for c in cols]).alias("__r")  # one key: nulls inside compare as equal
+    kept = dedup_first(df, keys, order, row_id, opts).select(row, F.lit(1).alias("__kept"))
+    counted = df.groupBy(row).agg(F.count(F.lit(1)).alias("__n"))
+    left = counted.join(kept, "__r", "left").withColumn("__n", F.col("__n") - F.coalesce("__kept", F.lit(0)))
     # repeat a row __n times, by blocks so that no array grows with the count
     blocks = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(__n - 1) div {REPEAT}"))
     left = left.where(F.col("__n") > 0).withColumn("__b", F.explode(blocks))
     rows = F.least(F.lit(REPEAT).cast("bigint"), F.col("__n") - F.col("__b") * REPEAT)
-    return left.withColumn("__i", F.explode(F.array_repeat(F.lit(0), rows.cast("int")))).select(*cols)
+    return left.withColumn("__i", F.explode(F.array_repeat(F.lit(0), rows.cast("int")))).select("__r.*")
 
 
 def dedup_latest(df: DataFrame, key: str, ts: str, tiebreak: str, opts: Options = RECORD) -> DataFrame:
