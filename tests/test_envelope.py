@@ -92,8 +92,9 @@ def test_preference_bound_and_initial_partition(spark):
     ev = FX.read_events(spark, SF001)
     src = FX.envelope_sources(ev)
     w = reporting_window(dt.date(2024, 1, 31), RECORD)
-    # the record preset keeps only the fixed initial-load partition, which the fixture does not have
-    assert EN.scan_preferences_initial(src.preferences_initial, w, RECORD).count() == 0
+    # the record preset keeps only the fixed initial-load partition: every signup, and nothing else
+    assert EN.scan_preferences_initial(src.preferences_initial, w, RECORD).count() == ev.where("event_type = 'signup'").count() == 199
+    assert EN.scan_preferences_initial(src.preferences_initial, w, RECORD.with_(initial_partition="19000101")).count() == 0
     inc = EN.scan_preferences_incremental(src.preferences_incremental, w, RECORD)
     assert inc.where(F.col("envelope_ts_p") <= ntz(w.end_bound)).count() == 0
     strict = EN.scan_preferences_incremental(src.preferences_incremental, w, RECORD.with_(pref_bound="before_window_end"))
