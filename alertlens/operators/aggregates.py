@@ -9,12 +9,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertlens.functions import constants as C
 from alertlens.functions import scalars as S
 from alertlens.functions.calendar import snap_date, yyyymm, yyyymmdd
+from alertlens.operators.ranges import with_running
 from alertlens.options import RECORD, Options
 
 SUM_TYPE = "decimal(22,2)"
@@ -79,16 +80,15 @@ def control_summary(df: DataFrame, control: str, report_dt: dt.date, opts: Optio
 
 
 def _with_cumulative(agg: DataFrame, part: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Percent, cumulative frequency and cumulative percent over aggregated rows."""
-    whole = Window.partitionBy(*part)
-    running = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.sum("frequency").over(whole).cast("double")
-    cum = F.sum("frequency").over(running)
-    return agg.select(
-        "*",
+    """Position, percent, cumulative frequency and cumulative percent over aggregated rows,
+    by ranges of their order (see ``ranges``), so that no task holds all levels of a variable."""
+    rows = with_running(agg, order, part, "frequency")
+    total = F.col("group_total").cast("double")
+    return rows.select(
+        *agg.columns, "position",
         (F.col("frequency").cast("double") * F.lit(100.0) / total).alias("percent"),
-        cum.alias("cum_frequency"),
-        (cum.cast("double") * F.lit(100.0) / total).alias("cum_percent"),
+        F.col("running").alias("cum_frequency"),
+        (F.col("running").cast("double") * F.lit(100.0) / total).alias("cum_percent"),
     )
 
 
@@ -97,8 +97,8 @@ def freq_oneway(df: DataFrame, cols: Sequence[str], labels: dict[str, callable]
 
     Missing is a level (A8).  ``labels`` maps a column to a Column -> Column formatter applied
     before counting (e.g. ``blank_label``).  Output in list form:
-    (variable, level, frequency, percent, cum_frequency, cum_percent), levels ascending with
-    the missing level first."""
+    (variable, level, frequency, position, percent, cum_frequency, cum_percent), levels ascending
+    with the missing level first; ``position`` is that order, from 1."""
     labels = labels or {}
     names = [f"__v{i}" for i in range(len(cols))]
     exprs = []
@@ -124,28 +124,17 @@ def freq_oneway(df: DataFrame, cols: Sequence[str], labels: dict[str, callable]
 def freq_crosstab(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """N-way crosstab in list form, missing levels kept, cumulative over sorted levels.
 
-    The cumulative frequency needs one global order of the level combinations.  It is
-    computed in two levels so that no task holds all combinations: a running sum inside each
-    value of the first level column (one window partition per value), plus an offset = the
-    total of all earlier first-level values, from a window over the distinct first-level
-    values only (the one small global step)."""
+    The cumulative frequency needs one global order of the level combinations; it runs over
+    ranges of that order."""
     agg = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("frequency"))
-    first, rest = cols[0], list(cols[1:])
-    per_first = agg.groupBy(F.col(first).alias("__f")).agg(F.sum("frequency").alias("__n"))
-    before = Window.orderBy(F.col("__f").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_first.select(
-        "__f",
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"),
-        F.sum("__n").over(Window.partitionBy()).alias("__total"),
-    )
-    j = agg.join(offsets, agg[first].eqNullSafe(offsets["__f"]), "left")
-    order = [F.col(c).asc_nulls_first() for c in rest] or [F.lit(0)]
-    running = Window.partitionBy(first).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = F.col("__offset") + F.sum("frequency").over(running)
-    total = F.col("__total").cast("double")
-    return j.select(
-        *cols, "frequency",
-        (F.col("frequency").cast("double") * F.lit(100.0) / total).alias("percent"),
-        cum.alias("cum_frequency"),
-        (cum.cast("double") * F.lit(100.0) / total).alias("cum_percent"),
-    )
+    return _with_cumulative(agg, (), [F.col(c).asc_nulls_first() for c in cols])
+
+
+SUMMARY_ORDER = ("Segment10", "DateCompleted", "SnapDate", "RDE", "CommentCode")
+
+
+def ordered_summary(summary: DataFrame) -> DataFrame:
+    """O1: the row order of a control summary as a column, ``position`` from 1 in each control
+    (segment, completion date, snapshot date, control id, result code; NULL first)."""
+    rows = with_running(summary, [F.col(c).asc_nulls_first() for c in SUMMARY_ORDER], ["ControlRisk"])
+    return rows.drop("group_rows")

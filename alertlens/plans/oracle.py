@@ -265,7 +265,7 @@ def with_pipe(body: str, extra: str = "") -> str:
 
 def cumulative(agg: str, part: str, order: str) -> str:
     p = f"PARTITION BY {part}" if part else ""
-    return f"""SELECT *, CAST(frequency AS DOUBLE) * CAST(100 AS DOUBLE) / CAST(sum(frequency) OVER ({p}) AS DOUBLE) AS percent,
+    return f"""SELECT *, row_number() OVER ({p} ORDER BY {order}) AS position, CAST(frequency AS DOUBLE) * CAST(100 AS DOUBLE) / CAST(sum(frequency) OVER ({p}) AS DOUBLE) AS percent,
        CAST(sum(frequency) OVER ({p} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
          AS cum_frequency,
        CAST(sum(frequency) OVER ({p} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)
@@ -397,6 +397,11 @@ ORACLE = {
        FROM (({control_sql('timeliness', 'fin', RD)}) UNION ALL ({control_sql('completeness', 'fin', RD)})) u"""),
     "scorecard": with_pipe(scorecard_sql("fin", "samp", RD), sample_cte("samp", "fin")),
     "freq_oneway": with_pipe(oneway_sql("fin", Q.ONEWAY_COLUMNS, {"decision_id_a": BLANK})),
+    "freq_decision_ids": f"WITH {DEC}\n{oneway_sql('dec', ('decision_id', 'source_event_id'))}",
+    "summary_order": with_pipe(" UNION ALL ".join(
+        f"(SELECT *, row_number() OVER (ORDER BY {', '.join(f'{c} ASC NULLS FIRST' for c in Q.A.SUMMARY_ORDER)}) AS position"
+        f" FROM ({control_sql(k, src, RD)}) x)" for k, src in (("accuracy", "samp"), ("timeliness", "fin"), ("completeness", "fin"))),
+        sample_cte("samp", "fin")),
     "freq_flags": with_pipe(oneway_sql("j", ("dec_tm_ge_pref_tm", "is_business_p"))),
     "freq_crosstab": with_pipe(crosstab_sql("j", ("dec_tm_ge_pref_tm", "is_business_p"))),
     "freq_crosstab7": with_pipe(crosstab_sql("fin", Q.CROSSTAB7)),

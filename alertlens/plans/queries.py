@@ -316,6 +316,19 @@ def q_freq_oneway(spark, sf):
     return A.freq_oneway(final_table(spark, sf), ONEWAY_COLUMNS, {"decision_id_a": S.blank_label})
 
 
+def q_freq_decision_ids(spark, sf):
+    """W8 on variables with as many levels as the feed has ids."""
+    return A.freq_oneway(FX.decisions(_ev(spark, sf)), ("decision_id", "source_event_id"))
+
+
+def q_summary_order(spark, sf):
+    """O1: the three control summaries with their published row order as a column."""
+    f = final_table(spark, sf, materialize=True)
+    return A.ordered_summary(union_controls(
+        A.control_summary(_sample(f), "accuracy", REPORT_DT, FIX), A.control_summary(f, "timeliness", REPORT_DT, FIX),
+        A.control_summary(f, "completeness", REPORT_DT, FIX)))
+
+
 def q_freq_flags(spark, sf):
     return A.freq_oneway(_pre_exclusion(spark, sf), ("dec_tm_ge_pref_tm", "is_business_p"))
 
@@ -512,6 +525,8 @@ QUERIES = {
     "code_comment": q_code_comment,
     "scorecard": q_scorecard,
     "freq_oneway": q_freq_oneway,
+    "freq_decision_ids": q_freq_decision_ids,
+    "summary_order": q_summary_order,
     "freq_flags": q_freq_flags,
     "freq_crosstab": q_freq_crosstab,
     "freq_crosstab7": q_freq_crosstab7,
