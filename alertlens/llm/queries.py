@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from alertlens.llm import ann, embed_dedup, mixing, packing, pii, quality, sharding, simhash, substring, toxicity
+from alertlens.llm import ann, embed_dedup, merkle, mixing, packing, pii, quality, sharding, simhash, substring, toxicity
 from alertlens.llm.common import read_table
 
 
@@ -56,6 +56,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(spark, read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_substring": op2_substring,
@@ -67,8 +71,10 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_nearest": op9_nearest,
     "op10_simhash": op10_simhash,
+    "op11_merkle": op11_merkle,
 }
 
 ORACLE: dict[str, str] = {
     "op3_mixing": mixing.oracle_sql(),
+    "op11_merkle": merkle.oracle_sql(),
 }
