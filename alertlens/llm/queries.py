@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from alertlens.llm import ann, embed_dedup, merkle, mixing, packing, pii, quality, sharding, simhash, substring, toxicity
+from alertlens.llm import ann, embed_dedup, merkle, mixing, nsbounds, packing, pii, quality, sharding, simhash, substring, toxicity, vafile
 from alertlens.llm.common import read_table
 
 
@@ -60,6 +60,14 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.search(spark, read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nsbounds.clustered(spark, read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_substring": op2_substring,
@@ -72,9 +80,13 @@ QUERIES = {
     "op9_nearest": op9_nearest,
     "op10_simhash": op10_simhash,
     "op11_merkle": op11_merkle,
+    "op12_exact_topk": op12_exact_topk,
+    "op13_clustering": op13_clustering,
 }
 
 ORACLE: dict[str, str] = {
     "op3_mixing": mixing.oracle_sql(),
     "op11_merkle": merkle.oracle_sql(),
+    "op12_exact_topk": vafile.oracle_sql(),
+    "op13_clustering": nsbounds.oracle_sql(),
 }

@@ -1,0 +1,86 @@
+"""Exact top-k search against brute force in whole numbers."""
+
+import math
+import random
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from alertlens.llm import vafile
+
+SCHEMA = "vec_id bigint, embedding array<double>, rid int, dim string"
+
+
+def ints(v):
+    if v is None or any(x is None or not math.isfinite(x) for x in v):
+        return None
+    return [math.floor(Fraction(x) * 64) for x in v]
+
+
+def brute(rows, p):
+    have = [(i, d, ints(v)) for i, (d, v) in enumerate(rows) if ints(v) is not None]
+    out = []
+    for i, q, y in have:
+        if q is None or q % p.every:
+            continue
+        s = sorted((-max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(x, y, strict=True)))), d is None, d or 0)
+                   for j, d, x in have if j != i and len(x) == len(y))
+        out += [(q, r, None if none else d, -v) for r, (v, none, d) in enumerate(s[: p.k], 1)]
+    return sorted(out, key=repr)
+
+
+def run(spark, rows, p, parts=3):
+    df = spark.createDataFrame([(*r, 0, "x") for r in rows], SCHEMA).repartition(parts)
+    return sorted((tuple(r) for r in vafile.search(spark, df, p).collect()), key=repr)
+
+
+def test_ties_repeats_nulls_zero_and_odd_dimensions(spark):
+    rng = np.random.default_rng(0)
+    rows = [(i, rng.standard_normal(8).round(1).tolist()) for i in range(150)]
+    rows += [(1000 + i, rows[20][1]) for i in range(90)]  # a group of copies far above k
+    rows += [(20, rows[20][1]), (20, [1.0] * 8), (None, rows[40][1]), (None, [2.0] * 8)]  # repeated and missing ids
+    rows += [(400, None), (401, [0.0] * 7 + [None]), (420, [0.0] * 8), (440, []), (441, []), (403, [math.nan] * 8), (404, [math.inf] + [0.0] * 7)]
+    rows += [(460, [1.0, 2.0]), (461, [3.0, -1.0]), (-20, [0.5] * 8)]
+    p = vafile.Params(k=5, cells=4, rows_a_block=32, queries_a_block=4)
+    assert run(spark, rows, p) == brute(rows, p) == run(spark, rows, p, 1)
+
+
+def test_numbers_beyond_double_precision(spark):
+    rng = random.Random(2)
+    big = [1e300, -1.7e308, 2.0**60, 1e17, 3.0, -0.3, 0.0, 5e-324]
+    rows = [(i, [rng.choice(big) for _ in range(4)]) for i in range(60)]
+    p = vafile.Params(k=4, every=7, cells=3, rows_a_block=16, queries_a_block=3)
+    assert run(spark, rows, p) == brute(rows, p)
+
+
+def test_empty_table_and_fewer_candidates_than_k(spark):
+    assert run(spark, [], vafile.Params()) == []
+    assert run(spark, [(20, [1.0])], vafile.Params()) == []
+    rows = [(20, [1.0]), (1, [2.0]), (2, [-1.0])]
+    assert run(spark, rows, vafile.Params()) == [(20, 1, 1, 8192), (20, 2, 2, -4096)]
+
+
+@pytest.mark.parametrize("cells", [2, 16, 64])
+def test_bounds_hold(cells):
+    rng = np.random.default_rng(cells)
+    x = np.floor(rng.standard_normal((300, 12)) * 50)
+    q = np.floor(rng.standard_normal((40, 12)) * 50)
+    codes, low, high = vafile.approximated(x, cells)
+    d = np.arange(12)
+    least, most = vafile.bounds(q, low[d, codes], high[d, codes])
+    exact = q @ x.T
+    assert (least <= exact).all() and (exact <= most).all() and int(codes.max()) < cells
+
+
+def test_few_vectors_are_read(spark):
+    """The cells leave few candidates beside the results on clustered vectors."""
+    rng = np.random.default_rng(4)
+    centre = rng.standard_normal((20, 64))
+    x = centre[rng.integers(0, 20, 3000)] + 0.3 * rng.standard_normal((3000, 64))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    v = np.floor(x * 64)
+    codes, low, high = vafile.approximated(v, 64)
+    d = np.arange(64)
+    least, most = vafile.bounds(v[::20], low[d, codes], high[d, codes])
+    assert vafile.reach(least, most, np.arange(3000), 20).sum(1).mean() < 60
