@@ -17,9 +17,11 @@ returns at most ``k`` vectors a query.  A vector that several tables show a quer
 the first one only: if it isn't among the tile's ``k`` best there, k better ones are.
 
 Vectors that are null, empty, zero or hold null or non-finite components, and rows without an
-id, take no part.  Only vectors of the query's dimension are candidates.  Rows that repeat an id:
-none of them is a candidate of that id's queries, and equal vectors tie by id.  Equal scores are
-ranked by the smaller id.  Other columns are not read.
+id, take no part.  Only vectors of the query's dimension are candidates.  A row key, not the id,
+tells rows apart: each of the rows that repeat an id is a query with a list of its own (ranks from
+1), a candidate of the others, and may stand in a list beside the other rows of its id.  Equal
+scores are ranked by the smaller id; equal vectors tie.  An empty table gives an empty result.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -84,7 +86,7 @@ def cells(x: np.ndarray, p: Params, probes: int) -> np.ndarray:
 
 
 def _hashed(rows: DataFrame, p: Params, probes: int, query: bool) -> DataFrame:
-    """(vec_id, dim, raw, table, cell, probe list) with one row per cell; ``most`` and ``flat``
+    """(dim, tab, cell, rid, vec_id, raw, probe list) with one row per cell; ``most`` and ``flat``
     tell the completion of index vectors."""
 
     def run(c: list[list]) -> dict[str, list]:
@@ -100,23 +102,23 @@ def _hashed(rows: DataFrame, p: Params, probes: int, query: bool) -> DataFrame:
             x = padded(x / (norm[:, None] if query else most), extra)
             for i, cell in zip(at, cells(x, p, probes), strict=True):
                 got[i] = cell
-        return {"vec_id": c[0], "dim": c[1], "raw": c[3], "probe": [g.astype("<u2").tobytes() for g in got],
+        return {"rid": c[6], "vec_id": c[0], "dim": c[1], "raw": c[3], "probe": [g.astype("<u2").tobytes() for g in got],
                 "at": [[{"tab": t, "cell": int(v)} for t, row in enumerate(g) for v in row] for g in got]}
 
-    out = arrow_map(rows.select("vec_id", "dim", "norm", "raw", "most", "flat"), run,
-                    "vec_id bigint, dim int, raw binary, probe binary, at array<struct<tab:int,cell:int>>", rows=1024)
-    return out.select("vec_id", "dim", "raw", "probe", F.explode("at").alias("at")).select("dim", "at.tab", "at.cell", "vec_id", "raw", "probe")
+    out = arrow_map(rows.select("vec_id", "dim", "norm", "raw", "most", "flat", "rid"), run,
+                    "rid bigint, vec_id bigint, dim int, raw binary, probe binary, at array<struct<tab:int,cell:int>>", rows=1024)
+    return out.select("rid", "vec_id", "dim", "raw", "probe", F.explode("at").alias("at")).select("dim", "at.tab", "at.cell", "rid", "vec_id", "raw", "probe")
 
 
 def _search(table: pa.Table, p: Params) -> pa.RecordBatch:
     """The k best of every query in whole tiles: rows (dim, tab, cell, rows block, query block,
-    is_query, vec_id, raw, probe)."""
+    is_query, rid, vec_id, raw, probe)."""
     key = [table.column(i).to_numpy() for i in range(5)]
-    is_query, ids = table.column("is_query").to_numpy(), table.column("vec_id").to_numpy()
+    is_query, ids, rid = (table.column(n).to_numpy() for n in ("is_query", "vec_id", "rid"))
     raw, probe = table.column("raw").to_pylist(), table.column("probe").to_pylist()
     starts = group_starts(*key)
     ends = np.append(starts[1:], table.num_rows)
-    q_out, v_out, s_out = [], [], []
+    r_out, q_out, v_out, s_out = [], [], [], []
     for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
         rows = np.arange(s, e)
         qs, vs = rows[is_query[s:e] == 1], rows[is_query[s:e] == 0]
@@ -124,31 +126,32 @@ def _search(table: pa.Table, p: Params) -> pa.RecordBatch:
             continue
         dim, tab = int(key[0][s]), int(key[1][s])
         x, y = matrix([raw[i] for i in vs], dim), matrix([raw[i] for i in qs], dim)
-        vid = ids[vs]
+        vid, vrid = ids[vs], rid[vs]
         seen = np.frombuffer(b"".join(probe[i] for i in vs), "<u2").reshape(len(vs), p.tables)  # an index vector's cells
         asked = np.frombuffer(b"".join(probe[i] for i in qs), "<u2").reshape(len(qs), p.tables, -1)
         rough = y @ x.T
         slack = 1e-9 * np.abs(rough).max() if rough.size else 0.0
         for j in range(len(qs)):
-            qid = ids[qs[j]]
             r = rough[j]
-            r[vid == qid] = -np.inf
+            r[vrid == rid[qs[j]]] = -np.inf
             # exact scores where the rough ones (summed in another order) leave the rank open
             least = np.partition(r, len(r) - p.k)[len(r) - p.k] if len(r) > p.k else -np.inf
             at = np.flatnonzero((r >= least - slack) & (r > -np.inf))
             score = (x[at] * y[j]).sum(1)
-            best = np.lexsort((vid[at], -score))[: p.k]
+            best = np.lexsort((vrid[at], vid[at], -score))[: p.k]
             at, score = at[best], score[best]
             new = ~(seen[at, :tab, None] == asked[j, None, :tab]).any((1, 2))
-            q_out.append(np.full(int(new.sum()), qid))
+            r_out.append(np.full(int(new.sum()), rid[qs[j]]))
+            q_out.append(np.full(int(new.sum()), ids[qs[j]]))
             v_out.append(vid[at[new]])
             s_out.append(score[new])
     cat = lambda a, t: np.concatenate(a) if a else np.zeros(0, t)
-    return pa.RecordBatch.from_arrays([pa.array(cat(q_out, np.int64)), pa.array(cat(v_out, np.int64)), pa.array(cat(s_out, float))], names=["query_id", "vec_id", "score"])
+    return pa.RecordBatch.from_arrays([*(pa.array(cat(a, np.int64)) for a in (r_out, q_out, v_out)), pa.array(cat(s_out, float))],
+                                      names=["qrid", "query_id", "vec_id", "score"])
 
 
 def _probe(rows: DataFrame, queries: DataFrame, p: Params) -> DataFrame:
-    """(query_id, vec_id, score): what the tiles of these queries return."""
+    """(qrid, query_id, vec_id, score): what the tiles of these queries return."""
     index = materialize(_hashed(rows, p, 1, query=False), "ann-index")
     asked = materialize(_hashed(queries, p, p.probes, query=True), "ann-queries")
     cell = ["dim", "tab", "cell"]
@@ -159,10 +162,10 @@ def _probe(rows: DataFrame, queries: DataFrame, p: Params) -> DataFrame:
     by = [*cell, "row_block", "query_block"]
 
     def side(df: DataFrame, own: str, other: str, is_query: int) -> DataFrame:
-        block = F.pmod(F.xxhash64("vec_id", "tab"), F.col(f"{own}_blocks")).cast("int")
+        block = F.pmod(F.xxhash64("rid", "tab"), F.col(f"{own}_blocks")).cast("int")
         return df.join(blocks, cell).withColumns({
             f"{own}_block": block, f"{other}_block": F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)),
-        }).select(*by, F.lit(is_query).alias("is_query"), "vec_id", "raw", "probe")
+        }).select(*by, F.lit(is_query).alias("is_query"), "rid", "vec_id", "raw", "probe")
 
     tiles = side(index, "row", "query", 0).unionByName(side(asked, "query", "row", 1)).repartition(*by).sortWithinPartitions(*by)
 
@@ -170,24 +173,24 @@ def _probe(rows: DataFrame, queries: DataFrame, p: Params) -> DataFrame:
         for table in whole_groups(batches, 5):
             yield _search(table, p)
 
-    return tiles.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
+    return tiles.mapInArrow(run, "qrid bigint, query_id bigint, vec_id bigint, score double")
 
 
 def search(spark: SparkSession, vectors: DataFrame, params: Params = Params()) -> DataFrame:
     """(query_id, rank, vec_id, score) of every query's ``k`` nearest found.  Queries that found
     fewer than ``k`` are asked again with every cell of one table, that is against all rows."""
     p = params
-    rows = materialize(prepared(vectors).where("raw is not null and vec_id is not null"), "ann-rows")
+    rows = materialize(prepared(vectors, F.monotonically_increasing_id().alias("rid")).where("raw is not null and vec_id is not null"), "ann-rows")
     # lengths within a millionth of each other count as equal
     most = rows.groupBy("dim").agg(F.max("norm").alias("most"), (F.min("norm") >= F.max("norm") * (1 - 1e-6)).alias("flat"))
     rows = rows.join(materialize(most, "ann-norms"), "dim")
     queries = rows.where(F.col("vec_id") % p.every == 0)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("qrid").orderBy(F.desc("score"), "vec_id"))
     found = materialize(_probe(rows, queries, p).withColumn("rank", rank).where(F.col("rank") <= p.k), "ann-found")
-    full = found.where(F.col("rank") == p.k).select(F.col("query_id").alias("vec_id"))
-    short = materialize(queries.join(full, "vec_id", "left_anti"), "ann-short")
+    full = found.where(F.col("rank") == p.k).select(F.col("qrid").alias("rid"))
+    short = materialize(queries.join(full, "rid", "left_anti"), "ann-short")
     if not short.isEmpty():
         widest = 2 * (2 << max(0, int(short.agg(F.max("dim")).first()[0])).bit_length())
         more = _probe(rows, short, replace(p, tables=1, probes=widest)).withColumn("rank", rank).where(F.col("rank") <= p.k)
-        found = found.join(short.select(F.col("vec_id").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(more)
+        found = found.join(short.select(F.col("rid").alias("qrid")), "qrid", "left_anti").unionByName(more)
     return found.select("query_id", "rank", "vec_id", "score")

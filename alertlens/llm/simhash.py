@@ -18,8 +18,8 @@ already differ in more than 2 places.
 A node's links leave its task as a spanning forest, not as pairs, and components are merged by
 star contraction.  A hot fingerprint costs one row a task; no group of copies meets in one task.
 
-Null and empty texts have fingerprint zero and link like any other.  Rows that repeat an id are
-one document.  A row without an id takes part through its fingerprint but never names a
+Null and empty texts have fingerprint zero and link like any other.  Rows that repeat an id keep a
+fingerprint each.  An empty table gives an empty result.  A row without an id takes part through its fingerprint but never names a
 component; if no row of its component has an id, component_id is null.  Other columns are not
 read.
 """
@@ -74,12 +74,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, row: Column | None = None) -> DataFrame:
+    """(doc_id, row, fp) of every row; fp is the fingerprint as a signed long, ``row`` a text that
+    the caller wants beside it."""
+    row = F.lit(None) if row is None else row
     return arrow_map(
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")),
-        lambda c: {"doc_id": c[0], "fp": [signed(fingerprint(t, shingle)) for t in c[1]]},
-        "doc_id bigint, fp bigint",
+        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row.cast("string").alias("row"), F.col("text").cast("string").alias("text")),
+        lambda c: {"doc_id": c[0], "row": c[1], "fp": [signed(fingerprint(t, shingle)) for t in c[2]]},
+        "doc_id bigint, row string, fp bigint",
     )
 
 
@@ -181,21 +183,38 @@ def link_edges(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return rows.select("t", "key", "fp").mapInArrow(_links, "a bigint, b bigint")
 
 
+def _labelled(distinct: DataFrame, distance: int) -> DataFrame:
+    """``distinct`` fingerprints with ``label``, the least fingerprint of their component."""
+    label = materialize(connected(link_edges(distinct, distance)), "simhash-labels")
+    named = distinct.join(label, F.col("fp") == F.col("node"), "left")
+    return named.select(*distinct.columns, F.coalesce("label", "fp").alias("label"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row."""
-    rows = materialize(fingerprints(docs, shingle), "simhash-rows")
+    rows = materialize(fingerprints(docs, shingle).drop("row"), "simhash-rows")
     distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    label = materialize(connected(link_edges(distinct, distance)), "simhash-labels")
-    named = distinct.join(label, F.col("fp") == F.col("node"), "left").withColumn("label", F.coalesce("label", "fp"))
+    named = _labelled(distinct, distance)
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
     of = materialize(named.join(least, "label").select("fp", "component_id"), "simhash-components")
     return rows.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """The document with the least id of every component, with all its columns; rows without an
-    id stay."""
-    keep = near_duplicates(spark, docs, shingle, distance).where("doc_id = component_id").select(F.col("doc_id").alias("_keep"))
-    keep = materialize(keep.distinct(), "simhash-keep")
-    named = docs.join(keep, F.col("doc_id").cast("bigint") == F.col("_keep"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of every component, with all its columns: the one with the least id, of rows that
+    repeat that id the least by the hash of all columns, so the choice doesn't depend on how the
+    rows are dealt out.  Rows that share an id but not a component all stay.  Rows without an id
+    stay; they don't represent a component that has a row with an id."""
+    whole = F.sha2(F.to_json(F.struct(*[F.col(c) for c in docs.columns])).cast("binary"), 256)
+    rows = materialize(fingerprints(docs, shingle, whole), "simhash-rows")
+    # a fingerprint's first row by (id, hash of the row), and how often that row is there
+    each = rows.where("doc_id is not null").groupBy("fp", "doc_id", "row").agg(F.count("*").alias("n"))
+    best = each.groupBy("fp").agg(F.min(F.struct("doc_id", "row", "n")).alias("best"))
+    distinct = rows.select("fp").distinct().join(best, "fp", "left")
+    named = _labelled(materialize(distinct, "simhash-distinct"), distance)
+    keep = named.groupBy("label").agg(F.min("best").alias("best")).where("best is not null")
+    keep = materialize(keep.select(F.col("best.row").alias("__row"), F.col("best.n").alias("__n")), "simhash-keep")
+    found = docs.withColumn("__row", whole).join(keep, "__row")
+    once = found.where(F.col("__n") == 1)
+    again = found.where(F.col("__n") > 1).dropDuplicates(["__row"])  # equal in every column
+    return once.unionByName(again).select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))

@@ -14,7 +14,8 @@
 
 Null and empty texts have no segment and get the score of no evidence.  Rows are scored one by
 one, so repeated rows get equal scores; other columns are not read.  With no labelled row, or
-none that is toxic, the lexicon is empty and every score is 0.
+labels of one class only (all clean or all toxic), there is no contrast to learn from: the lexicon
+is empty, every score is 0 and nothing is rejected.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -121,11 +122,11 @@ def evidence(text: str | None, model: Model) -> tuple[float, list[tuple[int, int
         best = max(best, total - ((r - 1) * math.log(total) - math.lgamma(r + 1) - math.lgamma(r) if r > 1 else 0.0))
     if best < -math.log(model.max_p):
         return NONE, []
-    passages = []
-    if len(low) == len(text):
-        spans = [m.span() for m in WORD.finditer(low)]
-        passages = [(spans[a][0], spans[b][1], s) for a, b, s in segments if model.decay * s - ln_n >= -math.log(model.max_p)]
-    return best, passages
+    spans = [m.span() for m in WORD.finditer(low)]
+    # lower case may be longer than the text: the character that each of its positions comes from
+    of = range(len(text)) if len(low) == len(text) else [i for i, c in enumerate(text) for _ in c.lower()]
+    return best, [(of[spans[a][0]], of[spans[b][1] - 1] + 1, s) for a, b, s in segments
+                  if model.decay * s - ln_n >= -math.log(model.max_p)]
 
 
 def _count(batches: Iterator[pa.RecordBatch], stems: tuple[int, ...]) -> Iterator[pa.RecordBatch]:

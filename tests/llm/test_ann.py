@@ -65,3 +65,21 @@ def test_few_rows(spark):
     assert run(spark, [], ann.Params()) == {}
     assert run(spark, [(20, [1.0, 0.0])], ann.Params()) == {}
     assert [i for i, _ in run(spark, [(20, [1.0, 0.0]), (3, [-1.0, 0.0])], ann.Params())[20]] == [3]
+
+
+def test_repeated_ids(spark):
+    """Two rows with one id are two queries, and candidates of each other."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(100)]
+    rows += [(20, rows[20][1]), (40, rng.standard_normal(8).tolist()), (7, rows[7][1])]
+    p = ann.Params(k=6, tables=2, probes=32, rows_a_tile=30, queries_a_tile=3)
+    ok = [(i, np.array([float(np.float32(x)) for x in v])) for i, v in rows]
+    want = []
+    for n, (q, y) in enumerate(ok):
+        if q % p.every == 0:
+            s = sorted((-float((x * y).sum()), i) for m, (i, x) in enumerate(ok) if m != n)[: p.k]
+            want += [(q, r, i, round(-v, 9)) for r, (v, i) in enumerate(s, 1)]
+    for parts in (1, 4):
+        df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id bigint, embedding array<float>, rank int").repartition(parts)
+        got = [(r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in ann.search(spark, df, p).collect()]
+        assert sorted(got) == sorted(want)

@@ -99,3 +99,10 @@ def test_trees_walk_like_plain_recursion():
                 node = 2 * node + (2 if b[i, f.statistic[t, node]] > f.bin[t, node] else 1)
             total += f.value[t, node - (2**f.depth - 1)]
         assert abs(1 / (1 + np.exp(-total)) - f.probability(x[i:i + 1])[0]) < 1e-12
+
+
+def test_passages_where_lower_case_is_longer():
+    model = toxicity.Model({"foul": 6.0}, (4,), 0.4, 1.0, 1e-2, 1.0, -2.0, 0.3)
+    plain = "words before it foul foul foul and after"
+    for text in (plain, "İ " + plain, plain.replace("before", "beİore İİ")):
+        assert [text[a:b] for a, b, _ in toxicity.evidence(text, model)[1]] == ["foul foul foul"]

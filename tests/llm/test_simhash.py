@@ -88,3 +88,17 @@ def test_odd_rows(spark):
     assert sorted((r.doc_id or -1) for r in simhash.one_of_each(spark, df).collect()) == [-1, -1, 5, 9]
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert simhash.near_duplicates(spark, empty).count() == 0
+
+
+def test_rows_that_repeat_an_id(spark):
+    """Different texts under one id are different documents; the choice doesn't depend on how rows
+    are dealt out; rows equal in every column leave one."""
+    a, b = "the quick brown fox jumps over the lazy dog again and again", "eine ganz andere kleine Geschichte ohne jeden Bezug dazu"
+    rows = [(5, a, "x"), (5, b, "x"), (9, a, "y"), (5, a, "w"), (7, "some third text of its own here", "x")] + [(7, "some third text of its own here", "x")] * 40
+    got = set()
+    for parts in (1, 3, 8):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string, row string").repartition(parts)
+        out = sorted(tuple(r) for r in simhash.one_of_each(spark, df).collect())
+        assert [(d, t) for d, t, _ in out] == sorted([(5, a), (5, b), (7, rows[4][1])])
+        got.add(tuple(out))
+    assert len(got) == 1
