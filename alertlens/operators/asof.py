@@ -16,7 +16,11 @@ One plan for every input size, with no action, broadcast hint or threshold:
    (key, bucket) runs as a carry over the buckets of its key.
 3. One window per (key, bucket) continues from its carry: a running maximum gives the last
    preference before each decision instant.  A task sees one hour of one key, however hot.
-4. The chosen preferences' columns are joined to the decision instants, and those to the
+4. What was chosen is written (key, instant, preference id).  A bit filter over the chosen ids, of
+   a fixed greatest size, is broadcast and tested by every row of the preference feed on its plain
+   id column: the test sinks below the parsing of the payload document, so about as many
+   documents are parsed, and payload rows shuffled, as decisions chose.  The exact join follows.
+5. The chosen preferences' columns are joined to the decision instants, and those to the
    decisions.  Both sides of these joins are plain exchanges, so adaptive execution may split a
    key that many decisions share.
 
@@ -25,16 +29,22 @@ O(decisions + preferences); no (decision, preference) pair is formed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from alertlens.functions.scalars import micros
 from alertlens.options import RECORD, Options
+from alertlens.session import materialize
 
 FLAG = "dec_tm_ge_pref_tm"
 BUCKET = 3_600_000_000  # microseconds
 NO_TIME = -(2**63)  # a missing time as a join key
 KEY = ["_k1", "_k2"]
+#: The filter has at most this many words of 64 bits, a broadcast of at most 16 MB whatever the
+#: number of ids; with more ids than a few tens of millions it lets more rows pass.
+FILTER_WORDS = 1 << 20
 
 
 def _text_key(c: Column) -> Column:
@@ -63,6 +73,16 @@ def _usable(pref: DataFrame, opts: Options) -> DataFrame:
     return pref
 
 
+def maybe_among(rows: DataFrame, id_col: str, wanted: DataFrame, wanted_col: str) -> DataFrame:
+    """The rows whose text id may be among the wanted ones (a NULL id is an id): every wanted row
+    and few others.  One bit an id, set by its hash; only the word number and its bits travel."""
+    bit = "pmod(xxhash64({0}), {1})"
+    w, r = (bit.format(f"coalesce(concat('=', cast({_q(c)} as string)), '')", FILTER_WORDS * 64) for c in (wanted_col, id_col))
+    words = wanted.selectExpr(f"{w} div 64 AS _w", f"shiftleft(1L, cast({w} % 64 AS int)) AS _b").groupBy("_w").agg(F.bit_or("_b").alias("_b"))
+    hit = (F.expr(f"{r} div 64") == F.col("_w")) & F.expr(f"(_b & shiftleft(1L, cast({r} % 64 AS int))) <> 0")
+    return rows.join(F.broadcast(words), hit, "left_semi")
+
+
 def chosen_at(instants: DataFrame, pref: DataFrame, opts: Options = RECORD) -> DataFrame:
     """(key, instant, prior, best) of the distinct decision instants; ``prior`` and ``best`` are
     (m, id) of a preference: the last one before the instant, and the key's last one overall.
@@ -95,24 +115,39 @@ def chosen_at(instants: DataFrame, pref: DataFrame, opts: Options = RECORD) -> D
     ).where(F.col("_tag") == 0).drop("_tag")
 
 
-def effective_preference(dec: DataFrame, pref: DataFrame, opts: Options = RECORD) -> DataFrame:
+Step = Callable[[DataFrame], DataFrame]
+
+
+def effective_preference(dec: DataFrame, pref: DataFrame, opts: Options = RECORD, write: Step | None = None,
+                         rescan: Callable[[Step], DataFrame] | None = None) -> DataFrame:
     """J3.  ``dec`` must hold one row per decision (see ``dedup_decisions``); it is read twice
-    (its instants, and the final join), so write it first if it is costly."""
+    (its instants, and the final join), so write it first if it is costly.  ``write`` (write a
+    table and read it back; the session's scratch folder unless given) takes what was chosen.
+    ``rescan`` scans the preferences anew with a filter on the envelope rows (their
+    ``source_event_id``); without it ``pref`` itself is filtered."""
     dcols, pcols = dec.columns, pref.columns
     d = _keyed(dec, "account_id", "customer_id", "event_ts")
-    p = _keyed(_usable(pref, opts), "external_account_p", "cust_id_p", "event_ts_p")
-    p = p.withColumn("_id", F.col("source_event_id_p").cast("string"))
+    pref = _usable(pref, opts)
+    p = _keyed(pref, "external_account_p", "cust_id_p", "event_ts_p").withColumn("_id", F.col("source_event_id_p").cast("string"))
 
     at = chosen_at(d.select(*KEY, "_m").distinct(), p, opts).withColumn("_c", F.coalesce("_prior", "_best"))
     flag = F.when(F.col("_prior").isNotNull(), F.lit("Y"))
     if opts.nulls == "low":
         flag = flag.when(F.col("_best").isNull() & (F.col("_m") != NO_TIME), F.lit("Y"))
     at = at.select(*KEY, "_m", F.col("_c.m").alias("_cm"), F.col("_c.id").alias("_cid"), flag.otherwise(F.lit("N")).alias(FLAG))
+    at = write(at) if write else materialize(at, "chosen")
 
     # columns of the chosen preferences; rows that repeat an id at one instant: the least of them
     picked = [*KEY, "_cm", "_cid"]
-    full = p.select(*KEY, F.col("_m").alias("_cm"), _text_key(F.col("_id")).alias("_cid"), _struct_of(pcols).alias("_pv"))
-    full = full.groupBy(*picked).agg(F.min("_pv").alias("_pv"))
+    ids = at.where("_cid is not null").select(F.when(F.col("_cid") != "", F.expr("substring(_cid, 2)")).alias("_sid"))
+    if rescan is None:
+        wanted = maybe_among(pref, "source_event_id_p", ids, "_sid")
+    else:
+        wanted = _usable(rescan(lambda env: maybe_among(env, "source_event_id", ids, "_sid")), opts).select(*pcols)
+    full = _keyed(wanted, "external_account_p", "cust_id_p", "event_ts_p")
+    full = full.select(*KEY, F.col("_m").alias("_cm"), _text_key(F.col("source_event_id_p").cast("string")).alias("_cid"),
+                       _struct_of(pcols).alias("_pv"))
+    full = full.withColumn("_rn", F.row_number().over(Window.partitionBy(*picked).orderBy("_pv"))).where("_rn = 1").drop("_rn")
     at = at.join(full, picked, "left").select(*KEY, "_m", "_pv", FLAG)
     out = d.join(at, [*KEY, "_m"], "left")
     return out.selectExpr(*[_q(c) for c in dcols], *[f"_pv.{_q(c)} AS {_q(c)}" for c in pcols], FLAG)

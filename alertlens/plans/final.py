@@ -22,20 +22,21 @@ Write = Callable[[DataFrame], DataFrame]
 
 
 def decisions_with_deliveries(dec: DataFrame, pref: DataFrame, deliv: DataFrame,
-                              opts: Options = RECORD, write: Write | None = None) -> DataFrame:
+                              opts: Options = RECORD, write: Write | None = None,
+                              rescan: Callable[[Write], DataFrame] | None = None) -> DataFrame:
     """The table before the business exclusion (one row per decision id).
 
     The as-of step reads its decisions twice; ``write`` (write a table and read it back) cuts
-    the plan there, so that scans, dedup and delivery join run once."""
+    the plan there, so that scans, dedup and delivery join run once.  ``rescan``: see the as-of step."""
     with_delivery = join_deliveries(dedup_decisions(dec, opts, keep_key=True), dedup_deliveries(deliv, opts), opts)
     if write is not None:
         with_delivery = write(with_delivery)
-    out = effective_preference(with_delivery, pref, opts)
+    out = effective_preference(with_delivery, pref, opts, rescan=rescan)
     tail = [c for c in deliv.columns if c not in (JK, JN)]
     return out.select(*dec.columns, *pref.columns, FLAG, *tail)
 
 
 def build_final(dec: DataFrame, pref: DataFrame, deliv: DataFrame, opts: Options = RECORD,
-                write: Write | None = None) -> DataFrame:
-    j = decisions_with_deliveries(dec, pref, deliv, opts, write)
+                write: Write | None = None, rescan: Callable[[Write], DataFrame] | None = None) -> DataFrame:
+    j = decisions_with_deliveries(dec, pref, deliv, opts, write, rescan)
     return derive.with_measures(derive.with_dates(derive.exclude_business(j, opts)), opts)

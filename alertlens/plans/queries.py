@@ -73,6 +73,7 @@ def final_table(spark, sf, opts=FIX, materialize: bool = False) -> DataFrame:
         EN.scan_deliveries(src.deliveries, None, opts),
         opts,
         _write("joined"),
+        lambda keep: EN.scan_preferences(src, None, opts, distinct=False, keep=keep),
     )
     return materialize_table(f, "final") if materialize else f
 
@@ -381,6 +382,7 @@ def q_final_week(spark, sf):
         EN.scan_deliveries(src.deliveries, WINDOW, FIX),
         FIX,
         _write("joined"),
+        lambda keep: EN.scan_preferences(src, WINDOW, FIX, distinct=False, keep=keep),
     )
     return f.select(*FINAL_COLUMNS)
 
@@ -403,6 +405,7 @@ def q_final_week_strict(spark, sf):
         EN.scan_deliveries(src.deliveries, w, FIX_STRICT),
         FIX_STRICT,
         _write("joined"),
+        lambda keep: EN.scan_preferences(src, w, FIX_STRICT, distinct=False, keep=keep),
     )
     return f.select(*FINAL_COLUMNS)
 

@@ -69,7 +69,8 @@ def _run(spark, sources, report_dt, rw, label, out, history_path, opts, window,
     # one row per decision with its preference and delivery, before the business exclusion (K5);
     # the flag listings read it, the final table is derived from it
     joined = decisions_with_deliveries(staged["stage_decisions"], staged["stage_preferences"],
-                                       staged["stage_deliveries"], opts, lambda df: materialize(df, "joined"))
+                                       staged["stage_deliveries"], opts, lambda df: materialize(df, "joined"),
+                                       lambda keep: EN.scan_preferences(sources, rw if window else None, opts, distinct=False, keep=keep))
     joined = spark.read.parquet(K.write_parquet(joined, K.dated_path(out, label, "decisions_with_deliveries")))
     final = derive.with_measures(derive.with_dates(derive.exclude_business(joined, opts)), opts)
 

@@ -11,6 +11,7 @@ parsed once per document with ``from_json`` (behind a Generate barrier, see
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,9 @@ from alertlens.options import RECORD, Options
 from alertlens.sources import schemas as SC
 
 
+Step = Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class Sources:
     """The four envelope inputs of one run."""
@@ -116,8 +120,10 @@ def scan_decisions(env: DataFrame, window: ReportWindow | None = None, opts: Opt
     return out
 
 
-def _scan_preferences(df: DataFrame, opts: Options) -> DataFrame:
+def _scan_preferences(df: DataFrame, opts: Options, keep: Step | None = None) -> DataFrame:
     df = df.where(F.col("event_activity_type").isin(*C.PREFERENCE_ACTIVITIES))
+    if keep is not None:  # before the documents are parsed
+        df = keep(df)
     parsed = _parse_documents(
         df, ["event_timestamp", "event_channel_type", "event_activity_type", "partition_date", "source_event_id"],
         SC.PREFERENCE_SCHEMA)
@@ -145,14 +151,16 @@ def _scan_preferences(df: DataFrame, opts: Options) -> DataFrame:
     ).where((F.col("preference_type_p") == C.ALERT_TYPE) & (F.col("product_type_p") == C.PRODUCT_TYPE))
 
 
-def scan_preferences_initial(env: DataFrame, window: ReportWindow | None = None, opts: Options = RECORD) -> DataFrame:
+def scan_preferences_initial(env: DataFrame, window: ReportWindow | None = None, opts: Options = RECORD,
+                             keep: Step | None = None) -> DataFrame:
     """The initial preference load (one fixed partition)."""
     if opts.initial_partition is not None:
         env = partition_cutoff(env, equals=opts.initial_partition)
-    return _scan_preferences(env, opts)
+    return _scan_preferences(env, opts, keep)
 
 
-def scan_preferences_incremental(env: DataFrame, window: ReportWindow | None = None, opts: Options = RECORD) -> DataFrame:
+def scan_preferences_incremental(env: DataFrame, window: ReportWindow | None = None, opts: Options = RECORD,
+                                 keep: Step | None = None) -> DataFrame:
     """S3: incremental preferences, bounded by event time."""
     if window is not None:
         bound = _lit_ts(window.end_bound)
@@ -161,7 +169,7 @@ def scan_preferences_incremental(env: DataFrame, window: ReportWindow | None = N
             env = env.where(t > bound)
         else:
             env = env.where(t <= bound if opts.inclusive_end else t < bound)
-    return _scan_preferences(env, opts)
+    return _scan_preferences(env, opts, keep)
 
 
 def union_preferences(initial: DataFrame, incremental: DataFrame, distinct: bool = True) -> DataFrame:
@@ -174,10 +182,11 @@ def union_preferences(initial: DataFrame, incremental: DataFrame, distinct: bool
 
 
 def scan_preferences(sources: Sources, window: ReportWindow | None = None, opts: Options = RECORD,
-                     distinct: bool = True) -> DataFrame:
+                     distinct: bool = True, keep: Step | None = None) -> DataFrame:
+    """Both loads.  ``keep`` filters the envelope rows of either before their documents are parsed."""
     return union_preferences(
-        scan_preferences_initial(sources.preferences_initial, window, opts),
-        scan_preferences_incremental(sources.preferences_incremental, window, opts),
+        scan_preferences_initial(sources.preferences_initial, window, opts, keep),
+        scan_preferences_incremental(sources.preferences_incremental, window, opts, keep),
         distinct,
     )
 

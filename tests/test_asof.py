@@ -131,3 +131,22 @@ def test_no_pairwise_operators_in_plan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_payload_scan_is_pruned_before_the_parse(spark):
+    """Of many preferences the few chosen are fetched: the bit filter stands below the parse, and
+    about as many payload rows pass it as decisions chose."""
+    from alertlens.operators.asof import maybe_among
+    from alertlens.plans import queries as Q
+
+    ids = spark.range(0, 100_000).select(F.col("id").cast("string").alias("s"), F.lit(1).alias("x"))
+    wanted = spark.createDataFrame([(str(i),) for i in range(0, 1000, 7)] + [("none such",)], "w string")
+    got = {r.s for r in maybe_among(ids, "s", wanted, "w").collect()}
+    assert {str(i) for i in range(0, 1000, 7)} <= got and len(got) < 160
+    nulls = spark.createDataFrame([(None,), ("a",), ("",)], "s string")
+    assert {r.s for r in maybe_among(nulls, "s", spark.createDataFrame([(None,)], "w string"), "w").collect()} == {None}
+
+    plan = Q.final_table(spark, SF01)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = lambda t: [len(x) - len(x.lstrip(" :+-")) for x in plan if t in x]
+    semi, parse = depth("Join LeftSemi"), depth("Generate inline")
+    assert len(semi) == len(parse) == 2 and all(s > p for s, p in zip(semi, parse, strict=True))
