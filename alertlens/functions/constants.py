@@ -14,6 +14,7 @@ PREFERENCE_ACTIVITIES = (ACTIVITY_PREF_CREATE, ACTIVITY_PREF_UPDATE)
 # --- fixed values: payload filters ------------------------------------------------------
 ALERT_TYPE = "AVAIL_CREDIT_REMAINING"
 PRODUCT_TYPE = "CREDIT_CARD"
+THIRD_PRODUCT_TYPE = "CREDITCARD"
 INITIAL_LOAD_PARTITION = "20220324"
 
 # --- fixed values: map keys of eventAttributes ----------------------------------------

@@ -53,6 +53,31 @@ def control_passed(control: str) -> Column:
 
 def control_summary(df: DataFrame, control: str, report_dt: dt.date, opts: Options = RECORD) -> DataFrame:
     """A2-A4: one control's summary rows: 7 group keys, count, two sums."""
+    return _summed(df.select(_tagged(control, report_dt, opts).alias("k"), "alert_amount", "threshold_amount"))
+
+
+def control_summaries(final: DataFrame, sample: DataFrame, report_dt: dt.date, opts: Options = RECORD) -> DataFrame:
+    """A2-A4 and X2 in one pass: every final row is expanded to its timeliness and its completeness
+    row, the sample's rows are their accuracy rows, and one aggregate sums all three controls.
+    ``final`` is read once (the control's name is part of the key, so the union needs no distinct)."""
+    both = F.explode(F.array(*[_tagged(c, report_dt, opts) for c in ("timeliness", "completeness")]))
+    rows = final.select(both.alias("k"), "alert_amount", "threshold_amount")
+    return _summed(rows.unionByName(sample.select(_tagged("accuracy", report_dt, opts).alias("k"), "alert_amount", "threshold_amount")))
+
+
+KEYS = ("ControlRisk", "TestType", "RDE", "CommentCode", "Segment10", "DateCompleted", "SnapDate")
+
+
+def _summed(tagged: DataFrame) -> DataFrame:
+    return tagged.select("k.*", "alert_amount", "threshold_amount").groupBy(*KEYS).agg(
+        F.count(F.lit(1)).alias("Volume"),
+        F.sum("alert_amount").cast(SUM_TYPE).alias("Bal"),
+        F.sum("threshold_amount").cast(SUM_TYPE).alias("Amount"),
+    )
+
+
+def _tagged(control: str, report_dt: dt.date, opts: Options) -> Column:
+    """The group key of a row under a control."""
     risk, test = CONTROLS[control]
     rde = opts.control_ids[list(CONTROLS).index(control)]
     monthly = control == "completeness" and opts.completeness_segment == "month"
@@ -61,7 +86,7 @@ def control_summary(df: DataFrame, control: str, report_dt: dt.date, opts: Optio
     if control == "completeness":
         codes = (opts.completeness_pass_code or codes[0], opts.completeness_fail_code or codes[1])
     snapshot = F.lit(report_dt) if opts.snap_from_report else snap_date(F.col("decision_date"), opts)
-    keyed = df.select(
+    return F.struct(
         F.lit(risk).alias("ControlRisk"),
         F.lit(test).alias("TestType"),
         F.lit(rde).alias("RDE"),
@@ -69,13 +94,6 @@ def control_summary(df: DataFrame, control: str, report_dt: dt.date, opts: Optio
         segment.alias("Segment10"),
         F.lit(report_dt).alias("DateCompleted"),
         snapshot.alias("SnapDate"),
-        "alert_amount", "threshold_amount",
-    )
-    keys = ["ControlRisk", "TestType", "RDE", "CommentCode", "Segment10", "DateCompleted", "SnapDate"]
-    return keyed.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("Volume"),
-        F.sum("alert_amount").cast(SUM_TYPE).alias("Bal"),
-        F.sum("threshold_amount").cast(SUM_TYPE).alias("Amount"),
     )
 
 

@@ -39,7 +39,10 @@ REPEAT = 10_000  # rows one array repeats at most
 
 def with_null_safe_key(df: DataFrame, name: str) -> DataFrame:
     """Add (coalesce(c, ''), isnull(c)) as columns: equality on both is null-safe equality on c,
-    and a frame partitioned by them can meet another one in an equi-join without a re-shuffle."""
+    and a frame partitioned by them can meet another one in an equi-join without a re-shuffle.
+    Columns that are there already (a bucketed stage) stay, and so does its partitioning."""
+    if JK in df.columns:
+        return df
     c = F.col(name)
     return df.withColumns({JK: F.coalesce(c, F.lit("")), JN: c.isNull()})
 
@@ -116,6 +119,16 @@ def delivery_rejects(deliv: DataFrame, opts: Options = RECORD) -> DataFrame:
     return dedup_rejects(deliv, ["decision_id_a"], [("event_ts_a", "desc")], "source_event_id_a", opts)
 
 
+def guard_unique(df: DataFrame, keys: Sequence[str], shown: str) -> DataFrame:
+    """The rows as they are; the job fails, naming the value of ``shown``, at a second row of
+    one key.  No second pass: on rows already partitioned by ``keys`` it is a running number within
+    the partition, without an exchange."""
+    n = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(k) for k in keys]))
+    text = F.concat(F.lit(f"more than one row for {shown} = "), F.coalesce(F.col(shown).cast("string"), F.lit("NULL")))
+    once = F.when(F.col("__n") > 1, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
+    return df.withColumn("__n", n).where(once).drop("__n")
+
+
 def sample_order(id_col: str, seed: int) -> Column:
     """Reproducible pseudo-random order: md5 of '<seed>|<id>' (the same text in any SQL engine)."""
     return F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_col)))

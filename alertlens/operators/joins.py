@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alertlens.operators.dedup import JK, JN, with_null_safe_key
+from alertlens.operators.dedup import JK, JN, guard_unique, with_null_safe_key
 from alertlens.options import RECORD, Options
 
 
@@ -14,20 +14,21 @@ def key_equal(left, right, opts: Options = RECORD):
     return left.eqNullSafe(right) if opts.null_keys == "match" else left == right
 
 
-def join_deliveries(dec: DataFrame, deliv: DataFrame, opts: Options = RECORD) -> DataFrame:
+def join_deliveries(dec: DataFrame, deliv: DataFrame, opts: Options = RECORD, guard: bool = False) -> DataFrame:
     """One row per decision LEFT JOIN one row per decision id of the deliveries.
 
     Both sides are unique on the key, so the sort-merge join has no hot key.  Null-safe
     matching joins on the key columns of ``with_null_safe_key``; deliveries that come from
     ``dedup_deliveries`` (and decisions from ``dedup_decisions`` with ``keep_key``) already carry
-    them and are already partitioned by them."""
+    them and are already partitioned by them.  ``guard`` fails the job where a decision id comes out twice (W5)."""
     if opts.null_keys != "match":
-        return dec.join(deliv, dec["decision_id"] == deliv["decision_id_a"], "left")
+        j = dec.join(deliv, dec["decision_id"] == deliv["decision_id_a"], "left")
+        return guard_unique(j, ["decision_id"], "decision_id") if guard else j
     if JK not in deliv.columns:
         deliv = with_null_safe_key(deliv, "decision_id_a")
     d = dec if JK in dec.columns else with_null_safe_key(dec, "decision_id")
-    j = d.join(deliv, (d[JK] == deliv[JK]) & (d[JN] == deliv[JN]), "left")
-    return j.drop(d[JK]).drop(d[JN]).drop(deliv[JK]).drop(deliv[JN])
+    j = d.join(deliv, (d[JK] == deliv[JK]) & (d[JN] == deliv[JN]), "left").drop(deliv[JK]).drop(deliv[JN])
+    return (guard_unique(j, [JK, JN], "decision_id") if guard else j).drop(JK, JN)
 
 
 def surviving_history(hist: DataFrame, new: DataFrame, col: str = "SnapDate") -> DataFrame:

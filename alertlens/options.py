@@ -5,7 +5,7 @@ Four presets:
 * ``RECORD`` - the SAS program's behaviour (the default).
 * ``PORT``   - what the Python ports agree on.
 * ``THIRD``  - the last port's own rules: header times, half-open delivery window with an id,
-  its result codes, and the report date as snapshot date.
+  its result codes, the report date as snapshot date, and its key names beside the record's.
 * ``STRICT`` - ``RECORD`` plus three corrections that change results (null keys never
   match, half-open window end, preference bound before the window end).
 """
@@ -57,6 +57,11 @@ class Options:
     snap_from_report: bool = False
     # A numeric offset in a time text is dropped ('drop') or the time is moved to UTC ('utc')
     offsets: str = "drop"
+    # Payload parsed into a struct of its known keys ('struct'), or into a VARIANT whose
+    # fields are looked up under every known spelling of their key ('variant')
+    payload: str = "struct"
+    # product types of the preference feed
+    product_types: tuple[str, ...] = (C.PRODUCT_TYPE,)
     # labels of the publishing organisation
     regulatory_name: str = "Alert regulation"
     report_name: str = "Alert controls"
@@ -95,6 +100,8 @@ THIRD = PORT.with_(
     completeness_fail_code=C.THIRD_INCOMPLETE_CODE,
     completeness_segment="day",
     snap_from_report=True,
+    payload="variant",
+    product_types=(C.PRODUCT_TYPE, C.THIRD_PRODUCT_TYPE),
 )
 
 PRESETS = {"record": RECORD, "port": PORT, "third": THIRD, "strict": STRICT}

@@ -28,12 +28,13 @@ def decisions_with_deliveries(dec: DataFrame, pref: DataFrame, deliv: DataFrame,
 
     The as-of step reads its decisions twice; ``write`` (write a table and read it back) cuts
     the plan there, so that scans, dedup and delivery join run once.  ``rescan``: see the as-of step."""
-    with_delivery = join_deliveries(dedup_decisions(dec, opts, keep_key=True), dedup_deliveries(deliv, opts), opts)
+    with_delivery = join_deliveries(dedup_decisions(dec, opts, keep_key=True), dedup_deliveries(deliv, opts), opts,
+                                    guard=True)
     if write is not None:
         with_delivery = write(with_delivery)
     out = effective_preference(with_delivery, pref, opts, rescan=rescan)
-    tail = [c for c in deliv.columns if c not in (JK, JN)]
-    return out.select(*dec.columns, *pref.columns, FLAG, *tail)
+    head, tail = ([c for c in df.columns if c not in (JK, JN)] for df in (dec, deliv))
+    return out.select(*head, *pref.columns, FLAG, *tail)
 
 
 def build_final(dec: DataFrame, pref: DataFrame, deliv: DataFrame, opts: Options = RECORD,

@@ -443,5 +443,33 @@ ORACLE = {
        SELECT {FINAL_SEL} FROM fin""",
     "final_without_deliveries": f"""WITH {PIPE.replace("WHERE true ", "WHERE false ")} SELECT {FINAL_SEL} FROM fin""",
 }
+ORACLE |= {
+    "history_first": with_pipe("SELECT * FROM new_week", ",\n".join([
+        f"wk AS (SELECT * FROM fin WHERE decision_date BETWEEN {_d(W.start)} AND {_d(W.end)})",
+        sample_cte("samp_wk", "wk"), f"new_week AS ({scorecard_sql('wk', 'samp_wk', RD)})"])),
+    "reporting_window_first": f"""SELECT report_dt, {_window_cols('report_dt', 'TUE', '').rsplit(', strftime', 1)[0]}, {_window_cols('report_dt', 'THU', '_port')}
+       FROM (SELECT DISTINCT CAST(ts AS DATE) - {Q.FIRST_RUN_SHIFT} AS report_dt FROM events) t""",
+    "unique_decisions": f"""WITH {DEC}, {DELIV}, {D1}, {A1} SELECT decision_id, source_event_id, source_event_id_a
+       FROM d1 LEFT JOIN a1 ON d1.decision_id IS NOT DISTINCT FROM a1.decision_id_a""",
+    "run_metrics": with_pipe(f"""SELECT 'final' AS output, 'rows' AS metric, count(*) AS value FROM fin
+       UNION ALL SELECT 'final', 'with_delivery', count(event_ts_a) FROM fin
+       UNION ALL SELECT 'final', 'with_preference', count(source_event_id_p) FROM fin
+       UNION ALL SELECT 'scorecard', 'rows', count(*) FROM card
+       UNION ALL SELECT 'scorecard', 'volume', CAST(sum(Volume) AS BIGINT) FROM card""",
+        sample_cte("samp", "fin") + f",\ncard AS ({scorecard_sql('fin', 'samp', RD)})"),
+    "ordered_export": ORACLE["fail_timeliness"].replace("AS custid_mask FROM fin",
+        f"AS custid_mask, CAST((row_number() OVER (ORDER BY decision_id NULLS FIRST) - 1) // {Q.EXPORT_PART} + 1 AS INTEGER) AS part FROM fin"),
+    "outputs_round_trip": with_pipe("""SELECT strftime(decision_date, '%Y%m%d') AS segment, count(*) AS rows,
+       count(*) AS volume FROM fin GROUP BY 1"""),
+    "variant_decisions": ORACLE["extract_envelope"],
+    "variant_preferences": f"""WITH {PREF} SELECT source_event_id_p, event_ts_p, external_account_p, cust_id_p,
+       right(CAST(account_p AS VARCHAR), 4) AS masked_account_no_p,
+       CASE WHEN CAST(source_event_id_p AS BIGINT) % 2 = 0 THEN {_s(C.THIRD_PRODUCT_TYPE)} ELSE product_type_p END AS product_type_p,
+       is_business_p, threshold_p FROM pref""",
+    "variant_scorecard": ORACLE["scorecard_third"],
+    "catalog_scan": ORACLE["scan_decisions"],
+    "bucketed_join": ORACLE["join_deliveries"],
+    "resolved_scan": ORACLE["scan_deliveries"],
+}
 ORACLE["comment_dimension"] = ORACLE["code_comment"]
 ORACLE["history_write"] = ORACLE["history_replace"]

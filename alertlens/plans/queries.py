@@ -26,10 +26,10 @@ from alertlens.options import PORT, RECORD, STRICT, THIRD
 from alertlens.plans.details import fail_accuracy, fail_completeness, fail_timeliness
 from alertlens.plans.final import build_final, decisions_with_deliveries
 from alertlens.plans.scorecard import attach_comment, build_scorecard, union_controls
-from alertlens.plans.weekly import CROSSTAB7, ONEWAY_COLUMNS
+from alertlens.plans.weekly import CROSSTAB7, ONEWAY_COLUMNS, final_metrics, scorecard_metrics, stage_feeds
 from alertlens.session import application_scratch
 from alertlens.session import materialize as materialize_table
-from alertlens.sinks.writers import write_history
+from alertlens.sinks.writers import CSV_OPTIONS, write_final, write_history, write_observed, write_ordered_csv, write_scorecard
 from alertlens.sources import envelope as EN
 from alertlens.sources import fixture as FX
 from alertlens.sources.history import read_history
@@ -38,6 +38,8 @@ FIX, FIX_PORT, FIX_STRICT, FIX_THIRD = RECORD, PORT, STRICT, THIRD
 REPORT_DT = FX.FIXTURE_REPORT_DATE
 HISTORY_DT = dt.date(2024, 1, 24)
 CUTOFF_OVERRIDE = "20240126"
+FIRST_RUN_SHIFT = 545  # days
+EXPORT_PART = 250  # rows of an export part in the round trip
 WINDOW = CAL.reporting_window(REPORT_DT, FIX)
 
 
@@ -310,7 +312,7 @@ def q_code_comment(spark, sf):
 
 def q_scorecard(spark, sf):
     f = final_table(spark, sf, materialize=True)
-    return build_scorecard(f, _sample(f), REPORT_DT, FIX)
+    return build_scorecard(f, materialize_table(_sample(f), "sample"), REPORT_DT, FIX)
 
 
 def q_freq_oneway(spark, sf):
@@ -358,7 +360,7 @@ def q_history_replace(spark, sf):
     f = final_table(spark, sf, materialize=True)
     hist = build_scorecard(f, _sample(f), HISTORY_DT, FIX)
     week = f.where(F.col("decision_date").between(F.lit(WINDOW.start), F.lit(WINDOW.end)))
-    new = build_scorecard(week, _sample(week), REPORT_DT, FIX)
+    new = materialize_table(build_scorecard(week, _sample(week), REPORT_DT, FIX), "new-week")  # its rows and its dates
     return replace_history(hist, new)
 
 
@@ -491,6 +493,122 @@ def q_history_write(spark, sf):
     return read_history(spark, path, ordered=True)
 
 
+def q_history_first(spark, sf):
+    """No history yet: a zero-row history of the right schema, replaced by the week,
+    written and read back."""
+    f = final_table(spark, sf, materialize=True)
+    path = f"{application_scratch(spark)}/history-{uuid.uuid4().hex}"
+    week = f.where(F.col("decision_date").between(F.lit(WINDOW.start), F.lit(WINDOW.end)))
+    write_history(replace_history(read_history(spark, path), build_scorecard(week, _sample(week), REPORT_DT, FIX)), path)
+    return read_history(spark, path)
+
+
+def q_reporting_window_first(spark, sf):
+    """C1's first runs: the dates of the feed moved back to summer 2022."""
+    d = _ev(spark, sf).select(F.date_sub(F.to_date("ts"), FIRST_RUN_SHIFT).alias("report_dt")).distinct()
+    r = F.col("report_dt")
+    return d.select("report_dt", CAL.window_start(r, FIX).alias("week_start"), CAL.window_end(r, FIX).alias("week_end"),
+                    CAL.window_start(r, PORT).alias("week_start_port"), CAL.window_end(r, PORT).alias("week_end_port"))
+
+
+def _database(spark) -> str:
+    """A database of this application; its tables lie in the scratch folder."""
+    name = f"run_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{application_scratch(spark)}/{name}'")
+    return name
+
+
+def q_bucketed_join(spark, sf):
+    """Both feeds staged as bucketed tables, keep-first, keep-latest and join on them."""
+    db, label = _database(spark), REPORT_DT.strftime("%Y%m%d")
+    staged = stage_feeds(spark, _env(spark, sf), None, FIX, f"{application_scratch(spark)}/{db}-stage", label, db)
+    dec = W.dedup_decisions(staged["stage_decisions"], FIX, keep_key=True)
+    j = join_deliveries(dec, W.dedup_deliveries(staged["stage_deliveries"], FIX), FIX, guard=True)
+    return j.select("decision_id", "source_event_id", "decision_id_a", "source_event_id_a", "event_ts_a")
+
+
+def q_unique_decisions(spark, sf):
+    """The join's output under the uniqueness guard."""
+    dec, _, dl = _flat(spark, sf)
+    j = join_deliveries(W.dedup_decisions(dec, FIX, keep_key=True), W.dedup_deliveries(dl, FIX), FIX, guard=True)
+    return j.select("decision_id", "source_event_id", "source_event_id_a")
+
+
+def q_catalog_scan(spark, sf):
+    """The envelope tables saved as partitioned tables of the session's catalog, read by their
+    qualified names; the partition cutoff prunes their partitions."""
+    db, src = _database(spark), _env(spark, sf)
+    names = {k: k for k in ("decisions", "preferences_initial", "preferences_incremental", "deliveries")}
+    for k in names:
+        df = getattr(src, k)
+        df.repartition("partition_date").write.partitionBy("partition_date").saveAsTable(f"{db}.{k}")
+    tables = EN.Sources.from_tables(spark, None, db, names)
+    return EN.scan_decisions(tables.decisions, WINDOW, FIX).select(
+        "decision_id", "source_event_id", "partition_date", "event_ts", "account_id", "customer_id", "alert_amount", "threshold_amount")
+
+
+def q_run_metrics(spark, sf):
+    """Row counts taken while the final table and the scorecard are written."""
+    path = f"{application_scratch(spark)}/metrics-{uuid.uuid4().hex}"
+    f, of_final = write_observed(final_table(spark, sf), f"{path}/final", "final", final_metrics())
+    _, of_card = write_observed(build_scorecard(f, _sample(f), REPORT_DT, FIX), f"{path}/scorecard", "scorecard", scorecard_metrics())
+    return of_final.unionByName(of_card)
+
+
+def q_ordered_export(spark, sf):
+    """K3: a failure list exported as ordered CSV parts and read back, with the part of each row."""
+    path = f"{application_scratch(spark)}/export-{uuid.uuid4().hex}"
+    rows = fail_timeliness(final_table(spark, sf), REPORT_DT, FIX)
+    write_ordered_csv(rows, path, "timeliness", [F.col("decisionid").asc_nulls_first()], EXPORT_PART)
+    back = spark.read.schema(rows.schema).options(**CSV_OPTIONS).csv(path)
+    part = F.regexp_extract(F.input_file_name(), r"timeliness-([0-9]+)\.csv", 1).cast("int")
+    return back.select("*", part.alias("part"))
+
+
+def q_outputs_round_trip(spark, sf):
+    """K1 / K2 / K4: final table and scorecard written under the report date's folder and read back;
+    rows and volume by segment from the files."""
+    out, label = f"{application_scratch(spark)}/out-{uuid.uuid4().hex}", REPORT_DT.strftime("%Y%m%d")
+    write_final(final_table(spark, sf), out, label)
+    f = spark.read.parquet(f"{out}/report_dt={label}/final")
+    write_scorecard(build_scorecard(f, _sample(f), REPORT_DT, FIX), out, label)
+    back = spark.read.parquet(out + f"/report_dt={label}/scorecard")
+    days = f.groupBy(F.date_format("decision_date", "yyyyMMdd").alias("segment")).agg(F.count(F.lit(1)).alias("rows"))
+    card = back.where(F.col("ControlRisk") == C.CONTROL_TIMELINESS[0]).groupBy(F.col("Segment10").alias("segment")).agg(
+        F.sum("Volume").alias("volume"))
+    return days.join(card, "segment", "full")
+
+
+def q_variant_decisions(spark, sf):
+    """Documents of which every second one spells its keys the third preset's way."""
+    src = FX.envelope_sources(_ev(spark, sf), own_keys=True)
+    return EN.scan_decisions(src.decisions, None, FIX_THIRD)
+
+
+def q_variant_preferences(spark, sf):
+    src = FX.envelope_sources(_ev(spark, sf), own_keys=True)
+    return EN.scan_preferences(src, None, FIX_THIRD, distinct=False).select(
+        "source_event_id_p", "event_ts_p", "external_account_p", "cust_id_p", "masked_account_no_p", "product_type_p", "is_business_p", "threshold_p")
+
+
+def q_variant_scorecard(spark, sf):
+    """The third preset's scorecard over documents with mixed key names."""
+    src, w = FX.envelope_sources(_ev(spark, sf), own_keys=True), CAL.reporting_window(REPORT_DT, FIX_THIRD)
+    f = materialize_table(build_final(
+        EN.scan_decisions(src.decisions, w, FIX_THIRD), EN.scan_preferences(src, w, FIX_THIRD, distinct=False),
+        EN.scan_deliveries(src.deliveries, w, FIX_THIRD), FIX_THIRD, _write("joined"),
+        lambda keep: EN.scan_preferences(src, w, FIX_THIRD, distinct=False, keep=keep)), "final")
+    return build_scorecard(f, W.stratified_sample(f, opts=FIX_THIRD), REPORT_DT, FIX_THIRD)
+
+
+def q_resolved_scan(spark, sf):
+    """An envelope table whose columns are named otherwise."""
+    env = _env(spark, sf).deliveries
+    other = env.toDF("EventActivityType", "channel_type", "sourceEventId", "EVENT_TIMESTAMP", "partitionDate", "attributes")
+    return EN.scan_deliveries(other, WINDOW, FIX).select(
+        "source_event_id_a", "decision_id_a", "event_ts_a", "alert_amount_a", "threshold_amount_a")
+
+
 QUERIES = {
     "extract_envelope": q_extract_envelope,
     "json_scalars": q_json_scalars,
@@ -551,4 +669,16 @@ QUERIES = {
     "final_without_preferences": q_final_without_preferences,
     "final_without_deliveries": q_final_without_deliveries,
     "history_write": q_history_write,
+    "history_first": q_history_first,
+    "reporting_window_first": q_reporting_window_first,
+    "bucketed_join": q_bucketed_join,
+    "unique_decisions": q_unique_decisions,
+    "catalog_scan": q_catalog_scan,
+    "run_metrics": q_run_metrics,
+    "ordered_export": q_ordered_export,
+    "outputs_round_trip": q_outputs_round_trip,
+    "variant_decisions": q_variant_decisions,
+    "variant_preferences": q_variant_preferences,
+    "variant_scorecard": q_variant_scorecard,
+    "resolved_scan": q_resolved_scan,
 }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from alertlens.functions import constants as C
 from alertlens.functions.scalars import lookup
-from alertlens.operators.aggregates import control_summary
+from alertlens.operators.aggregates import control_summaries
 from alertlens.options import RECORD, Options
 
 SCORECARD_COLUMNS = (
@@ -58,12 +58,8 @@ def scorecard_layout(df: DataFrame, opts: Options = RECORD) -> DataFrame:
 
 def build_scorecard(final: DataFrame, sample: DataFrame, report_dt: dt.date, opts: Options = RECORD,
                     comments: dict[str, str] | DataFrame | None = None) -> DataFrame:
-    """R2: accuracy (on the sample), timeliness and completeness (on all final rows)."""
-    u = union_controls(
-        control_summary(sample, "accuracy", report_dt, opts),
-        control_summary(final, "timeliness", report_dt, opts),
-        control_summary(final, "completeness", report_dt, opts),
-    )
+    """R2: accuracy (on the sample), timeliness and completeness (on all final rows), one pass."""
+    u = control_summaries(final, sample, report_dt, opts)
     return scorecard_layout(attach_comment(u, comments), opts)
 
 

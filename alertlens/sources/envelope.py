@@ -51,7 +51,17 @@ def _json(key: str, schema) -> Column:
     return F.from_json(attr(key), schema)
 
 
-def _parse_documents(df: DataFrame, keep, payload_schema) -> DataFrame:
+def _variant_fields(v: str, schema) -> Column:
+    """The schema's fields as texts out of a VARIANT column: the key itself, then its other
+    spellings.  Every lookup walks the parsed document; nothing is parsed again."""
+    def field(name: str) -> Column:
+        paths = (name, *SC.OTHER_KEYS.get(name, ()))
+        return F.coalesce(*[F.try_variant_get(F.col(v), f"$.{p}", "string") for p in paths])
+
+    return F.struct(*[field(f.name).alias(f.name) for f in schema])
+
+
+def _parse_documents(df: DataFrame, keep, payload_schema, opts: Options = RECORD) -> DataFrame:
     """Parse the header and the payload document once per row.
 
     The parsed values come out of a one-element ``inline`` (a Generate node).  Predicates
@@ -59,14 +69,21 @@ def _parse_documents(df: DataFrame, keep, payload_schema) -> DataFrame:
     Catalyst pushes them below the projection and splits every filtered field into its own
     ``from_json`` call, so the payload would be parsed once per filtered field plus once for
     the projection (3 parses instead of 1 here; about 2x the scan time).  Predicates on the
-    plain envelope columns are applied before, and still reach the Parquet scan."""
+    plain envelope columns are applied before, and still reach the Parquet scan.
+
+    With the 'variant' option the payload is parsed into a VARIANT instead, once as well, and its
+    fields are found under any known spelling of their keys; a malformed document gives NULLs."""
+    as_variant = opts.payload == "variant"
     docs = F.struct(
         attr(C.KEY_PROCESS_TS).alias("_proc"),
         attr(C.KEY_SRC_EVENT_TS).alias("_src"),
         _json(C.KEY_HEADER, SC.HEADER_SCHEMA).alias("h"),
-        _json(C.KEY_PAYLOAD, payload_schema).alias("p"),
+        (F.try_parse_json(attr(C.KEY_PAYLOAD)) if as_variant else _json(C.KEY_PAYLOAD, payload_schema)).alias("p"),
     )
-    return df.select(*keep, F.inline(F.array(docs)))
+    parsed = df.select(*keep, F.inline(F.array(docs)))
+    if as_variant:
+        parsed = parsed.select(*keep, "_proc", "_src", "h", _variant_fields("p", payload_schema).alias("p"))
+    return parsed
 
 
 def event_window(df: DataFrame, col: str, start, end_bound, inclusive_end: bool) -> DataFrame:
@@ -93,12 +110,12 @@ def _lit_ts(d):
 
 def scan_decisions(env: DataFrame, window: ReportWindow | None = None, opts: Options = RECORD) -> DataFrame:
     """Decisions of the reporting week, 16 typed columns."""
-    df = env.where(F.col("event_activity_type") == C.ACTIVITY_DECISION)
+    df = resolved(env).where(F.col("event_activity_type") == C.ACTIVITY_DECISION)
     if window is not None:
         df = partition_cutoff(df, after=window.partition_cutoff)
         if opts.time_source == "envelope":
             df = event_window(df, "event_timestamp", _lit_ts(window.start_ts), _lit_ts(window.end_bound), opts.inclusive_end)
-    parsed = _parse_documents(df, ["event_activity_type", "source_event_id", "partition_date"], SC.DECISION_SCHEMA)
+    parsed = _parse_documents(df, ["event_activity_type", "source_event_id", "partition_date"], SC.DECISION_SCHEMA, opts)
     out = parsed.select(
         "event_activity_type", "source_event_id", "partition_date",
         safe_ts(F.col("_proc"), opts.offsets).alias("process_ts"),
@@ -126,7 +143,7 @@ def _scan_preferences(df: DataFrame, opts: Options, keep: Step | None = None) ->
         df = keep(df)
     parsed = _parse_documents(
         df, ["event_timestamp", "event_channel_type", "event_activity_type", "partition_date", "source_event_id"],
-        SC.PREFERENCE_SCHEMA)
+        SC.PREFERENCE_SCHEMA, opts)
     return parsed.select(
         F.col("event_timestamp").alias("envelope_ts_p"),
         F.col("event_channel_type").alias("event_channel_type_p"),
@@ -148,12 +165,13 @@ def _scan_preferences(df: DataFrame, opts: Options, keep: Step | None = None) ->
         blank_to_null(F.col("p.externalAccount")).alias("external_account_p"),
         F.col("p.productType").alias("product_type_p"),
         F.col("source_event_id").alias("source_event_id_p"),
-    ).where((F.col("preference_type_p") == C.ALERT_TYPE) & (F.col("product_type_p") == C.PRODUCT_TYPE))
+    ).where((F.col("preference_type_p") == C.ALERT_TYPE) & F.col("product_type_p").isin(*opts.product_types))
 
 
 def scan_preferences_initial(env: DataFrame, window: ReportWindow | None = None, opts: Options = RECORD,
                              keep: Step | None = None) -> DataFrame:
     """The initial preference load (one fixed partition)."""
+    env = resolved(env)
     if opts.initial_partition is not None:
         env = partition_cutoff(env, equals=opts.initial_partition)
     return _scan_preferences(env, opts, keep)
@@ -162,6 +180,7 @@ def scan_preferences_initial(env: DataFrame, window: ReportWindow | None = None,
 def scan_preferences_incremental(env: DataFrame, window: ReportWindow | None = None, opts: Options = RECORD,
                                  keep: Step | None = None) -> DataFrame:
     """S3: incremental preferences, bounded by event time."""
+    env = resolved(env)
     if window is not None:
         bound = _lit_ts(window.end_bound)
         t = F.col("event_timestamp")
@@ -200,11 +219,11 @@ def _delivery_window(df: DataFrame, col: str, window: ReportWindow, opts: Option
 
 def scan_deliveries(env: DataFrame, window: ReportWindow | None = None, opts: Options = RECORD) -> DataFrame:
     """Delivery-audit records after the window start (no upper bound in the record)."""
-    df = env.where(F.col("event_activity_type") == C.ACTIVITY_DELIVERY)
+    df = resolved(env).where(F.col("event_activity_type") == C.ACTIVITY_DELIVERY)
     if window is not None and opts.time_source == "envelope":
         df = _delivery_window(df, "event_timestamp", window, opts)
     parsed = _parse_documents(
-        df, ["event_activity_type", "source_event_id", "partition_date", "event_timestamp"], SC.DELIVERY_SCHEMA)
+        df, ["event_activity_type", "source_event_id", "partition_date", "event_timestamp"], SC.DELIVERY_SCHEMA, opts)
     out = parsed.select(
         safe_ts(F.col("_proc"), opts.offsets).alias("process_ts_a"),
         F.col("event_activity_type").alias("event_activity_type_a"),
@@ -237,9 +256,27 @@ def scan_deliveries(env: DataFrame, window: ReportWindow | None = None, opts: Op
 
 
 def pick_column(df: DataFrame, candidates) -> str | None:
-    """First candidate name present in the frame (driver-side, schema only)."""
-    names = {c.lower(): c for c in df.columns}
+    """First candidate name present in the frame, whatever its case and underscores (driver
+    side, schema only)."""
+    names = {_plain(c): c for c in reversed(df.columns)}
     for cand in candidates:
-        if cand.lower() in names:
-            return names[cand.lower()]
+        if _plain(cand) in names:
+            return names[_plain(cand)]
     return None
+
+
+def _plain(name: str) -> str:
+    return name.replace("_", "").strip().lower()
+
+
+def resolved(env: DataFrame) -> DataFrame:
+    """An envelope table under the names the scans use: each column by its own name, else the
+    first of its other names that the table has.  Renaming is a projection, so filters still reach
+    the scan.  A table without one of the columns is refused by name."""
+    if all(f.name in env.columns for f in SC.ENVELOPE_SCHEMA):
+        return env
+    found = {f.name: pick_column(env, (f.name, *SC.ENVELOPE_NAMES[f.name])) for f in SC.ENVELOPE_SCHEMA}
+    missing = sorted(n for n, c in found.items() if c is None)
+    if missing:
+        raise ValueError(f"envelope table without {', '.join(missing)}; it has {', '.join(env.columns)}")
+    return env.select(*[F.col(f"`{c}`").alias(n) for n, c in found.items()])

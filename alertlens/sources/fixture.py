@@ -234,20 +234,30 @@ def _kv() -> Column:
     return _k().cast("int")
 
 
-def _decision_payload(alert_type: Column) -> Column:
+def _spelled(c: Column, key: str, other: str, own_keys: bool) -> list[Column]:
+    """A payload field under its key, or for every second event under the other spelling."""
+    if not own_keys:
+        return [c.alias(key)]
+    even = F.col("event_id") % 2 == 0
+    return [F.when(~even, c).alias(key), F.when(even, c).alias(other)]
+
+
+def _decision_payload(alert_type: Column, own_keys: bool = False) -> Column:
     return F.struct(
         _raw_account().alias("accountId"),
         alert_type.alias("alertType"),
         _kv().alias("thresholdAmount"),
-        _raw_customer().alias("customerID"),
+        *_spelled(_raw_customer(), "customerID", "customerId", own_keys),
         F.lit(CURRENCY).alias("accountCurrency"),
         _raw_decision_id().alias("decisionId"),
         F.col("value").alias("alertAmount"),
     )
 
 
-def _preference_payload(product: Column) -> Column:
+def _preference_payload(product: Column, own_keys: bool = False) -> Column:
+    masked = _spelled(F.right(_account(), F.lit(4)), "maskAccountNo", "maskedAccountNo", True) if own_keys else []
     return F.struct(
+        *masked,
         F.lit(C.ALERT_TYPE).alias("preferenceType"),
         _raw_customer().alias("clientID"),
         (_kv() % 2 == 0).alias("isBusiness"),  # a JSON boolean; extracts as 'true'/'false'
@@ -278,16 +288,20 @@ def _delivery_payload(alert_type: Column) -> Column:
     )
 
 
-def envelope_sources(events: DataFrame) -> Sources:
+def envelope_sources(events: DataFrame, own_keys: bool = False) -> Sources:
     """The four envelope inputs, each with the 'error' events mixed in as noise that only
-    the payload predicates (alert type / product type) remove.  One scan per table."""
+    the payload predicates (alert type / product type) remove.  One scan per table.  With
+    ``own_keys`` every second document uses the other spellings of keys and product type."""
     et = F.col("event_type")
     noise = et == "error"
     alert = F.when(noise, F.lit(NOISE_ALERT_TYPE)).otherwise(F.lit(C.ALERT_TYPE))
-    product = F.when(noise, F.lit(NOISE_PRODUCT_TYPE)).otherwise(F.lit(C.PRODUCT_TYPE))
-    dec = _envelope(events.where(et.isin("purchase", "error")), C.ACTIVITY_DECISION, _decision_payload(alert))
-    ini = _envelope(events.where((et == "signup") | noise), C.ACTIVITY_PREF_CREATE, _preference_payload(product),
+    usual = F.lit(C.PRODUCT_TYPE)
+    if own_keys:
+        usual = F.when(F.col("event_id") % 2 == 0, F.lit(C.THIRD_PRODUCT_TYPE)).otherwise(usual)
+    product = F.when(noise, F.lit(NOISE_PRODUCT_TYPE)).otherwise(usual)
+    dec = _envelope(events.where(et.isin("purchase", "error")), C.ACTIVITY_DECISION, _decision_payload(alert, own_keys))
+    ini = _envelope(events.where((et == "signup") | noise), C.ACTIVITY_PREF_CREATE, _preference_payload(product, own_keys),
                     F.when(noise, _ymd(F.col("ts"))).otherwise(F.lit(C.INITIAL_LOAD_PARTITION)))
-    inc = _envelope(events.where((et == "click") | noise), C.ACTIVITY_PREF_UPDATE, _preference_payload(product))
+    inc = _envelope(events.where((et == "click") | noise), C.ACTIVITY_PREF_UPDATE, _preference_payload(product, own_keys))
     dlv = _envelope(_on_the_hour(events).where(et.isin("view", "error")), C.ACTIVITY_DELIVERY, _delivery_payload(alert))
     return Sources(decisions=dec, preferences_initial=ini, preferences_incremental=inc, deliveries=dlv)

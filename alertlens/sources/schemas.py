@@ -38,6 +38,20 @@ DELIVERY_FIELDS = (
 )
 
 
+# fixed values: other spellings of a key in some feeds, tried in this order after the key itself
+OTHER_KEYS = {"customerID": ("customerId",), "maskAccountNo": ("maskedAccountNo",)}
+
+#: Other names of the envelope's columns; matching ignores case and underscores.
+ENVELOPE_NAMES = {
+    "event_activity_type": ("activity_type",),
+    "event_channel_type": ("channel_type",),
+    "source_event_id": (),
+    "event_timestamp": ("event_ts",),
+    "partition_date": ("process_date",),
+    "eventAttributes": ("attributes",),
+}
+
+
 def string_struct(fields) -> T.StructType:
     return T.StructType([T.StructField(f, T.StringType()) for f in fields])
 
