@@ -11,8 +11,8 @@ slice of the hash (a fixed number of slices), and running sums within a slice.
 a lookup "largest prefix sum up to x" on the prefix table, which is written once in order, so a
 lookup reads only the row groups around x (at most one group's size below it); each pass tries
 many capacities at once.  Rows find their shard by comparing their hash with the cut hashes, and
-their slot by counts per (shard, slice of the id's hash), so that a group that holds a large
-share of all rows is spread over all slices.
+their slot by their position in ranges of the shard's rows, so that no task holds a shard or a
+group of equal rows.
 
 Size: UTF-8 bytes of the text plus 1 (a null text has none and is its own group, apart from the
 empty text).  Equal rows keep separate slots; a null doc_id is allowed; an empty table gives an
@@ -26,8 +26,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from alertlens.llm.common import materialize
+from alertlens.operators.ranges import with_running
 
-SLICES = 1024  # of the hash space, for prefix sums and slots
+SLICES = 1024  # of the hash space, for prefix sums
 FANOUT = 24  # capacities tried in one pass
 
 
@@ -37,9 +38,10 @@ def _slice(key: Column) -> Column:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, text_crc32, key) of every row."""
+    """(rid, doc_id, size, text_crc32, key) of every row; ``rid`` is a number of its own."""
     raw = F.encode(F.col("text").cast("string"), "UTF-8")
     return docs.select(
+        F.monotonically_increasing_id().alias("rid"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
         (F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("bigint") + 1).alias("size"),
         F.crc32(F.coalesce(raw, F.lit("").cast("binary"))).alias("text_crc32"),
@@ -103,14 +105,12 @@ def cuts(table: DataFrame, shards: int) -> tuple[int, list[int]]:
 
 
 def slots(rows: DataFrame) -> DataFrame:
-    """Add a gapless ``slot`` per shard to rows with ``shard``; order: slice of the id's hash,
-    hash, id, key."""
-    h = F.xxhash64("doc_id", "key")
-    rows = rows.withColumn("_h", h).withColumn("_s", F.pmod("_h", F.lit(SLICES)).cast("int"))
-    counts = rows.groupBy("shard", "_s").agg(F.count("*").alias("_n"))  # at most shards x SLICES rows
-    before = counts.select("shard", "_s", (F.sum("_n").over(Window.partitionBy("shard").orderBy("_s")) - F.col("_n")).alias("_before"))
-    k = F.row_number().over(Window.partitionBy("shard", "_s").orderBy("_h", "doc_id", "key")) - 1
-    return rows.withColumn("_k", k).join(F.broadcast(before), ["shard", "_s"]).withColumn("slot", (F.col("_before") + F.col("_k")).cast("bigint"))
+    """Add a gapless ``slot`` per shard to rows with ``shard``; order: hash of id and text, id, key,
+    row number.  Positions come from ranges of that order, which tells all rows apart: rows that
+    are equal, also without an id, are spread over as many tasks as any others."""
+    order = [F.col(c).asc_nulls_first() for c in ("_h", "doc_id", "key", "rid")]
+    placed = with_running(rows.withColumn("_h", F.xxhash64("doc_id", "key")), order, ["shard"])
+    return placed.withColumn("slot", F.col("position") - 1)
 
 
 def shard(spark: SparkSession, docs: DataFrame, shards: int = 8) -> DataFrame:

@@ -41,7 +41,6 @@ SHINGLE = 3
 DISTANCE = 2
 BLOCKS = (11, 11, 11, 11, 10, 10)
 FAN = 8
-LEAF = 64  # groups up to this size are compared directly
 
 
 def masks(distance: int = DISTANCE) -> list[int]:
@@ -141,20 +140,21 @@ def node_links(codes: np.ndarray, distance: int = DISTANCE, chunk: int = 1 << 13
 
 def group_links(codes: np.ndarray, first: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
     """(position, least linked position) of codes linked inside their group; ``first`` are the
-    positions at which groups start."""
+    positions at which groups start.  A group of up to ``FAN`` codes is one bottom node, and those
+    are compared all at once; every larger group is descended from its top."""
     size = np.diff(np.append(first, len(codes)))
     label = np.arange(len(codes))
-    small = np.repeat(size <= LEAF, size)
+    small = np.repeat(size <= FAN, size)
     ends = np.repeat(first + size, size)
     at = np.flatnonzero(small & (np.repeat(size, size) > 1))
-    for d in range(1, LEAF):
+    for d in range(1, FAN):
         at = at[at + d < ends[at]]
         if not len(at):
             break
         hit = at[np.bitwise_count(codes[at] ^ codes[at + d]) <= distance]
         if len(hit):
             label = forest(len(codes), hit, hit + d, label)
-    for s, n in zip(first[size > LEAF].tolist(), size[size > LEAF].tolist(), strict=True):
+    for s, n in zip(first[size > FAN].tolist(), size[size > FAN].tolist(), strict=True):
         part = np.arange(n)
         for a, b in node_links(codes[s:s + n], distance):
             part = forest(n, a, b, part)

@@ -70,3 +70,24 @@ def test_odd_rows(spark):
         by.setdefault(r.shard, []).append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in by.values())
     assert rows_of(spark, spark.createDataFrame([], "doc_id bigint, text string")) == []
+
+
+def test_equal_rows_without_an_id_are_spread(spark):
+    """A third of the rows are equal and have no id: gapless slots, and no range holds them all."""
+    from pyspark.sql import functions as F
+
+    from alertlens.operators.ranges import PART
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [(None, "same text")] * 3000 + [(i, f"text {i}") for i in range(6000)]
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+        out = sharding.shard(spark, df).collect()
+        for s in {r.shard for r in out}:
+            assert sorted(r.slot for r in out if r.shard == s) == list(range(sum(r.shard == s for r in out)))
+        keyed = sharding.keyed(df).withColumns({"shard": F.lit(0), "_h": F.xxhash64("doc_id", "key")})
+        order = [F.col(c).asc_nulls_first() for c in ("shard", "_h", "doc_id", "key", "rid")]
+        parts = keyed.where("doc_id is null").repartitionByRange(*order).groupBy(F.spark_partition_id().alias(PART)).count()
+        assert parts.agg(F.max("count")).first()[0] < 1000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
