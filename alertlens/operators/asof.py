@@ -16,7 +16,7 @@ One plan for every input size, with no action, broadcast hint or threshold:
    (key, bucket) runs as a carry over the buckets of its key.
 3. One window per (key, bucket) continues from its carry: a running maximum gives the last
    preference before each decision instant.  A task sees one hour of one key, however hot.
-4. What was chosen is written (key, instant, preference id).  A bit filter over the chosen ids, of
+4. What was chosen (key, instant, preference id) is written where the caller allows it.  Then a bit filter over the chosen ids, of
    a fixed greatest size, is broadcast and tested by every row of the preference feed on its plain
    id column: the test sinks below the parsing of the payload document, so about as many
    documents are parsed, and payload rows shuffled, as decisions chose.  The exact join follows.
@@ -36,7 +36,6 @@ from pyspark.sql import functions as F
 
 from alertlens.functions.scalars import micros
 from alertlens.options import RECORD, Options
-from alertlens.session import materialize
 
 FLAG = "dec_tm_ge_pref_tm"
 BUCKET = 3_600_000_000  # microseconds
@@ -122,9 +121,9 @@ def effective_preference(dec: DataFrame, pref: DataFrame, opts: Options = RECORD
                          rescan: Callable[[Step], DataFrame] | None = None) -> DataFrame:
     """J3.  ``dec`` must hold one row per decision (see ``dedup_decisions``); it is read twice
     (its instants, and the final join), so write it first if it is costly.  ``write`` (write a
-    table and read it back; the session's scratch folder unless given) takes what was chosen.
-    ``rescan`` scans the preferences anew with a filter on the envelope rows (their
-    ``source_event_id``); without it ``pref`` itself is filtered."""
+    table and read it back) takes what was chosen; without it the whole step stays one lazy plan,
+    whose payload join isn't pruned.  ``rescan`` scans the preferences anew with a filter on the
+    envelope rows (their ``source_event_id``); without it ``pref`` itself is filtered."""
     dcols, pcols = dec.columns, pref.columns
     d = _keyed(dec, "account_id", "customer_id", "event_ts")
     pref = _usable(pref, opts)
@@ -135,12 +134,15 @@ def effective_preference(dec: DataFrame, pref: DataFrame, opts: Options = RECORD
     if opts.nulls == "low":
         flag = flag.when(F.col("_best").isNull() & (F.col("_m") != NO_TIME), F.lit("Y"))
     at = at.select(*KEY, "_m", F.col("_c.m").alias("_cm"), F.col("_c.id").alias("_cid"), flag.otherwise(F.lit("N")).alias(FLAG))
-    at = write(at) if write else materialize(at, "chosen")
+    if write is not None:
+        at = write(at)
 
     # columns of the chosen preferences; rows that repeat an id at one instant: the least of them
     picked = [*KEY, "_cm", "_cid"]
     ids = at.where("_cid is not null").select(F.when(F.col("_cid") != "", F.expr("substring(_cid, 2)")).alias("_sid"))
-    if rescan is None:
+    if write is None:
+        wanted = pref
+    elif rescan is None:
         wanted = maybe_among(pref, "source_event_id_p", ids, "_sid")
     else:
         wanted = _usable(rescan(lambda env: maybe_among(env, "source_event_id", ids, "_sid")), opts).select(*pcols)

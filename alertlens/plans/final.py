@@ -32,7 +32,7 @@ def decisions_with_deliveries(dec: DataFrame, pref: DataFrame, deliv: DataFrame,
                                     guard=True)
     if write is not None:
         with_delivery = write(with_delivery)
-    out = effective_preference(with_delivery, pref, opts, rescan=rescan)
+    out = effective_preference(with_delivery, pref, opts, write, rescan)
     head, tail = ([c for c in df.columns if c not in (JK, JN)] for df in (dec, deliv))
     return out.select(*head, *pref.columns, FLAG, *tail)
 

@@ -246,7 +246,7 @@ def q_reporting_window(spark, sf):
 
 def q_effective_preference(spark, sf):
     dec, pref, _ = _flat(spark, sf)
-    e = effective_preference(materialize_table(W.dedup_decisions(dec, FIX), "decisions"), pref, FIX)
+    e = effective_preference(materialize_table(W.dedup_decisions(dec, FIX), "decisions"), pref, FIX, _write("chosen"))
     return e.select("decision_id", "source_event_id", "source_event_id_p", "event_ts_p", "is_business_p",
                     "dec_tm_ge_pref_tm")
 
