@@ -1,6 +1,10 @@
 """Embedding near-duplicates against all pairs."""
 
+import datetime
+from decimal import Decimal
+
 import numpy as np
+import pytest
 
 from alertlens.llm import embed_dedup as E
 
@@ -59,21 +63,83 @@ def test_large_buckets_are_split(spark):
     check(spark, rows, E.Params(block=20))
 
 
-def test_estimate_is_unbiased_and_bounds_hold():
-    rng = np.random.default_rng(1)
-    dim, n = 64, 4000
-    x = rng.standard_normal((2 * n, dim))
-    x[n:] = x[:n] + rng.uniform(0, 2, (n, 1)) * rng.standard_normal((n, dim))
+def near_threshold(rng, n, dim, lo, hi):
+    """Unit vectors x[:n], x[n:] whose pairs (k, n + k) have cosines spread over [lo, hi]."""
+    x = rng.standard_normal((n, dim))
     x /= np.linalg.norm(x, axis=1)[:, None]
-    y = x @ E.rotation(dim, 11)
-    code = np.where(y > 0, 1, -1) / np.sqrt(dim)
-    factor = (code * y).sum(1)
+    z = rng.standard_normal((n, dim))
+    z -= (z * x).sum(1)[:, None] * x
+    z /= np.linalg.norm(z, axis=1)[:, None]
+    c = np.linspace(lo, hi, n)[:, None]
+    return np.concatenate([x, c * x + np.sqrt(1 - c * c) * z])
+
+
+@pytest.mark.parametrize("dim", [3, 64, 100])
+def test_estimate_is_unbiased_and_bounds_hold(dim):
+    n, p = 4000, E.Params()
+    x = near_threshold(np.random.default_rng(1), n, dim, 0.3, 1.0)
+    codes = E.Codes(E.encode(x, p), x, p)
     a, b = np.arange(n), np.arange(n, 2 * n)
     true = (x[a] * x[b]).sum(1)
-    est = (code[a] * y[b]).sum(1) / factor[a]
-    assert abs((est - true).mean()) < 0.01
-    got = E.close_pairs(x, y, code, factor, a, b, E.Params())
-    assert (got == (true >= 0.93)).all() and got.sum() > 20
+    # the stored bits and planes give the product of code and rotated vector, up to the grid's rounding
+    y = x @ E.rotation(dim, p.seed)
+    dot, moved = codes.products(a, b)
+    plain = (np.where(y[a] > 0, 1, -1) * y[b]).sum(1) / np.sqrt(dim)
+    assert (np.abs(dot - plain) <= moved).all() and (moved < 0.02).all()
+    if dim > 3:
+        assert abs((dot / codes.factor[a] - true).mean()) < 0.01
+    assert (codes.most(a, b) >= true - 1e-7).all()
+    assert ((x[a] * x[b]).sum(1) >= 0.93).sum() > 100 and (codes.close(a, b) == (true >= 0.93)).all()
+
+
+def test_bounds_leave_few_pairs_open():
+    x = np.random.default_rng(3).standard_normal((4000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    p = E.Params()
+    codes = E.Codes(E.encode(x, p), x, p)
+    assert (codes.most(np.arange(2000), np.arange(2000, 4000)) >= 0.93).mean() < 0.05
+
+
+def test_bands_grow_with_the_largest_label():
+    p = E.Params()
+    assert E.band_plan(1, p) == E.band_plan(1 << 20, p) == (24, 12)
+    rng = np.random.default_rng(8)
+    for largest in (1 << 20, 1 << 23, 10**8):
+        bands, bits = E.band_plan(largest, p)
+        assert largest / 2**bits <= p.fill
+        x = near_threshold(rng, 4000, 64, 0.93, 0.931)
+        k = E.band_keys(x, bands, bits, p)
+        assert (k[:4000] == k[4000:]).any(1).mean() > 0.99
+    work = [b * n * n / 2**w for n in (10**7, 10**9) for b, w in [E.band_plan(n, p)]]
+    assert work[1] / work[0] < 100 ** 1.35
+
+
+def test_pairs_around_the_threshold(spark):
+    x = near_threshold(np.random.default_rng(6), 200, 64, 0.9295, 0.9305)
+    check(spark, [(i, v.tolist(), i % 200 % 2) for i, v in enumerate(x)])
+
+
+def test_more_bits_and_bands_in_a_job(spark):
+    rng = np.random.default_rng(7)
+    centre = rng.standard_normal((10, 32))
+    rows = [(i, (centre[i % 10] + 0.02 * rng.standard_normal(32)).tolist(), 1) for i in range(120)]
+    check(spark, rows, E.Params(fill=1, bits=2, miss=1e-9))
+
+
+@pytest.mark.parametrize("kind, one, two", [
+    ("string", "a", "b"), ("double", 1.1, 1.2), ("boolean", True, False), ("binary", b"\xff", b"\xfe"), ("decimal(10,2)", Decimal("1.10"), Decimal("1.20")),
+    ("array<int>", [1, None], [1]), ("date", datetime.date(2024, 1, 1), datetime.date(2024, 1, 2)),
+])
+def test_labels_of_any_type(spark, kind, one, two):
+    rows = [(1, [1.0, 2.0], one), (2, [1.0, 2.0], one), (3, [1.0, 2.0], two), (4, [1.0, 2.0], None), (5, [1.0, 2.0], two), (6, [1.0, 2.0], None)]
+    df = spark.createDataFrame(rows, f"vec_id bigint, embedding array<float>, label {kind}")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in E.near_duplicates(spark, df).collect())
+    assert got == [(1, 1, 1), (2, 1, 1), (3, 1, 3), (4, 0, 4), (5, 1, 3), (6, 0, 6)]
+
+
+def test_zero_labels_of_both_signs_are_equal(spark):
+    df = spark.createDataFrame([(1, [1.0], 0.0), (2, [1.0], -0.0), (3, [1.0], float("nan")), (4, [1.0], float("nan"))], "vec_id bigint, embedding array<float>, label double")
+    assert sorted((r.vec_id, r.component_id) for r in E.near_duplicates(spark, df).collect()) == [(1, 1), (2, 1), (3, 3), (4, 3)]
 
 
 def test_empty(spark):
