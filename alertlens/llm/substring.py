@@ -10,7 +10,8 @@ for word, in a document with a smaller id too.  Windows are judged on the input.
 2. The 8-word prefix partitions the suffixes.  Prefixes of one document only drop out.  In a
    class, all documents but the least lose the whole span.
 3. What is left are prefixes with several classes, where spans agree in part.  The least
-   document of each class sends its span to its prefix's group.  A group is a subtree: the
+   document of each class sends its span to its prefix's group, once however often it repeats
+   the passage; what is found goes to all its places.  A group is a subtree: the
    windows in it are suffixes cut at WINDOW words, sorted, with the common prefix of neighbours;
    nodes at depth WINDOW are the repeats, and all documents in a node but the least lose the
    window.  The prefixes have variable length so that a subtree fits in memory: a prefix with
@@ -22,8 +23,9 @@ classes; hot prefixes and classes meet only in partial aggregates and in joins t
 execution may split.
 
 Words are runs of bytes other than white space (space and 9 to 13).  Null and empty texts have
-none.  Rows without an id neither cause nor suffer removal.  Rows that repeat an id are each
-judged against smaller ids only.  Other columns are not read.
+none; very long texts are read whole.  Rows without an id neither cause nor suffer removal.  Rows
+that repeat an id are each judged against smaller ids only.  An empty table gives an empty result.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -155,8 +157,9 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _contexts(candidates: DataFrame) -> DataFrame:
-    """(h, doc_id, row, first, count, words) of the spans that go to subtrees; ``big`` ones one
-    row a window, with h the window's own hash."""
+    """(h, h2, doc_id, row, first, count, words) of the spans that go to subtrees, h2 being the
+    class, one span a class and text; ``big`` ones one row a window, with h and h2 the window's
+    own hashes."""
     schema = "big boolean, h bigint, h2 bigint, doc_id bigint, row bigint, first bigint, count bigint, words binary"
     arrow = _arrow_schema(candidates.sparkSession, schema)
     state: list = []
@@ -170,10 +173,14 @@ def _contexts(candidates: DataFrame) -> DataFrame:
                 for doc, row, text, parts in zip(*(x.to_pylist() for x in batch.slice(lo, 128).columns), strict=True):
                     words = words_of(text)
                     total = back = None
+                    sent: set[tuple[int, int]] = set()
                     for p in parts:
                         first, count = p["at"] >> 6, p["at"] & 63
                         if not p["big"]:
-                            values = [(False, p["h"], 0, doc, row, first, count, b" ".join(words[first:first + count + WINDOW - 1]))]
+                            if (p["h"], p["c"]) in sent:
+                                continue
+                            sent.add((p["h"], p["c"]))
+                            values = [(False, p["h"], p["c"], doc, row, first, count, b" ".join(words[first:first + count + WINDOW - 1]))]
                         else:
                             if total is None:
                                 h = state[0](words)
@@ -193,13 +200,14 @@ def _contexts(candidates: DataFrame) -> DataFrame:
 
 
 def subtrees(table: pa.Table) -> tuple[np.ndarray, ...]:
-    """The repeats of whole groups (h, doc_id, row, first, count, words): (doc_id, row, first,
-    end) of the windows that a smaller document of the group has, as runs of words.
+    """The repeats of whole groups (h, c, doc_id, row, count, words), one row a class: (doc_id,
+    row, h, c, first, end) of the windows that a smaller document of the group has, as runs of
+    words counted from the span's start.
 
     Per group: the suffixes cut at WINDOW words in sorted order with the length of the prefix
     each shares with its neighbour; a node at depth WINDOW is a run of neighbours that share all.
     """
-    h, doc, row, first, count = (table.column(n).to_numpy() for n in ("h", "doc_id", "row", "first", "count"))
+    h, c, doc, row, count = (table.column(n).to_numpy() for n in ("h", "c", "doc_id", "row", "count"))
     group = np.cumsum(np.append(0, h[1:] != h[:-1])) if len(h) else h
     number: dict[bytes, int] = {}
     flat = [number.setdefault(w, len(number)) for s in table.column("words").to_pylist() for w in s.split()]
@@ -222,24 +230,32 @@ def subtrees(table: pa.Table) -> tuple[np.ndarray, ...]:
     # windows that follow each other in a span become one run
     at = np.flatnonzero(hit)
     if not len(at):
-        return doc[:0], row[:0], first[:0], first[:0]
+        return tuple(doc[:0] for _ in range(6))
     new = np.append(True, (at[1:] != at[:-1] + 1) | (context[at[1:]] != context[at[:-1]]))
     lo, hi = at[new], at[np.append(np.flatnonzero(new)[1:] - 1, len(at) - 1)]
-    return doc[context[lo]], row[context[lo]], first[context[lo]] + inside[lo], first[context[hi]] + inside[hi] + WINDOW
+    of = context[lo]
+    return doc[of], row[of], h[of], c[of], inside[lo], inside[hi] + WINDOW
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", "row", "h", "c", "first", "end"]
     for table in whole_groups(batches, 1):
         cuts = group_starts(table.column("h").to_numpy())
         lo = 0
         for k, cut in enumerate([*cuts[1:].tolist(), table.num_rows]):  # some thousand spans at a time
             if cut - lo >= GROUP or k == len(cuts) - 1:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in subtrees(table.slice(lo, cut - lo))], names=["doc_id", "row", "first", "end"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in subtrees(table.slice(lo, cut - lo))], names=names)
                 lo = cut
 
 
-def repeats(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(every row's scan, candidates with their texts and whole spans, runs found in subtrees)."""
+def group_rows(found: DataFrame) -> DataFrame:
+    """What subtrees get: one row a class.  Texts that share an id share their classes; one sends."""
+    small = found.where("not big").withColumnRenamed("h2", "c").select("h", "c", "doc_id", "row", "count", "words")
+    return small.where("row = 0").unionByName(small.where("row != 0").dropDuplicates(["h", "c"]))
+
+
+def sent_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(every row's scan, candidates with their texts and spans, the span lists, spans for subtrees)."""
     texts = _rows(docs)
     scan = materialize(_scan(texts), "sub-scan")
     rows = scan.select("doc_id", "row", F.explode(F.arrays_zip("h", "c", "at")).alias("x")).select("doc_id", "row", "x.h", "x.c", "x.at")
@@ -249,44 +265,61 @@ def repeats(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame,
     several = classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h", (F.col("n") > GROUP).alias("big"))
     rows = rows.join(classes, ["h", "c"]).withColumn("whole", F.col("doc_id") > F.col("least"))
     rows = rows.join(materialize(several, "sub-several"), "h", "left").where("whole or big is not null")
-    part = F.struct("whole", F.coalesce("big", F.lit(False)).alias("big"), "h", "at")
-    lists = materialize(rows.groupBy("doc_id", "row").agg(F.collect_list(part).alias("parts")), "sub-lists")
+    part = F.struct("whole", F.coalesce("big", F.lit(False)).alias("big"), *(F.when(~F.col("whole"), F.col(x)).alias(x) for x in ("h", "c")), "at")
+    lists = materialize(rows.groupBy("doc_id", "row").agg(F.collect_set(part).alias("parts")), "sub-lists")
     lists = lists.select(
         "doc_id", "row", F.transform(F.filter("parts", lambda p: p.whole), lambda p: p["at"]).alias("spans"),
         F.filter("parts", lambda p: ~p.whole).alias("parts"),
     )
     candidates = materialize(texts.join(lists, ["doc_id", "row"]), "sub-candidates")
     found = materialize(_contexts(candidates.where(F.size("parts") > 0)), "sub-contexts")
-    small = found.where("not big").repartition("h").sortWithinPartitions("h")
-    runs = small.select("h", "doc_id", "row", "first", "count", "words").mapInArrow(_subtrees, "doc_id bigint, row bigint, first bigint, end bigint")
+    return scan, candidates, lists, found
+
+
+def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(every row's scan, candidates with their texts and spans, runs found in subtrees: relative
+    to every span of their class, or to the text where h is null)."""
+    scan, candidates, lists, found = sent_spans(docs)
+    small = group_rows(found).repartition("h").sortWithinPartitions("h")
+    runs = materialize(small.mapInArrow(_subtrees, "doc_id bigint, row bigint, h bigint, c bigint, first bigint, end bigint"), "sub-subtrees")
+    # all texts of the id that hold the class get its runs
+    holders = lists.where("row != 0").select("doc_id", "row", F.explode("parts").alias("x")).where("not x.big").select("doc_id", "row", "x.h", "x.c").distinct()
+    runs = runs.where("row = 0").unionByName(runs.where("row != 0").drop("doc_id", "row").join(holders, ["h", "c"]))
     windows = found.where("big").select("h", "h2", "doc_id", "row", "first")
     least = materialize(windows.groupBy("h", "h2").agg(F.min("doc_id").alias("least")), "sub-nodes")
-    more = windows.join(least, ["h", "h2"]).where("doc_id > least").select("doc_id", "row", "first", (F.col("first") + WINDOW).alias("end"))
-    runs = runs.unionByName(more).groupBy("doc_id", "row").agg(F.collect_list(F.struct("first", "end")).alias("runs"))
+    more = windows.join(least, ["h", "h2"]).where("doc_id > least")
+    null = F.lit(None).cast("bigint")
+    more = more.select("doc_id", "row", null.alias("h"), null.alias("c"), "first", (F.col("first") + WINDOW).alias("end"))
+    runs = runs.unionByName(more).groupBy("doc_id", "row").agg(F.collect_set(F.struct("h", "c", "first", "end")).alias("runs"))
     return scan, candidates, materialize(runs, "sub-runs")
 
 
-def kept_words(words: list[bytes], whole: list[int], runs: list[dict]) -> list[bytes]:
+def kept_words(words: list[bytes], whole: list[int], parts: list[dict], runs: list[dict] | None) -> list[bytes]:
     change = np.zeros(len(words) + 1, np.int64)
     for at in whole:
         change[at >> 6] += 1
         change[(at >> 6) + (at & 63) + WINDOW - 1] -= 1
+    places: dict[tuple, list[int]] = {(None, None): [0]}
+    for p in parts if runs else ():
+        if not p["big"]:
+            places.setdefault((p["h"], p["c"]), []).append(p["at"] >> 6)
     for r in runs or ():
-        change[r["first"]] += 1
-        change[r["end"]] -= 1
+        start = np.array(places[r["h"], r["c"]])
+        np.add.at(change, start + r["first"], 1)
+        np.add.at(change, start + r["end"], -1)
     return [w for w, gone in zip(words, change.cumsum()[:-1].tolist(), strict=True) if not gone]
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, texts: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row; with ``texts`` the kept words
     joined by spaces too, as ``kept`` (null: nothing was removed)."""
-    scan, candidates, runs = repeats(spark, docs)
+    scan, candidates, runs = repeats(docs)
 
     def run(c: list[list]) -> dict[str, list]:
         out: dict[str, list] = {k: [] for k in ("doc_id", "row", "n_words", "n_removed", "kept_sha256", "kept")}
-        for doc, row, text, whole, found in zip(*c, strict=True):
+        for doc, row, text, whole, parts, found in zip(*c, strict=True):
             words = words_of(text)
-            kept = kept_words(words, whole, found)
+            kept = kept_words(words, whole, parts, found)
             for name, v in zip(out, (doc, row, len(words), len(words) - len(kept), digest(kept),
                                      b" ".join(kept).decode() if texts and len(kept) < len(words) else None), strict=True):
                 out[name].append(v)
@@ -295,9 +328,9 @@ def deduplicated(spark: SparkSession, docs: DataFrame, texts: bool = False) -> D
     schema = "doc_id bigint, row bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string"
     named = candidates.select("doc_id", "row", "text", "spans", "parts")
     # only rows that sent spans to subtrees can have runs; the others need no join
-    cut = named.where(F.size("parts") > 0).drop("parts").join(runs, ["doc_id", "row"], "left")
-    cut = cut.unionByName(named.where(F.size("parts") == 0).drop("parts").withColumn("runs", F.lit(None).cast(runs.schema["runs"].dataType)))
-    cut = arrow_map(cut.select("doc_id", "row", "text", "spans", "runs"), run, schema)
+    cut = named.where(F.size("parts") > 0).join(runs, ["doc_id", "row"], "left")
+    cut = cut.unionByName(named.where(F.size("parts") == 0).withColumn("runs", F.lit(None).cast(runs.schema["runs"].dataType)))
+    cut = arrow_map(cut.select("doc_id", "row", "text", "spans", "parts", "runs"), run, schema)
     ids = candidates.select("doc_id", "row").distinct()
     whole = scan.join(ids, ["doc_id", "row"], "left_anti").select(
         "doc_id", "row", "n_words", F.lit(0).cast("bigint").alias("n_removed"), F.col("sha").alias("kept_sha256"), F.lit(None).cast("string").alias("kept"))

@@ -64,8 +64,9 @@ def test_random_corpus(spark, seed):
 
 
 def test_full_length_prefixes(spark, monkeypatch):
-    monkeypatch.setattr(S, "GROUP", 2)
+    monkeypatch.setattr(S, "GROUP", 1)
     check(spark, corpus(3))
+    check(spark, log_like())
 
 
 def test_odd_rows(spark):
@@ -76,6 +77,26 @@ def test_odd_rows(spark):
     assert S.deduplicated(spark, spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def log_like():
+    """A passage p repeated in one text (and in texts that share an id), with three tails, and
+    smaller and greater documents that hold parts of it."""
+    p = [f"p{i}" for i in range(70)]
+    q = [*p[:60], *(f"q{i}" for i in range(30))]
+    own = lambda k: [f"o{k}.{i}" for i in range(55)]
+    many = [w for k in range(200) for w in [*p, *own(k % 3)]]
+    return [(3, " ".join(q)), (5, " ".join(many)), (5, " ".join([*own(900), *many[:4000]])), (5, " ".join(many)), (5, " ".join(many)),
+            (7, " ".join([*own(901), *q, *own(902)])), (8, " ".join([*p, *p, *p])), (2, " ".join([*own(903), *p[5:58]]))]
+
+
+@pytest.mark.parametrize("again", [True, False])
+def test_a_class_is_sent_once(spark, again):
+    docs = log_like() if again else [r for k, r in enumerate(log_like()) if k not in (2, 3, 4)]
+    check(spark, docs)
+    sent = S.group_rows(S.sent_spans(spark.createDataFrame(docs, "doc_id bigint, text string"))[3])
+    n = sent.count()
+    assert 0 < n == sent.select("h", "c").distinct().count() < 50
+
+
 def test_whole_table(spark, sf_small):
     df = spark.read.parquet(f"{sf_small}/documents.parquet")
     check(spark, [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()])
