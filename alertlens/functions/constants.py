@@ -1,4 +1,4 @@
-"""Fixed values that must equal the original job's for right results.
+"""Fixed values that that right results need as they stand.
 
 Fixed values: activity types, payload type filters, control texts, scorecard
 constants and latency-bucket labels, stated as the job states them.
@@ -30,7 +30,7 @@ CONTROL_TIMELINESS = ("Timeliness", "Anomaly")
 CONTROL_COMPLETENESS = ("Completeness", "Reconciliation")
 PASS_CODE = "COM16"
 FAIL_CODE = "COM19"
-# the last port's codes
+# codes of the third preset
 THIRD_PASS_CODE = "COM6"
 THIRD_FAIL_CODE = "COM5"
 THIRD_COMPLETE_CODE = "CON9"

@@ -4,7 +4,7 @@ Four presets:
 
 * ``RECORD`` - the SAS program's behaviour (the default).
 * ``PORT``   - what the Python ports agree on.
-* ``THIRD``  - the last port's own rules: header times, half-open delivery window with an id,
+* ``THIRD``  - a third set of rules: header times, half-open delivery window with an id,
   its result codes, the report date as snapshot date, and its key names beside the record's.
 * ``STRICT`` - ``RECORD`` plus three corrections that change results (null keys never
   match, half-open window end, preference bound before the window end).

@@ -185,7 +185,7 @@ def _t(ts: dt.datetime) -> str:
 
 
 def third_pipe(w) -> str:
-    """The last port: header times, half-open window for decisions and deliveries, deliveries
+    """The third preset: header times, half-open window for decisions and deliveries, deliveries
     with an id only; comparisons and orders as the ports'."""
     inside = f"ts >= {_t(w.start_ts)} AND ts < {_t(w.end_bound)}"
     return ",\n".join([

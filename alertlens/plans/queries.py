@@ -424,14 +424,14 @@ def q_scan_initial(spark, sf):
 
 
 def q_scan_deliveries_bounded(spark, sf):
-    """F7 / F8 of the last port: half-open window on the header time, id required."""
+    """F7 / F8 of the third preset: half-open window on the header time, id required."""
     w = CAL.reporting_window(REPORT_DT, FIX_THIRD)
     return EN.scan_deliveries(_env(spark, sf).deliveries, w, FIX_THIRD).select(
         "source_event_id_a", "decision_id_a", "event_ts_a")
 
 
 def q_scorecard_third(spark, sf):
-    """The weekly scorecard under the last port's preset."""
+    """The weekly scorecard under the third preset."""
     src, w = _env(spark, sf), CAL.reporting_window(REPORT_DT, FIX_THIRD)
     f = materialize_table(build_final(
         EN.scan_decisions(src.decisions, w, FIX_THIRD),
