@@ -1,4 +1,4 @@
-"""Fixed values that that right results need as they stand.
+"""Fixed values that right results need as they stand.
 
 Fixed values: activity types, payload type filters, control texts, scorecard
 constants and latency-bucket labels, stated as the job states them.
