@@ -83,3 +83,50 @@ def test_repeated_ids(spark):
         df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id bigint, embedding array<float>, rank int").repartition(parts)
         got = [(r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in ann.search(spark, df, p).collect()]
         assert sorted(got) == sorted(want)
+
+
+def test_cells_grow_with_the_table():
+    p = ann.Params()
+    for n in (0, 500, 4096, 4097, 10**5, 10**7, 10**9):
+        axes = ann.polytopes(n, 64, p)
+        assert axes[:-1] == [64] * (len(axes) - 1) and n <= p.rows_a_cell * ann.cells_of(axes)
+        size = ann.zone_size(n, axes, p)
+        assert ann.cells_of(axes) % size == 0 and size * n <= max(p.rows_a_tile, p.rows_a_cell) * ann.cells_of(axes)
+    assert ann.polytopes(4096, 64, p) == [64] and ann.polytopes(4097, 64, p) == [64, 1]
+
+
+def test_probes_by_cost():
+    """Probes of concatenated polytopes against the plain list of all cells' costs."""
+    x = ann.padded(np.random.default_rng(4).standard_normal((20, 8)), None)
+    axes = [8, 8, 2]
+    got = ann.cells(x, axes, 3, 40, 23)
+    y = [ann.rotated(x, 3, 23, k)[:, :d] for k, d in enumerate(axes)]
+    y = [np.concatenate([v, -v], axis=1) for v in y]
+    for i in range(len(x)):
+        costs = {(a * 16 + b) * 4 + c: sum((v[i].max() - v[i][j]) ** 2 for v, j in zip(y, (a, b, c), strict=True))
+                 for a in range(16) for b in range(16) for c in range(4)}
+        assert len(set(got[i].tolist())) == 40  # cells may tie
+        assert np.allclose([costs[c] for c in got[i].tolist()], sorted(costs.values())[:40], rtol=0, atol=1e-12)
+    assert (ann.cells(x, axes, 3, 1, 23)[:, 0] == got[:, 0]).all()
+
+
+def test_concatenated_polytopes(spark):
+    """Small cells: every probe is exact, a few find most."""
+    rng = np.random.default_rng(5)
+    centres = np.repeat(rng.standard_normal((60, 16)), 30, axis=0)
+    rows = [(i, v.tolist()) for i, v in enumerate(centres + 0.5 * rng.standard_normal(centres.shape))]
+    p = ann.Params(tables=1, probes=10**6, rows_a_cell=2, rows_a_tile=100, queries_a_tile=10)
+    assert len(ann.polytopes(len(rows), 16, p)) > 1
+    want = brute(rows, p)
+    assert {q: [i for i, _ in v] for q, v in run(spark, rows, p).items()} == {q: [i for i, _ in v] for q, v in want.items()}
+    assert recall(run(spark, rows, ann.Params(rows_a_cell=8)), want) >= 0.9
+
+
+def test_many_copies(spark):
+    """A third of all rows equal: lists hold the least ids, whatever the number of copies."""
+    rng = np.random.default_rng(6)
+    rows = [(i, ([1.0] * 8 if i % 3 == 0 else rng.standard_normal(8).tolist())) for i in range(600)]
+    p = ann.Params(k=5, tables=2, probes=32, rows_a_tile=20, queries_a_tile=4)
+    want = brute(rows, p)
+    got = run(spark, rows, p)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
