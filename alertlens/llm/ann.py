@@ -150,10 +150,12 @@ def _hashed(rows: DataFrame, p: Params, query: bool) -> DataFrame:
             for i in at:
                 got[i] = []
             for t in range(p.tables):
-                for i, cell in zip(at, cells(x, axes, t, probes_of(axes, p) if query else 1, p.seed), strict=True):
-                    cell.sort()
-                    for part in np.split(cell, group_starts(cell // size)[1:]):
-                        got[i].append({"tab": t, "zone": int(part[0]) // size, "cells": part.astype("<i8").tobytes()})
+                cell = np.sort(cells(x, axes, t, probes_of(axes, p) if query else 1, p.seed), axis=1)
+                zone = cell // size
+                cut = zone[:, 1:] != zone[:, :-1]
+                for i, z, k, new in zip(at, zone.tolist(), cell.astype("<i8"), cut, strict=True):
+                    ends = [0, *(np.flatnonzero(new) + 1).tolist(), len(z)] if query else (0, 1)
+                    got[i] += [{"tab": t, "zone": z[a], "cells": k[a:b].tobytes()} for a, b in zip(ends, ends[1:], strict=False)]
         return {"rid": c[7], "vec_id": c[0], "dim": c[1], "raw": c[3], "at": got}
 
     out = arrow_map(rows.select("vec_id", "dim", "norm", "raw", "most", "flat", "n", "rid"), run,
