@@ -1,0 +1,135 @@
+"""Whole outputs of the two classifiers against plain versions: every split searched, every token tested."""
+
+import math
+import re
+import zlib
+from collections import Counter
+from decimal import Decimal
+from statistics import NormalDist
+
+import numpy as np
+import pytest
+
+from alertlens.llm import quality, toxicity
+
+
+def held(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+def tables(spark, folder, label):
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    texts = [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
+    y = {r[0]: r[1] for r in labels.select("doc_id", label).collect() if r[1] is not None and not held(r[0])}
+    return docs, labels, texts, sorted({(t, y[d]) for d, t in texts if d in y})
+
+
+def test_quality_equals_an_exhaustive_search(spark, sf_small):
+    docs, labels, texts, sample = tables(spark, sf_small, "quality")
+    p = quality.Params()
+    f = quality.fit(docs, labels, p)
+    x, y = np.array([quality.statistics(t) for t, _ in sample]), np.array([v for _, v in sample], float)
+    assert 0 < y.sum() < len(y) and math.isclose(f.base, math.log(y.sum() / (len(y) - y.sum())))
+    cuts = [[np.quantile(x[:, j], b / p.bins) for b in range(1, p.bins)] for j in range(x.shape[1])]
+    assert np.allclose(f.edges, cuts, rtol=0, atol=1e-12)
+    total, splits = np.full(len(y), f.base), 0
+    for t in range(p.rounds):
+        q = 1 / (1 + np.exp(-total))
+        g, h = q - y, q * (1 - q)
+        rows_of = {0: np.arange(len(y))}
+        for node in range(2**p.depth - 1):
+            rows = rows_of[node]
+            gains = {}
+            for j in range(x.shape[1]):
+                right = x[rows, j][:, None] > f.edges[j][None]  # row x cut
+                n, gr, hr = right.sum(0), g[rows] @ right, h[rows] @ right
+                ga, ha = g[rows].sum(), h[rows].sum()
+                gain = (ga - gr) ** 2 / (ha - hr + p.ridge) + gr**2 / (hr + p.ridge) - ga**2 / (ha + p.ridge)
+                for b in np.flatnonzero((n >= p.min_rows) & (len(rows) - n >= p.min_rows)):
+                    gains[j, int(b)] = gain[b]
+            j, b = int(f.statistic[t, node]), int(f.bin[t, node])
+            best = max(gains.values(), default=-1)
+            if best > 1e-6:
+                assert gains[j, b] > best - 1e-9
+                right = x[rows, j] > f.edges[j, b]
+                splits += 1
+            else:
+                assert b == p.bins
+                right = np.zeros(len(rows), bool)
+            rows_of[2 * node + 1], rows_of[2 * node + 2] = rows[~right], rows[right]
+        for leaf in range(2**p.depth):
+            rows = rows_of[2**p.depth - 1 + leaf]
+            value = -p.rate * g[rows].sum() / (h[rows].sum() + p.ridge)
+            assert abs(f.value[t, leaf] - value) < 1e-9
+            total[rows] += value
+    assert splits > p.rounds
+
+    def plain(text):
+        v, s = quality.statistics(text), f.base
+        for t in range(p.rounds):
+            node = 0
+            while node < 2**p.depth - 1:
+                j, b = f.statistic[t, node], f.bin[t, node]
+                node = 2 * node + (2 if b < p.bins and v[j] > f.edges[j, b] else 1)
+            s += f.value[t, node - (2**p.depth - 1)]
+        return 1 / (1 + math.exp(-s))
+
+    got = {r.doc_id: r for r in quality.op5(spark, docs, labels).collect()}
+    assert len(got) == len(texts)
+    for d, t in texts:
+        assert got[d].held_out == held(d) and abs(got[d].score - plain(t)) < 1e-9 and got[d].predicted == (got[d].score >= 0.7)
+
+
+def plain_lexicon(sample, p):
+    seen = [(set(re.findall(r"[^\W\d_]+", t.lower())), y) for t, y in sample]
+    forms = [(w | {v[:k] + "*" for v in w for k in p.stems if len(v) >= k}, y) for w, y in seen]
+    toxic, clean = (Counter(f for w, y in forms if bool(y) == k for f in w) for k in (True, False))
+    n = [sum(v for f, v in c.items() if f[-1] != "*") for c in (toxic, clean)]
+    tested = [f for f in toxic if toxic[f] >= p.min_documents]
+    least = NormalDist().inv_cdf(1 - min(0.5, p.false_tokens / max(1, len(tested))))
+    lexicon, share = {}, {}
+    for f in tested:
+        t, c = toxic[f], clean[f]
+        a, a0 = p.prior * (t + c), p.prior * sum(n)
+        delta = math.log((t + a) / (n[0] + a0 - t - a)) - math.log((c + a) / (n[1] + a0 - c - a))
+        if delta >= p.min_log_odds and delta / math.sqrt(1 / (t + a) + 1 / (c + a)) >= least:
+            lexicon[f], share[f] = delta, (c + a) / (n[1] + a0)
+    return lexicon, share
+
+
+def plain_evidence(text, lexicon, decay, p):
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    forms = [[w, *(w[:k] + "*" for k in p.stems if len(w) >= k)] for w in words]
+    best = [max(lexicon.get(f, 0.0) for f in of) for of in forms]
+    hits = [(i, s) for i, s in enumerate(best) if s > 0]
+    scores = sorted((s for *_, s in toxicity.maximal_segments(hits, p.drift)), reverse=True)  # tested against the definition
+    least, total = Decimal(1), Decimal(0)
+    for r, s in enumerate(scores, 1):
+        x = Decimal(decay) * Decimal(s) - Decimal(max(2, len(words))).ln()
+        if r > 1 and x <= 0:
+            break
+        total += x
+        least = min(least, (-total).exp() * (total ** (r - 1) if r > 1 else 1) / (math.factorial(r) * math.factorial(r - 1)))
+    return float(-least.ln()) if least <= Decimal(p.max_p) else 0.0
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01"])
+def test_toxicity_equals_a_plain_version(spark, folder):
+    docs, labels, texts, sample = tables(spark, folder, "toxic")
+    p = toxicity.Params()
+    model = toxicity.fit(docs, labels, p)
+    lexicon, share = plain_lexicon(sample, p)
+    assert lexicon and model.lexicon.keys() == lexicon.keys()
+    assert all(math.isclose(model.lexicon[f], lexicon[f], rel_tol=1e-9) for f in lexicon)
+    words = [f for f in lexicon if f[-1] != "*"]
+    rest = 1 - sum(share[f] for f in words)
+    assert abs(sum(share[f] * math.exp(model.decay * lexicon[f]) for f in words) + rest * math.exp(-model.decay * p.drift) - 1) < 1e-6
+    found = {t: plain_evidence(t, lexicon, model.decay, p) for t in {t for _, t in texts}}
+    assert any(found.values())
+    scored = lambda t: 1 / (1 + math.exp(-(model.slope * math.log1p(found[t]) + model.intercept)))
+    miss = [(scored(t) - y, math.log1p(found[t])) for t, y in sample]
+    assert abs(sum(m * x for m, x in miss) + 1e-2 * model.slope) < 1e-5 and abs(sum(m for m, _ in miss) + 1e-2 * model.intercept) < 1e-5
+    got = {r.doc_id: r for r in toxicity.op7(spark, docs, labels).collect()}
+    assert len(got) == len(texts)
+    for d, t in texts:
+        assert got[d].held_out == held(d) and abs(got[d].score - scored(t)) < 1e-9 and got[d].predicted == (got[d].score >= 0.3)
