@@ -29,7 +29,8 @@ from alertlens.plans.scorecard import attach_comment, build_scorecard, union_con
 from alertlens.plans.weekly import CROSSTAB7, ONEWAY_COLUMNS, final_metrics, scorecard_metrics, stage_feeds
 from alertlens.session import application_scratch
 from alertlens.session import materialize as materialize_table
-from alertlens.sinks.writers import CSV_OPTIONS, write_final, write_history, write_observed, write_ordered_csv, write_scorecard
+from alertlens.sinks.writers import (CSV_OPTIONS, write_final, write_history, write_observed, write_ordered_csv, write_partitioned,
+                                     write_scorecard)
 from alertlens.sources import envelope as EN
 from alertlens.sources import fixture as FX
 from alertlens.sources.history import read_history
@@ -540,8 +541,7 @@ def q_catalog_scan(spark, sf):
     db, src = _database(spark), _env(spark, sf)
     names = {k: k for k in ("decisions", "preferences_initial", "preferences_incremental", "deliveries")}
     for k in names:
-        df = getattr(src, k)
-        df.repartition("partition_date").write.partitionBy("partition_date").saveAsTable(f"{db}.{k}")
+        write_partitioned(getattr(src, k), f"{db}.{k}", "partition_date", ("source_event_id", "event_timestamp"))
     tables = EN.Sources.from_tables(spark, None, db, names)
     return EN.scan_decisions(tables.decisions, WINDOW, FIX).select(
         "decision_id", "source_event_id", "partition_date", "event_ts", "account_id", "customer_id", "alert_amount", "threshold_amount")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from alertlens.operators.dedup import JK, JN, with_null_safe_key
 from alertlens.operators.ranges import with_running
@@ -53,6 +54,33 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
     return df.sparkSession.table(table)
 
 
+TABLE_ROWS = 100_000  # rows of one task that writes a partitioned table
+
+
+def write_partitioned(df: DataFrame, table: str, by: str, apart: Sequence[str], rows_a_task: int | None = None) -> DataFrame:
+    """``df`` as a catalog table with a folder a value of ``by``, written by tasks of about
+    ``rows_a_task`` rows (``TABLE_ROWS`` unless given).  The rows of each partition are counted first
+    (one row a partition comes to the driver, which lists a table's partitions anyway) and the
+    partitions laid end to end; a row's place is its partition's start plus a hash below its
+    partition's row count, and a task writes one stretch of places.  A heavy partition thus becomes
+    several files and light ones share a task: neither a task nor a file grows with the table.
+
+    ``apart``: columns that tell rows apart.  Rows that agree in all of them part by the task that
+    read them (its rows stay the same when it runs again)."""
+    spark, size = df.sparkSession, rows_a_task or TABLE_ROWS
+    places, total = [], 0
+    for value, n in df.groupBy(by).count().orderBy(by).collect():
+        places.append((value, total, n))
+        total += n
+    starts = spark.createDataFrame(places, StructType([
+        StructField("__by", df.schema[by].dataType), StructField("__start", LongType()), StructField("__rows", LongType())]))
+    place = F.col("__start") + F.pmod(F.xxhash64(*apart, F.spark_partition_id()), F.col("__rows"))
+    dealt = df.join(F.broadcast(starts), F.col(by).eqNullSafe(F.col("__by")), "left").select(
+        *df.columns, F.floor(place / size).cast("int").alias("__task"))
+    dealt.repartitionById(max(1, -(-total // size)), "__task").drop("__task").write.partitionBy(by).saveAsTable(table)
+    return spark.table(table)
+
+
 EXPORT_ROWS = 500_000  # rows of one export part
 #: How exports are written, and must be read to get the same values back.
 CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}

@@ -129,6 +129,46 @@ def test_catalog_tables_prune_partitions(spark):
     assert files and min(f.split("partition_date=")[1][:8] for f in files) >= Q.WINDOW.partition_cutoff
 
 
+def rows_a_task(table):
+    """Rows that each task wrote of a table: by the number in its files' names."""
+    part = F.regexp_extract(F.input_file_name(), "part-([0-9]+)", 1)
+    return [r["count"] for r in table.groupBy(part).count().collect()]
+
+
+def test_catalog_tables_cut_a_heavy_partition(spark, monkeypatch):
+    """The initial load is one partition with a fifth of all events: several tasks write it."""
+    monkeypatch.setattr(K, "TABLE_ROWS", 50, raising=False)
+    known = {d.name for d in spark.catalog.listDatabases()}
+    Q.q_catalog_scan(spark, SF001)
+    (db,) = {d.name for d in spark.catalog.listDatabases()} - known
+    src = FX.envelope_sources(FX.read_events(spark, SF001))
+    for name in ("decisions", "preferences_initial", "preferences_incremental", "deliveries"):
+        want, got = getattr(src, name), spark.table(f"{db}.{name}")
+        assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+        assert max(rows_a_task(got)) <= 100, name
+    initial = spark.table(f"{db}.preferences_initial").where(F.col("partition_date") == FX.C.INITIAL_LOAD_PARTITION)
+    assert initial.count() > 100 and len(rows_a_task(initial)) > 2
+
+
+def test_partitioned_write_of_odd_tables(spark, tmp_out):
+    """A missing partition value, a partition a row, rows that nothing tells apart, no rows."""
+    db = f"db_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_out}/{db}'")
+    i = F.col("id")
+    df = spark.range(0, 1000, 1, 8).select(
+        i, F.create_map(F.lit("k"), i.cast("string")).alias("m"),
+        F.when(i < 500, F.lit("a")).when(i < 970, F.lit(None)).otherwise(i.cast("string")).alias("p"))
+    got = K.write_partitioned(df, f"{db}.t", "p", ["id"], 100)
+    assert sorted(map(repr, got.select(*df.columns).collect())) == sorted(map(repr, df.collect()))
+    assert max(rows_a_task(got)) <= 150 and len(got.inputFiles()) <= 10 + 32
+    copies = df.select(F.lit(7).alias("id"), "p")
+    got = K.write_partitioned(copies, f"{db}.copies", "p", ["id"], 100)
+    assert sorted(map(repr, got.select("id", "p").collect())) == sorted(map(repr, copies.collect()))
+    assert len(rows_a_task(got.where("p = 'a'"))) > 1
+    none = K.write_partitioned(df.where("id < 0"), f"{db}.none", "p", ["id"])
+    assert none.count() == 0 and none.columns == df.columns
+
+
 def test_export_parts_are_ordered_and_bounded(spark, tmp_out):
     df = spark.range(0, 1003).select((1002 - F.col("id")).alias("k"), F.when(F.col("id") % 5 > 0, F.concat(F.lit('a,"'), "id")).alias("t"))
     path = K.write_ordered_csv(df.repartition(7), f"{tmp_out}/e", "list", [F.col("k")], 100)
